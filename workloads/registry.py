@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workloads import customers, items, orders
+from workloads import audit, customers, feeds, items, layers, orders
 
 QUERIES, ORACLES = {}, {}
-for _module in (orders, customers, items):
+for _module in (items, orders, customers, layers, audit, feeds):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
