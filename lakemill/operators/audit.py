@@ -69,17 +69,13 @@ def audit_schema(table: str) -> StructType:
 
 def issues_from_bronze(bronze: DataFrame, key: str) -> DataFrame:
     """One row per rule violation stored in the JSON details of bronze rows."""
-
-    def codes(column: str, severity: str):
-        return F.transform(
-            F.from_json(column, "array<string>"),
-            lambda c: F.struct(c.alias("code"), F.lit(severity).alias("severity")),
-        )
-
-    found = bronze.select(
+    errors = F.from_json("_dq_error_details", "array<string>")
+    codes = F.concat(errors, F.from_json("_dq_warning_details", "array<string>"))
+    found = bronze.filter((F.col("_dq_error_count") > 0) | (F.col("_dq_warning_count") > 0)).select(
         F.col(key).alias("record_identifier"),
-        "_bronze_raw_record",
-        F.inline(F.concat(codes("_dq_error_details", "ERROR"), codes("_dq_warning_details", "WARNING"))),
+        F.from_json("_bronze_raw_record", "map<string,string>").alias("_values"),
+        F.col("_dq_error_count").alias("_errors"),
+        F.posexplode(codes).alias("_pos", "code"),
     )
     split_at = F.instr("code", ":")
     field = F.substr(F.col("code"), split_at + 1)
@@ -88,8 +84,8 @@ def issues_from_bronze(bronze: DataFrame, key: str) -> DataFrame:
         F.substring_index("code", ":", 1).alias("error_type"),
         field.alias("error_field"),
         F.col("code").alias("error_message"),
-        F.from_json("_bronze_raw_record", "map<string,string>")[field].alias("error_value"),
-        "severity",
+        F.col("_values")[field].alias("error_value"),
+        F.when(F.col("_pos") < F.col("_errors"), "ERROR").otherwise("WARNING").alias("severity"),
     )
 
 

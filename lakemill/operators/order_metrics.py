@@ -24,22 +24,23 @@ def add_order_metrics(items: DataFrame, *, hot: Sequence[str | None] = ()) -> Da
     if hot:
         ordinary = items.filter(~is_hot(order_id, hot))
     per_order = Window.partitionBy("order_id")
-    measured = ordinary.withColumns(
+    # Ranked first: the sums then reuse that sort as well as the shuffle.
+    ranked = ordinary.withColumn("item_rank_in_order", F.row_number().over(per_order.orderBy(*ranking)))
+    measured = ranked.withColumns(
         {
             "order_item_count": F.count("item_id").over(per_order),
             "order_total_items_value": F.sum("line_total").over(per_order),
-            "item_rank_in_order": F.row_number().over(per_order.orderBy(*ranking)),
         }
     )
     if hot:
         large = items.filter(is_hot(order_id, hot))
-        ranked = ranked_by_range(large, "order_id", ranking, "item_rank_in_order")
-        sums = ranked.groupBy(order_id.alias("_sum_key")).agg(
+        placed = ranked_by_range(large, "order_id", ranking, "item_rank_in_order")
+        sums = placed.groupBy(order_id.alias("_sum_key")).agg(
             F.count("item_id").alias("order_item_count"),
             F.sum("line_total").alias("order_total_items_value"),
         )
         # At most one row per hot order.
-        summed = ranked.join(F.broadcast(sums), order_id.eqNullSafe(F.col("_sum_key")))
+        summed = placed.join(F.broadcast(sums), order_id.eqNullSafe(F.col("_sum_key")))
         measured = measured.unionByName(summed.drop("_sum_key"))
     return measured.withColumns(
         {

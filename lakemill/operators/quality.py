@@ -12,8 +12,11 @@ from lakemill.operators.drift import source_columns
 
 
 def _codes(rules: Sequence[Rule], severity: str) -> Column:
-    hits = [F.when(r.violated, r.code) for r in rules if r.severity == severity]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    # Written without a lambda: higher-order functions evaluate their input outside of
+    # generated code, and all rule conditions with it.
+    none = F.array().cast("array<string>")
+    hits = [F.when(r.violated, F.array(r.code)).otherwise(none) for r in rules if r.severity == severity]
+    return F.flatten(F.array(*hits)) if hits else none
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -52,11 +55,10 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def explode_codes(df: DataFrame, key: str) -> DataFrame:
     """One row per violated rule: key, code, severity. Expects ``apply_rules`` output."""
-    tagged = F.concat(
-        F.transform("_dq_errors", lambda c: F.struct(c.alias("code"), F.lit(ERROR).alias("severity"))),
-        F.transform("_dq_warnings", lambda c: F.struct(c.alias("code"), F.lit(WARNING).alias("severity"))),
-    )
-    return df.select(F.col(key), F.inline(tagged))
+    codes = F.posexplode(F.concat("_dq_errors", "_dq_warnings")).alias("_pos", "code")
+    rows = df.select(F.col(key), F.size("_dq_errors").alias("_errors"), codes)
+    severity = F.when(F.col("_pos") < F.col("_errors"), ERROR).otherwise(WARNING)
+    return rows.select(key, "code", severity.alias("severity"))
 
 
 def batch_score(df: DataFrame) -> DataFrame:

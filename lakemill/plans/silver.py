@@ -113,8 +113,9 @@ def silver_items(
 ) -> DataFrame:
     """``orders``: silver orders, or null for an unknown reference. ``hot``: see ``hot_keys``."""
     valid = drop_invalid(bronze, ITEM_IDS)
-    if hot is None:
-        hot = hot_keys(valid, "order_id", min_rows=min_hot_rows)
+    if hot is None:  # counted before the filter, so that one column is read
+        counted = hot_keys(bronze, "order_id", min_rows=min_hot_rows)
+        hot = [key for key in counted if key and key.strip()]
     newest = newest_per_key(valid, "item_id", INGESTED_AT, _ties(LINE))
     typed = enrich_items(repair_line_total(standardize_items(newest)))
     flagged = flag_reference(typed, orders, "order_id", "has_valid_order", salt_by="item_id", hot=hot)

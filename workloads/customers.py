@@ -29,7 +29,7 @@ def query(name: str, oracle: str):
 
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.run(spark, sf_dir, derive.CUSTOMERS)
+    return derive.landed(spark, sf_dir, "customers", derive.CUSTOMERS)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ def query(name: str, oracle: str):
 
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.run(spark, sf_dir, derive.ITEMS)
+    return derive.landed(spark, sf_dir, "items", derive.ITEMS)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

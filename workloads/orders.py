@@ -28,7 +28,7 @@ def query(name: str, oracle: str):
 
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.run(spark, sf_dir, derive.ORDERS)
+    return derive.landed(spark, sf_dir, "orders", derive.ORDERS)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
