@@ -40,7 +40,7 @@ def key_profile(
         F.count_if(c.isNull()).alias("nulls"),
         F.approx_count_distinct(c).alias("keys"),
     ).first()
-    hot = [row["item"] for row in found["top"] if row["count"] >= min_rows]
+    hot = [row["item"] for row in found["top"] if row["item"] is not None and row["count"] >= min_rows]
     if found["nulls"] >= min_rows:
         hot.append(None)
     return hot, found["keys"]

@@ -7,6 +7,7 @@ arithmetic on the keys, so both engines see the same input rows.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,15 +38,17 @@ def _landing_root(spark: SparkSession) -> str:
     return f"{_LOCAL[0].name}/{spark.sparkContext.applicationId}"
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, sql: str) -> DataFrame:
-    """A derived feed as a stored table, written once per application.
+def landed(
+    spark: SparkSession, sf_dir: str, name: str, make: str | Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """A derived feed, given by SQL or a function, as a table written once per application.
 
     A feed arrives as files. Without this step the queries would spend their time in the
     SQL that makes the messy texts, which the optimizer repeats wherever a text is used.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
-        rows = run(spark, sf_dir, sql)
+        rows = run(spark, sf_dir, make) if isinstance(make, str) else make(spark, sf_dir)
         tasks = spark.sparkContext.defaultParallelism
         if rows.rdd.getNumPartitions() < tasks:  # one small file is one task
             rows = rows.repartition(tasks)

@@ -88,7 +88,7 @@ SELECT 'ev-' || cast(id AS string) AS event_id, event_type, time_text AS event_t
     CASE WHEN event_type = 'purchase' THEN 1 + id % 10 END AS order_items
 FROM e""")
 def events_flat(spark, sf_dir):
-    flat = clickstream.flatten_events(clickstream.parse_events(event_lines(spark, sf_dir)))
+    flat = clickstream.flatten_events(clickstream.parse_events(derive.landed(spark, sf_dir, "events", event_lines)))
     return plain(
         flat.select(
             "event_id", "event_type", "event_time", "session_id", "user_id", "device_type", "browser", "os", "country",
@@ -158,7 +158,7 @@ SELECT CASE WHEN layout < 5 THEN time_text END AS ts,
     ['json', 'key_value', 'piped', 'bracketed', 'free_text', 'unparsed'][layout + 1] AS format
 FROM b""")
 def campaign_logs(spark, sf_dir):
-    return plain(campaigns.parse_log(log_lines(spark, sf_dir)).drop("raw"))
+    return plain(campaigns.parse_log(derive.landed(spark, sf_dir, "log", log_lines)).drop("raw"))
 
 
 PERFORMANCE = f"""
@@ -247,9 +247,12 @@ SELECT '<Product ' || CASE WHEN k % 20 = 0 THEN 'product_id' ELSE 'id' END || '=
 FROM {{parts}}"""
 
 
+def product_elements(spark, sf_dir):
+    return spark.sql(PRODUCTS, parts=derive.run(spark, sf_dir, PARTS))
+
+
 def parsed_catalogue(spark, sf_dir):
-    elements = spark.sql(PRODUCTS, parts=derive.run(spark, sf_dir, PARTS))
-    return catalogue.parse_products(elements)
+    return catalogue.parse_products(derive.landed(spark, sf_dir, "catalogue", product_elements))
 
 
 @query("catalogue_products", duck.cte(p=derive.duck(PARTS)) + f"""
@@ -305,7 +308,7 @@ VERIFIED = "CASE k % 8 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN
 
 
 def _reviews(spark, sf_dir):
-    return derive.run(spark, sf_dir, REVIEWS)
+    return derive.landed(spark, sf_dir, "reviews", REVIEWS)
 
 
 @query("reviews_clean", duck.cte(r=derive.duck(REVIEWS)) + f"""
@@ -359,7 +362,7 @@ COST = "cast(unit_cost AS decimal(12,2))"
 
 
 def _stock(spark, sf_dir):
-    return derive.run(spark, sf_dir, STOCK)
+    return derive.landed(spark, sf_dir, "stock", STOCK)
 
 
 @query("inventory_values", duck.cte(s=derive.duck(STOCK)) + f"""

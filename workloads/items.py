@@ -205,7 +205,7 @@ CLEAN_ITEMS = """SELECT 'ITM' || cast(l_orderkey AS string) || '-' || cast(l_lin
 
 @query("order_metrics", duck.cte(f=derive.duck(CLEAN_ITEMS), m=MEASURED) + f"SELECT item_id, order_id, {METRICS} FROM m")
 def order_metrics(spark, sf_dir):
-    rows = derive.run(spark, sf_dir, CLEAN_ITEMS)
+    rows = derive.landed(spark, sf_dir, "clean_items", CLEAN_ITEMS)
     hot = hot_keys(rows, "order_id")
     return plain(add_order_metrics(rows, hot=hot).drop("line_total"))
 
