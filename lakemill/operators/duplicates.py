@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.hashing import landing_hash
 from lakemill.operators.drift import source_columns
-from lakemill.operators.skew import MIN_HOT_ROWS, key_profile, spread_join
+from lakemill.operators.skew import MIN_HOT_ROWS, ROWS_PER_TASK, key_profile, spread_join
 
 HASH = "_bronze_record_hash"
-BROADCAST_ROWS = 1_000_000
+BROADCAST_HASHES = 1_000_000
 
 
 def with_landing_hash(df: DataFrame) -> DataFrame:
@@ -31,37 +31,44 @@ def mark_duplicates(
     *,
     salt_by: str,
     within_batch: bool = False,
+    counted: DataFrame | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_hashes: int = BROADCAST_HASHES,
 ) -> DataFrame:
     """Add ``_bronze_record_hash``, ``_dq_is_duplicate`` and ``_dq_duplicate_of_batch``.
 
-    The row count never changes: the history is cut to one row per hash first. It is also
-    cut to the hashes of this batch before anything of it is shuffled, by a broadcast
-    when the batch has no more than ``broadcast_rows`` distinct hashes. Copies of one
-    record may be a large share of a batch, hence the spread join.
+    The row count never changes: the history is cut to one row per hash first, before it
+    is shuffled. If the batch has no more than ``broadcast_hashes`` distinct hashes, these
+    are broadcast to drop all other history in the scan. Copies of one record may be a
+    large share of a batch, hence the spread join.
 
     ``within_batch`` adds ``_dq_dup_in_batch`` for content that this batch repeats itself.
+    ``counted`` is the batch as it was scanned, where ``df`` is a costlier form of it: the
+    hashes are counted there.
     """
     hashed = with_landing_hash(df)
     if history is None and not within_batch:
         return hashed.withColumns(
             {"_dq_is_duplicate": F.lit(False), "_dq_duplicate_of_batch": F.lit(None).cast("string")}
         )
-    hot, distinct = key_profile(hashed, HASH, min_rows=min_hot_rows)
+    scanned = with_landing_hash(df if counted is None else counted).select(HASH)
+    hot, distinct = key_profile(scanned, HASH, min_rows=min_hot_rows)
 
-    lookup = hashed.groupBy(HASH).agg(F.count(F.lit(1)).alias("_copies"))
-    if history is None:
-        lookup = lookup.withColumn("_dq_duplicate_of_batch", F.lit(None).cast("string"))
-    else:
-        wanted = lookup.select(HASH)
-        if distinct <= broadcast_rows:
-            wanted = F.broadcast(wanted)
+    seen = None
+    if history is not None:
         stamps = history.select(HASH, "_bronze_ingestion_timestamp", "_bronze_ingestion_batch_id")
-        seen = first_seen(stamps.join(wanted, HASH, "left_semi"))
-        lookup = lookup.join(seen, HASH, "left") if within_batch else seen
+        if distinct <= broadcast_hashes:
+            stamps = stamps.join(F.broadcast(scanned.distinct()), HASH, "left_semi")
+        seen = first_seen(stamps)
+    if within_batch:
+        lookup = scanned.groupBy(HASH).agg(F.count(F.lit(1)).alias("_copies"))
+        nowhere = F.lit(None).cast("string").alias("_dq_duplicate_of_batch")
+        lookup = lookup.join(seen, HASH, "left") if seen is not None else lookup.select("*", nowhere)
+    else:
+        lookup = seen
 
-    joined = spread_join(hashed, lookup, HASH, "left", hot=hot, salt_by=salt_by)
+    joined = spread_join(hashed, lookup, HASH, "left", hot=hot, salt_by=salt_by, rows_per_task=rows_per_task)
     joined = joined.withColumn("_dq_is_duplicate", F.col("_dq_duplicate_of_batch").isNotNull())
     if within_batch:
         joined = joined.withColumn("_dq_dup_in_batch", F.col("_copies") > 1).drop("_copies")

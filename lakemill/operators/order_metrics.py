@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakemill.functions.numbers import percentage
-from lakemill.operators.skew import is_hot, ranked_by_range
+from lakemill.operators.skew import ROWS_PER_TASK, HotKeys, is_hot, ranked_by_range
 
 
-def add_order_metrics(items: DataFrame, *, hot: Sequence[str | None] = ()) -> DataFrame:
+def add_order_metrics(
+    items: DataFrame, *, hot: HotKeys | None = None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Count, value, share and rank of each item within its order.
 
     Ordinary orders need one shuffle for all five columns. Orders named in ``hot`` do not
@@ -34,7 +34,9 @@ def add_order_metrics(items: DataFrame, *, hot: Sequence[str | None] = ()) -> Da
     )
     if hot:
         large = items.filter(is_hot(order_id, hot))
-        placed = ranked_by_range(large, "order_id", ranking, "item_rank_in_order")
+        placed = ranked_by_range(
+            large, "order_id", ranking, "item_rank_in_order", rows=sum(hot.values()), rows_per_task=rows_per_task
+        )
         sums = placed.groupBy(order_id.alias("_sum_key")).agg(
             F.count("item_id").alias("order_item_count"),
             F.sum("line_total").alias("order_total_items_value"),

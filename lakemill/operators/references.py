@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.operators.skew import spread_join
+from lakemill.operators.skew import ROWS_PER_TASK, HotKeys, spread_join
 
 
 def flag_reference(
@@ -17,17 +15,26 @@ def flag_reference(
     flag: str,
     *,
     salt_by: str,
-    hot: Sequence[str | None] = (),
+    hot: HotKeys | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """True where ``key`` exists among the parents, false where not, null without a parent table."""
     if parents is None:
         return df.withColumn(flag, F.lit(None).cast("boolean"))
     known = parents.select(key).distinct().withColumn(flag, F.lit(True))
-    joined = spread_join(df, known, key, "left", hot=hot, salt_by=salt_by)
+    joined = spread_join(df, known, key, "left", hot=hot, salt_by=salt_by, rows_per_task=rows_per_task)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def orphans(df: DataFrame, parents: DataFrame, key: str, *, salt_by: str, hot: Sequence[str | None] = ()) -> DataFrame:
+def orphans(
+    df: DataFrame,
+    parents: DataFrame,
+    key: str,
+    *,
+    salt_by: str,
+    hot: HotKeys | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Rows whose ``key`` has no parent."""
     known = parents.select(key).distinct()
-    return spread_join(df, known, key, "left_anti", hot=hot, salt_by=salt_by)
+    return spread_join(df, known, key, "left_anti", hot=hot, salt_by=salt_by, rows_per_task=rows_per_task)

@@ -2,32 +2,36 @@
 
 A join or window on a key sends all rows of one key to one task. When one key holds a
 large share of the rows that task decides the run time, or dies. The operators here take
-a list of hot keys and spread only those; everything else keeps the plain plan.
+the hot keys with their row counts and spread only those, each over as many tasks as its
+count asks for; everything else keeps the plain plan.
 """
 
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 MIN_HOT_ROWS = 1_000_000
-SPREAD = 256
+ROWS_PER_TASK = 500_000
 _ROW_BITS = (1 << 33) - 1
 
+HotKeys = Mapping[str | None, int]
+
 
 def key_profile(
     df: DataFrame,
     key: str,
     *,
     min_rows: int = MIN_HOT_ROWS,
-    limit: int = 1_000,
+    limit: int = 10_000,
     tracked: int = 100_000,
-) -> tuple[list[str | None], int]:
-    """Hot keys, as text, and the approximate number of distinct keys.
+) -> tuple[dict[str | None, int], int]:
+    """Hot keys, as text, with their row counts, and the approximate number of distinct keys.
 
     One pass over one column. Each task keeps a frequent-items sketch of at most
     ``tracked`` entries and only sketches are merged, so no key is shuffled and at most
@@ -40,32 +44,43 @@ def key_profile(
         F.count_if(c.isNull()).alias("nulls"),
         F.approx_count_distinct(c).alias("keys"),
     ).first()
-    hot = [row["item"] for row in found["top"] if row["item"] is not None and row["count"] >= min_rows]
-    if found["nulls"] >= min_rows:
-        hot.append(None)
-    return hot, found["keys"]
+    counts = {row["item"]: row["count"] for row in found["top"]}
+    counts[None] = found["nulls"]
+    return {item: rows for item, rows in counts.items() if rows >= min_rows}, found["keys"]
 
 
-def hot_keys(df: DataFrame, key: str, **bounds: int) -> list[str | None]:
+def hot_keys(df: DataFrame, key: str, **bounds: int) -> dict[str | None, int]:
     """Keys that hold at least ``min_rows`` rows (see ``key_profile``)."""
     return key_profile(df, key, **bounds)[0]
 
 
-def is_hot(key: Column, hot: Sequence[str | None]) -> Column:
+def is_hot(key: Column, hot: HotKeys) -> Column:
     """True or false, never null."""
     listed = F.coalesce(key.cast("string").isin([h for h in hot if h is not None]), F.lit(False))
     return (key.isNull() | listed) if None in hot else listed
 
 
+def salts_per_key(key: Column, hot: HotKeys, rows_per_task: int = ROWS_PER_TASK) -> Column:
+    """Number of salts of a key: a power of two that grows with its rows; 1 if it is not hot."""
+    groups: dict[int, dict[str | None, int]] = {}
+    for item, rows in hot.items():
+        salts = 1 << (max(2, ceil(rows / rows_per_task)) - 1).bit_length()
+        groups.setdefault(salts, {})[item] = rows
+    number = F
+    for salts, members in groups.items():
+        number = number.when(is_hot(key, members), F.lit(salts))
+    return number.otherwise(F.lit(1))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     how: str,
     *,
-    hot: Sequence[str | None] = (),
+    hot: HotKeys | None = None,
     salt_by: str,
-    spread: int = SPREAD,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``left`` joined to a ``right`` that has one row per key, with hot keys spread.
 
@@ -75,10 +90,9 @@ def spread_join(
     """
     if not hot:
         return left.join(right, key, how)
-    salt = F.pmod(F.xxhash64(salt_by), F.lit(spread)).cast("int")
-    copies = F.when(is_hot(F.col(key), hot), F.sequence(F.lit(0), F.lit(spread - 1)))
-    left = left.withColumn("_salt", F.when(is_hot(F.col(key), hot), salt).otherwise(F.lit(0)))
-    right = right.withColumn("_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
+    salts = salts_per_key(F.col(key), hot, rows_per_task)
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), salts).cast("int"))
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
@@ -102,15 +116,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
-def ranked_by_range(df: DataFrame, key: str, order: Sequence[Column], rank: str) -> DataFrame:
-    """``row_number`` per key for keys too large for one task.
+def ranked_by_range(
+    df: DataFrame, key: str, order: Sequence[Column], rank: str, *, rows: int, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``row_number`` per key for keys too large for one task; ``rows``: about how many in all.
 
     Rows are range-partitioned by (key, order), so a large key covers many partitions in
     order. Inside a partition the rank is the distance from the key's first row; the rows
     the key has in earlier partitions are added from a table with one row per
     (partition, key). ``order`` must be a total order within a key.
     """
-    sorted_rows = df.repartitionByRange(F.col(key), *order).sortWithinPartitions(F.col(key), *order)
+    tasks = max(2, ceil(rows / rows_per_task))
+    sorted_rows = df.repartitionByRange(tasks, F.col(key), *order).sortWithinPartitions(F.col(key), *order)
     placed = reliable_checkpoint(
         sorted_rows.withColumns(
             {

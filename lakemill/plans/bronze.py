@@ -47,7 +47,9 @@ def bronze_rows(
     """The rows of one bronze batch and the schema changes found."""
     conformed, changes = conform(scan, contract.columns)
     numbered = number_lines(conformed, LINE)
-    marked = mark_duplicates(numbered, history, salt_by=LINE, min_hot_rows=min_hot_rows)
+    marked = mark_duplicates(
+        numbered, history, salt_by=LINE, counted=conformed, min_hot_rows=min_hot_rows
+    )
     checked = validate(marked, contract.rules(as_of))
     stamped = add_bronze_lineage(
         checked,

@@ -23,7 +23,7 @@ from lakemill.operators.filters import CUSTOMER_IDS, ITEM_IDS, ORDER_IDS, accept
 from lakemill.operators.lineage import add_silver_lineage
 from lakemill.operators.order_metrics import add_order_metrics
 from lakemill.operators.references import flag_reference
-from lakemill.operators.skew import MIN_HOT_ROWS, hot_keys
+from lakemill.operators.skew import MIN_HOT_ROWS, HotKeys, hot_keys
 from lakemill.operators.standardize import (
     repair_line_total,
     repair_order_total,
@@ -108,14 +108,14 @@ def silver_items(
     batch_id: str,
     as_of: date | None = None,
     processed_at: datetime | None = None,
-    hot: Sequence[str | None] | None = None,
+    hot: HotKeys | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """``orders``: silver orders, or null for an unknown reference. ``hot``: see ``hot_keys``."""
     valid = drop_invalid(bronze, ITEM_IDS)
     if hot is None:  # counted before the filter, so that one column is read
         counted = hot_keys(bronze, "order_id", min_rows=min_hot_rows)
-        hot = [key for key in counted if key and key.strip()]
+        hot = {key: rows for key, rows in counted.items() if key and key.strip()}
     newest = newest_per_key(valid, "item_id", INGESTED_AT, _ties(LINE))
     typed = enrich_items(repair_line_total(standardize_items(newest)))
     flagged = flag_reference(typed, orders, "order_id", "has_valid_order", salt_by="item_id", hot=hot)

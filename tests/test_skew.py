@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakemill.operators.duplicates import mark_duplicates
 from lakemill.operators.order_metrics import add_order_metrics
 from lakemill.operators.references import flag_reference, orphans
-from lakemill.operators.skew import hot_keys, key_profile
+from lakemill.operators.skew import hot_keys, key_profile, spread_join
 
 
 def rows_of(df):
@@ -15,7 +15,7 @@ def rows_of(df):
 
 @pytest.fixture(scope="module")
 def items(spark):
-    """3,000 items; order A holds a third, a null order some, many totals are equal."""
+    """3,000 items; order A holds a third, a null order 40, many totals are equal."""
     n = F.col("id")
     return spark.range(0, 3000, 1, 7).select(
         F.concat(F.lit("i"), n.cast("string")).alias("item_id"),
@@ -26,21 +26,32 @@ def items(spark):
 
 def test_hot_keys_finds_the_heavy_ones(items):
     hot, distinct = key_profile(items, "order_id", min_rows=40)
-    assert hot == ["A", None]
+    assert hot == {"A": 1000, None: 40}
     assert abs(distinct - items.select("order_id").dropna().distinct().count()) < 40
 
 
 def test_no_hot_keys_when_even(spark):
-    assert hot_keys(spark.range(1000).withColumn("k", F.col("id") % 100), "k", min_rows=50) == []
+    assert hot_keys(spark.range(1000).withColumn("k", F.col("id") % 100), "k", min_rows=50) == {}
 
 
-@pytest.mark.parametrize("hot", [["A"], ["A", None], ["A", "o1", "absent"]])
-def test_order_metrics_same_with_hot_orders(items, hot):
-    assert rows_of(add_order_metrics(items, hot=hot)) == rows_of(add_order_metrics(items))
+@pytest.mark.parametrize("rows_per_task", [90, 1_000_000])
+@pytest.mark.parametrize("hot", [{"A": 1000}, {"A": 1000, None: 40}, {"A": 1000, "o1": 5, "absent": 9}])
+def test_order_metrics_same_with_hot_orders(items, hot, rows_per_task):
+    assert rows_of(add_order_metrics(items, hot=hot, rows_per_task=rows_per_task)) == rows_of(add_order_metrics(items))
+
+
+def test_hot_order_is_spread(spark, items):
+    """No task of the spread join holds much more than its share of the hot order."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    parents = items.select("order_id").distinct().withColumn("known", F.lit(True))
+    joined = spread_join(items, parents.hint("merge"), "order_id", "left", hot={"A": 1000}, salt_by="item_id", rows_per_task=30)
+    per_task = joined.groupBy("order_id", F.spark_partition_id().alias("p")).count().filter("order_id = 'A'").collect()
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(per_task) > 4 and max(r["count"] for r in per_task) < 500
 
 
 def test_order_metrics_brute_force(items):
-    got = {r["item_id"]: r for r in add_order_metrics(items, hot=["A", None]).collect()}
+    got = {r["item_id"]: r for r in add_order_metrics(items, hot={"A": 1000, None: 40}, rows_per_task=70).collect()}
     orders = {}
     for row in items.collect():
         orders.setdefault(row["order_id"], []).append((-row["line_total"], row["item_id"]))
@@ -54,11 +65,11 @@ def test_order_metrics_brute_force(items):
             assert got[item]["is_highest_value_item"] == (rank == 1)
 
 
-@pytest.mark.parametrize("hot", [["A"], ["A", None]])
+@pytest.mark.parametrize("hot", [{"A": 1000}, {"A": 1000, None: 40}])
 def test_reference_check_same_with_hot_keys(spark, items, hot):
     parents = spark.createDataFrame([("A",), ("A",), ("o4",), ("o8",)], "order_id string")
     plain = flag_reference(items, parents, "order_id", "known", salt_by="item_id")
-    spread = flag_reference(items, parents, "order_id", "known", salt_by="item_id", hot=hot)
+    spread = flag_reference(items, parents, "order_id", "known", salt_by="item_id", hot=hot, rows_per_task=10)
     assert rows_of(plain) == rows_of(spread)
     assert plain.count() == 3000
     lost = orphans(items, parents, "order_id", salt_by="item_id", hot=hot)
@@ -71,8 +82,8 @@ def test_unknown_parents_give_null(items):
 
 
 @pytest.mark.parametrize("min_hot_rows", [5, 1_000_000])
-@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-def test_duplicates_keep_every_row(spark, min_hot_rows, broadcast_rows):
+@pytest.mark.parametrize("broadcast_hashes", [0, 1_000_000])
+def test_duplicates_keep_every_row(spark, min_hot_rows, broadcast_hashes):
     """A third of the batch is one record; its hash came with two earlier batches."""
     n = F.col("id")
     batch = spark.range(90).select(
@@ -87,7 +98,8 @@ def test_duplicates_keep_every_row(spark, min_hot_rows, broadcast_rows):
         "_bronze_ingestion_timestamp": F.lit("2024-01-01").cast("timestamp"), "_bronze_ingestion_batch_id": F.lit("early"),
     }))
     marked = mark_duplicates(
-        batch, history, salt_by="_line", within_batch=True, min_hot_rows=min_hot_rows, broadcast_rows=broadcast_rows
+        batch, history, salt_by="_line", within_batch=True, min_hot_rows=min_hot_rows, rows_per_task=4,
+        broadcast_hashes=broadcast_hashes,
     ).collect()
     assert len(marked) == 90
     for row in marked:
