@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date
 
@@ -30,13 +31,40 @@ REGISTRATION_DATES = ["yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyy-MM-dd'T'HH
 LENIENT_DATES = ["yyyy-M-d", "M/d/yyyy", "d-M-yyyy"]
 
 
+_TOKEN = re.compile(r"'[^']*'|([a-zA-Z])\1*|.")
+_LETTERS = "yMdHmsS"
+
+
+def shape(fmt: str) -> str | None:
+    """Regular expression of the texts that a format can read; null if it has other fields."""
+    parts = []
+    for token in (m.group() for m in _TOKEN.finditer(fmt)):
+        if token in "[]":
+            parts.append({"[": "(?:", "]": ")?"}[token])
+        elif token.startswith("'"):
+            parts.append(re.escape(token.strip("'")))
+        elif not token[0].isalpha():
+            parts.append(re.escape(token))
+        elif token[0] not in _LETTERS or token == "MMM":
+            return None
+        else:
+            parts.append(r"\d{1,2}" if len(token) == 1 else rf"\d{{{len(token)}}}")
+    return "^" + "".join(parts) + "$"
+
+
+def _try_format(c: Column, fmt: str) -> Column:
+    # A failed parse costs several times a pattern match, and most formats of a list fail.
+    parsed, pattern = F.try_to_timestamp(c, F.lit(fmt)), shape(fmt)
+    return parsed if pattern is None else F.when(c.rlike(pattern), parsed)
+
+
 def parse_timestamp(c: Column, formats: Sequence[str] = tuple(MONTH_FIRST_ISO)) -> Column:
     """First format that fits, else null. Never raises, also under ANSI mode."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[_try_format(c, f) for f in formats])
 
 
 def parse_date(c: Column, formats: Sequence[str] = tuple(REGISTRATION_DATES)) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("date")
+    return parse_timestamp(c, formats).cast("date")
 
 
 def days_until(as_of: date, c: Column) -> Column:

@@ -49,9 +49,14 @@ def key_profile(
     return {item: rows for item, rows in counts.items() if rows >= min_rows}, found["keys"]
 
 
-def hot_keys(df: DataFrame, key: str, **bounds: int) -> dict[str | None, int]:
-    """Keys that hold at least ``min_rows`` rows (see ``key_profile``)."""
-    return key_profile(df, key, **bounds)[0]
+def hot_keys(df: DataFrame, key: str, *, min_rows: int = MIN_HOT_ROWS) -> dict[str | None, int]:
+    """Keys that hold at least ``min_rows`` rows (see ``key_profile``).
+
+    A stored table with fewer rows than that is known from its file footers.
+    """
+    if df.count() < min_rows:
+        return {}
+    return key_profile(df, key, min_rows=min_rows)[0]
 
 
 def is_hot(key: Column, hot: HotKeys) -> Column:

@@ -71,6 +71,17 @@ def test_dates_depend_on_format_order(spark):
     assert day_first[2] is None
 
 
+def test_shapes_accept_what_the_formats_read(spark):
+    at = datetime(2024, 1, 2, 3, 4, 5, 123456)
+    known = {*dates.DAY_FIRST, *dates.MONTH_FIRST_ISO, *dates.EVENT_TIMES, *dates.REGISTRATION_DATES, *dates.LENIENT_DATES}
+    for fmt in known:
+        written = spark.range(1).select(F.date_format(F.lit(at), fmt.replace("[.SSSSSS][.SSS]", "")).alias("t"))
+        parsed = written.select(dates.parse_timestamp(F.col("t"), [fmt])).first()[0]
+        assert parsed is not None and parsed.date() == at.date(), fmt
+    assert dates.shape("dd/MMM/yyyy") is None
+    assert dates.shape("yyyy-MM-dd'T'HH[.SSS]") == r"^\d{4}\-\d{2}\-\d{2}T\d{2}(?:\.\d{3})?$"
+
+
 def test_lenient_dates(spark):
     got = values(spark, ["2024-2-5", "13/02/2024", "2/13/2024", "05-02-2024"],
                  lambda c: dates.parse_date(c, dates.LENIENT_DATES))
