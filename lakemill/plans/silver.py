@@ -1,7 +1,7 @@
 """Bronze rows -> silver tables.
 
 Each ``silver_*`` function is a pure plan; ``refine`` reads the unseen batches, runs one
-of them and appends the result. Invalid rows are dropped before rows are deduplicated, so
+of them and adds the result. Invalid rows are dropped before rows are deduplicated, so
 that a bad newest row does not hide a good older one.
 """
 
@@ -35,6 +35,7 @@ from lakemill.sources import lake
 
 INGESTED_AT = "_bronze_ingestion_timestamp"
 LINE = "_bronze_source_line_number"
+PROCESSED_AT = "_silver_processing_timestamp"
 
 # The columns of the silver tables, in order.
 LINEAGE_COLUMNS = [
@@ -199,7 +200,7 @@ def refine(
     min_hot_rows: int = MIN_HOT_ROWS,
     audit: AuditLog | None = None,
 ) -> SilverStats:
-    """Append the silver rows of one bronze batch, or of all batches not yet in silver."""
+    """Add the silver rows of one bronze batch, or of all batches not yet in silver."""
     spec = SILVER[table]
     bronze = lake.read_table(spark, bronze_path, spec.contract.bronze_schema)
     if bronze_batch_id is not None:
@@ -228,11 +229,16 @@ def refine_rows(
     min_hot_rows: int = MIN_HOT_ROWS,
     audit: AuditLog | None = None,
 ) -> SilverStats:
-    """Append the silver rows of the given bronze rows."""
+    """Add the silver rows of the given bronze rows; the same batch id again replaces them."""
     spec = SILVER[table]
     started = datetime.now()
     if not batches:
         return SilverStats((), 0, 0, 0, 0, 0.0, 0.0, 0.0)
+    if processed_at is None:  # a repeated batch keeps its day, and so its partitions
+        stored = lake.existing_table(spark, silver_path, f"{lake.SILVER_BATCH} string, {PROCESSED_AT} timestamp")
+        if stored is not None:
+            earlier = stored.filter(F.col(lake.SILVER_BATCH) == batch_id)
+            processed_at = earlier.agg(F.min(PROCESSED_AT)).first()[0]
     common = {"batch_id": batch_id, "as_of": as_of, "processed_at": processed_at}
     plans: dict[str, Callable[[], DataFrame]] = {
         "customers": lambda: silver_customers(bronze, **common),
@@ -244,9 +250,9 @@ def refine_rows(
             **common,
         ),
     }
-    lake.append_partitioned(plans[table](), silver_path, spec.partition_by)
-    stored = lake.read_table(spark, silver_path, "_silver_batch_id string")
-    counts = stage_counts(bronze, spec.ids, stored.filter(F.col("_silver_batch_id") == batch_id)).first()
+    lake.write_silver_batch(plans[table](), silver_path, spec.partition_by)
+    stored = lake.read_table(spark, silver_path, f"{lake.SILVER_BATCH} string")
+    counts = stage_counts(bronze, spec.ids, stored.filter(F.col(lake.SILVER_BATCH) == batch_id)).first()
     seconds = (datetime.now() - started).total_seconds()
     stats = SilverStats(
         batches=tuple(batches),

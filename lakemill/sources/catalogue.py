@@ -27,7 +27,15 @@ LENGTH_UNITS = {"cm": ["cm"], "in": ["in", "inches"]}
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", "Product").schema(PRODUCT).load(path)
+    """Products from XML files.
+
+    The files are cut at each closing tag, so that one large file is read by many tasks;
+    the XML reader takes a file with records of several lines as one task.
+    """
+    pieces = spark.read.option("lineSep", "</Product>").text(path)
+    opened = pieces.select(F.regexp_extract("value", r"(?s)(<Product[\s>].*)", 1).alias("value"))
+    elements = opened.filter(F.col("value") != "")
+    return parse_products(elements.select(F.concat("value", F.lit("</Product>")).alias("value")))
 
 
 def parse_products(df: DataFrame, column: str = "value") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 BATCH = "_bronze_ingestion_batch_id"
 INGESTED_ON = "_bronze_ingestion_date"
+SILVER_BATCH = "_silver_batch_id"
 
 
 def read_table(
@@ -23,18 +24,20 @@ def read_table(
     return reader.load(path)
 
 
-def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+def existing_table(
+    spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet"
+) -> DataFrame | None:
+    """The table, or null if its folder does not exist. Other failures are raised."""
     try:
-        spark.read.format(fmt).schema("_probe string").load(path)
+        return read_table(spark, path, schema, fmt)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
-    return True
 
 
-def existing_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
-    return read_table(spark, path, schema) if table_exists(spark, path) else None
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    return existing_table(spark, path, "_probe string", fmt) is not None
 
 
 def one_batch(df: DataFrame, batch_id: str) -> DataFrame:
@@ -59,31 +62,31 @@ def unseen_rows(bronze: DataFrame, silver: DataFrame | None) -> tuple[DataFrame,
     return bronze.filter(F.col(BATCH).isin(ids)), ids
 
 
-def write_bronze_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Add one batch, partitioned by ingestion day and batch id.
-
-    Only the partitions of this batch are replaced, so a repeated run of a failed batch
-    does not store rows twice.
-    """
+def _replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> None:
+    """Write partitions, each in place of a former version of itself."""
     (
         df.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(INGESTED_ON, BATCH)
+        .partitionBy(*partition_by)
         .save(path)
     )
 
 
-def append_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Append, partitioned by the given columns.
+def write_bronze_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Add one batch, partitioned by ingestion day and batch id.
+
+    Only the partitions of this batch are replaced, so a repeated run of a failed batch
+    does not store rows twice.
+    """
+    _replace_partitions(df, path, [INGESTED_ON, BATCH], fmt)
+
+
+def write_silver_batch(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """Add one silver batch, partitioned by the given columns and, within those, its id.
 
     ``REBALANCE`` gathers the rows of a partition into files of the advisory size and
     splits a partition that is too large for one task.
     """
-    (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.format(fmt)
-        .mode("append")
-        .partitionBy(*partition_by)
-        .save(path)
-    )
+    rebalanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    _replace_partitions(rebalanced, path, [*partition_by, SILVER_BATCH], fmt)

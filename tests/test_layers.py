@@ -79,6 +79,12 @@ def test_orders_end_to_end(spark, tmp_path, paths):
     again = refine(spark, "orders", paths["bronze_orders"], paths["silver_orders"], batch_id="s2", as_of=AS_OF)
     assert (again.records_input, again.records_output, again.batches) == (0, 0, ())
 
+    repeated = refine(
+        spark, "orders", paths["bronze_orders"], paths["silver_orders"], batch_id="s1", as_of=AS_OF, bronze_batch_id="b1"
+    )
+    assert repeated.records_output == 3
+    assert lake.read_table(spark, paths["silver_orders"]).count() == 3
+
     # Second batch: one known record, one new; ingesting it twice stores it once.
     later = write_csv(tmp_path / "in2" / "orders.csv", ORDERS.columns, [ORDER_ROWS[0], ("O7", *ORDER_ROWS[3][1:])])
     for _ in range(2):

@@ -60,6 +60,15 @@ def orders_dates(spark, sf_dir):
     )
 
 
+@query("orders_dates_sql", duck.cte(o=BASE) + f"""
+SELECT k, {duck.time_text(duck.month_first('order_date'))} AS order_date_ts FROM o""")
+def orders_dates_sql(spark, sf_dir):
+    parses = ", ".join(f"try_to_timestamp(order_date, :f{i})" for i in range(len(dates.MONTH_FIRST_ISO)))
+    sql = f"SELECT k, coalesce({parses}) AS order_date_ts FROM {{orders}}"
+    formats = {f"f{i}": f for i, f in enumerate(dates.MONTH_FIRST_ISO)}
+    return plain(spark.sql(sql, args=formats, orders=messy(spark, sf_dir)))
+
+
 CALENDAR = """year(d) AS order_year, month(d) AS order_month, day(d) AS order_day, quarter(d) AS order_quarter,
     dayofweek(d) + 1 AS order_day_of_week, strftime(d, '%A') AS order_day_name,
     weekofyear(d) AS order_week_of_year, hour(d) AS order_hour,
