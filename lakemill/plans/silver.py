@@ -73,11 +73,22 @@ def _ties(order: str) -> list:
     return [F.col(lake.BATCH).desc(), F.col(order).desc()]
 
 
+def _newest_valid(bronze: DataFrame, ids: Sequence[str], key: str, filter_first: bool) -> DataFrame:
+    if filter_first:
+        return newest_per_key(drop_invalid(bronze, ids), key, INGESTED_AT, _ties(LINE))
+    return drop_invalid(newest_per_key(bronze, key, INGESTED_AT, _ties(LINE)), ids)
+
+
 def silver_customers(
-    bronze: DataFrame, *, batch_id: str, as_of: date, processed_at: datetime | None = None
+    bronze: DataFrame,
+    *,
+    batch_id: str,
+    as_of: date,
+    processed_at: datetime | None = None,
+    filter_first: bool = True,
 ) -> DataFrame:
-    valid = drop_invalid(bronze, CUSTOMER_IDS)
-    newest = newest_per_key(valid, "customer_id", INGESTED_AT, _ties(LINE))
+    """``filter_first=False`` drops a customer whose newest row is invalid."""
+    newest = _newest_valid(bronze, CUSTOMER_IDS, "customer_id", filter_first)
     enriched = enrich_customers(standardize_customers(newest), as_of)
     stamped = add_silver_lineage(
         enriched, batch_id=batch_id, hash_columns=CUSTOMER_HASH, processed_at=processed_at
@@ -111,13 +122,16 @@ def silver_items(
     processed_at: datetime | None = None,
     hot: HotKeys | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
+    filter_first: bool = True,
 ) -> DataFrame:
-    """``orders``: silver orders, or null for an unknown reference. ``hot``: see ``hot_keys``."""
-    valid = drop_invalid(bronze, ITEM_IDS)
+    """``orders``: silver orders, or null for an unknown reference. ``hot``: see ``hot_keys``.
+
+    ``filter_first=False`` drops an item whose newest row is invalid.
+    """
     if hot is None:  # counted before the filter, so that one column is read
         counted = hot_keys(bronze, "order_id", min_rows=min_hot_rows)
         hot = {key: rows for key, rows in counted.items() if key and key.strip()}
-    newest = newest_per_key(valid, "item_id", INGESTED_AT, _ties(LINE))
+    newest = _newest_valid(bronze, ITEM_IDS, "item_id", filter_first)
     typed = enrich_items(repair_line_total(standardize_items(newest)))
     flagged = flag_reference(typed, orders, "order_id", "has_valid_order", salt_by="item_id", hot=hot)
     measured = add_order_metrics(flagged, hot=hot)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from lakemill.operators import audit
 from workloads import derive, duck
-from workloads.shape import plain
+from workloads.shape import Checks, plain
 
-QUERIES, ORACLES = {}, {}
+CHECKS = Checks()
+query = CHECKS.query
 AS_OF = date(2001, 8, 1)
 
 # One bronze batch per order day and status.
@@ -33,14 +34,6 @@ SELECT 'run-' || cast(cast(o_orderdate AS date) AS string) AS execution_id, 'dai
 FROM {orders} GROUP BY o_orderdate"""
 
 
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name], ORACLES[name] = function, oracle
-        return function
-
-    return register
-
-
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.run(spark, sf_dir, BRONZE_LOG)
 
@@ -83,7 +76,7 @@ STATES = """SELECT *, CASE WHEN n % 2 = 0 THEN 'SUCCESS' ELSE 'RUNNING' END AS s
 
 
 @query("latest_execution", duck.cte(e=derive.duck(EVENTS), s=STATES) + """
-SELECT execution_id, status, duration_seconds, records_processed FROM s""")
+SELECT execution_id, status, duration_seconds, records_processed FROM s""", optional=["records_processed"])
 def latest_execution(spark, sf_dir):
     latest = audit.latest_executions(_events(spark, sf_dir))
     return plain(latest.select("execution_id", "status", "duration_seconds", "records_processed"))
@@ -91,7 +84,7 @@ def latest_execution(spark, sf_dir):
 
 @query("run_performance", duck.cte(e=derive.duck(EVENTS), s=STATES) + f"""
 SELECT {duck.day_text('execution_date')} AS execution_date, status, duration_seconds, records_processed, 'SCHEDULED' AS triggered_by
-FROM s WHERE execution_date >= DATE '2001-08-01' - INTERVAL 1000 DAY""")
+FROM s WHERE execution_date >= DATE '2001-08-01' - INTERVAL 1000 DAY""", optional=["records_processed"])
 def run_performance(spark, sf_dir):
     latest = audit.latest_executions(_events(spark, sf_dir))
     return plain(audit.execution_performance(latest, "daily", AS_OF, 1000))
@@ -109,7 +102,7 @@ SELECT b.batch_id, b.table_name AS bronze_table, b.status AS bronze_status, reco
     CASE WHEN status = 'SUCCESS' AND table_name = 'orders' THEN 'sales' END AS gold_table,
     CASE WHEN status = 'SUCCESS' AND table_name = 'orders' THEN 'SUCCESS' END AS gold_status,
     CASE WHEN status = 'SUCCESS' AND table_name = 'orders' THEN records_total END AS records_inserted
-FROM b""")
+FROM b""", optional=["records_input", "records_inserted", "records_output"])
 def batch_summary(spark, sf_dir):
     bronze = _log(spark, sf_dir)
 

@@ -14,20 +14,13 @@ from lakemill.operators.dedup import newest_per_key
 from lakemill.operators.drift import conform
 from lakemill.plans.silver import CUSTOMER_COLUMNS, silver_customers
 from workloads import derive, duck
-from workloads.shape import AS_OF, plain
+from workloads.shape import AS_OF, Checks, plain
 
-QUERIES, ORACLES = {}, {}
+CHECKS = Checks()
+query = CHECKS.query
 BASE = derive.duck(derive.CUSTOMERS)
 
 
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name], ORACLES[name] = function, oracle
-        return function
-
-    return register
-
-
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.landed(spark, sf_dir, "customers", derive.CUSTOMERS)
 
@@ -84,12 +77,12 @@ ENRICHED_OUT = """CASE WHEN first_name IS NOT NULL AND last_name IS NOT NULL THE
     email_valid OR phone IS NOT NULL AS has_verified_contact"""
 
 
-@query("customers_clean", duck.cte(c=BASE, s=CLEAN.replace("SOURCE", "c")) + f"SELECT k, customer_id, {CLEAN_OUT} FROM s")
+@query("customers_clean", duck.cte(c=BASE, s=CLEAN.replace("SOURCE", "c")) + f"SELECT k, customer_id, {CLEAN_OUT} FROM s", optional=["is_active"])
 def customers_clean(spark, sf_dir):
     return plain(standardize.standardize_customers(messy(spark, sf_dir)))
 
 
-@query("customers_enriched", duck.cte(c=BASE, s=CLEAN.replace("SOURCE", "c")) + f"SELECT k, {ENRICHED_OUT} FROM s")
+@query("customers_enriched", duck.cte(c=BASE, s=CLEAN.replace("SOURCE", "c")) + f"SELECT k, {ENRICHED_OUT} FROM s", optional=["customer_age_days"])
 def customers_enriched(spark, sf_dir):
     enriched = enrich.enrich_customers(standardize.standardize_customers(messy(spark, sf_dir)), AS_OF)
     return plain(enriched.select("k", "full_name", "customer_age_days", "customer_tier", "email_domain", "has_verified_contact"))
@@ -179,11 +172,20 @@ def dedup_customers(spark, sf_dir):
     v=f"""SELECT * EXCLUDE (seen_at, batch, n) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY seen_at DESC, batch DESC, k DESC) AS n
         FROM b WHERE {VALID}) WHERE n = 1""",
     s=CLEAN.replace("SOURCE", "v"),
-) + f"SELECT customer_id, {CLEAN_OUT}, {ENRICHED_OUT} FROM s")
+) + f"SELECT customer_id, {CLEAN_OUT}, {ENRICHED_OUT} FROM s", optional=["customer_age_days", "is_active"])
 def customers_silver(spark, sf_dir):
     return plain(silver_customers(bronze(spark, sf_dir), batch_id="s-1", as_of=AS_OF).select(*CUSTOMER_COLUMNS))
 
 
+@query("customers_dedup_first", duck.cte(
+    **BATCHES,
+    n="SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY seen_at DESC, batch DESC, k DESC) AS n FROM b",
+) + f"SELECT customer_id, email FROM n WHERE n = 1 AND {VALID}")
+def customers_dedup_first(spark, sf_dir):
+    rows = silver_customers(bronze(spark, sf_dir), batch_id="s-1", as_of=AS_OF, filter_first=False)
+    return rows.select("customer_id", "email")
+
+
 @query("customer_changes", duck.cte(
     c=BASE,
     u="""SELECT customer_id, email, lifetime_value, k, 0 AS part FROM c

@@ -8,17 +8,10 @@ from lakemill.operators import quality
 from lakemill.sources import campaigns, catalogue, clickstream, inventory, reviews
 from workloads import derive, duck
 from workloads.derive import money, pad, ymd
-from workloads.shape import plain
+from workloads.shape import Checks, plain
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name], ORACLES[name] = function, oracle
-        return function
-
-    return register
+CHECKS = Checks()
+query = CHECKS.query
 
 
 def quoted(name: str, value: str) -> str:
@@ -86,7 +79,7 @@ SELECT 'ev-' || cast(id AS string) AS event_id, event_type, time_text AS event_t
     CASE WHEN event_type = 'purchase' THEN 'ORD' || {pad('id', 8)} END AS order_id,
     CASE WHEN event_type = 'purchase' THEN cast({money('cents')} AS double) END AS order_total,
     CASE WHEN event_type = 'purchase' THEN 1 + id % 10 END AS order_items
-FROM e""")
+FROM e""", optional=["in_stock", "order_items", "quantity", "results_count"])
 def events_flat(spark, sf_dir):
     flat = clickstream.flatten_events(clickstream.parse_events(derive.landed(spark, sf_dir, "events", event_lines)))
     return plain(
@@ -268,7 +261,7 @@ SELECT id AS product_id, CASE k % 4 WHEN 0 THEN 'active' WHEN 1 THEN 'active' WH
     size + 0.25::double AS weight, CASE k % 4 WHEN 0 THEN 'kg' WHEN 1 THEN 'lb' WHEN 2 THEN 'lb' END AS weight_unit,
     size AS length, size + 1 AS width, size + 2 AS height, CASE WHEN k % 3 = 0 THEN 'cm' ELSE 'in' END AS dimension_unit,
     {DAY} AS created_on, {DAY} || ' 12:30:00' AS updated_at
-FROM p""")
+FROM p""", optional=["height", "length", "review_count", "stock_quantity", "width"])
 def catalogue_products(spark, sf_dir):
     return plain(catalogue.products(parsed_catalogue(spark, sf_dir)))
 
@@ -315,7 +308,7 @@ def _reviews(spark, sf_dir):
 SELECT k, review_id, {RATING} AS rating, {VERIFIED} AS verified_purchase, CASE WHEN k % 10 <> 0 THEN k % 100 END AS helpful_votes,
     CASE WHEN k % 10 <> 0 THEN k % 100 + 5 END AS total_votes, length(review_text) AS review_length,
     CASE k % 4 WHEN 0 THEN 'published' WHEN 1 THEN 'pending' END AS review_status
-FROM r""")
+FROM r""", optional=["helpful_votes", "rating", "total_votes", "verified_purchase"])
 def reviews_clean(spark, sf_dir):
     return plain(reviews.clean_reviews(_reviews(spark, sf_dir)).drop("review_text", "product_id"))
 

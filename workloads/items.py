@@ -16,20 +16,13 @@ from lakemill.operators.references import flag_reference, orphans
 from lakemill.operators.skew import hot_keys
 from lakemill.plans.silver import ITEM_COLUMNS, silver_items
 from workloads import derive, duck
-from workloads.shape import AS_OF, plain
+from workloads.shape import AS_OF, Checks, plain
 
-QUERIES, ORACLES = {}, {}
+CHECKS = Checks()
+query = CHECKS.query
 BASE = derive.duck(derive.ITEMS)
 
 
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name], ORACLES[name] = function, oracle
-        return function
-
-    return register
-
-
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.landed(spark, sf_dir, "items", derive.ITEMS)
 

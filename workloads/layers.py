@@ -13,19 +13,13 @@ from lakemill.operators.duplicates import mark_duplicates, with_landing_hash
 from lakemill.functions.dates import parse_timestamp
 from lakemill.sources import lake
 from workloads import derive, duck, orders
+from workloads.shape import Checks
 
-QUERIES, ORACLES = {}, {}
+CHECKS = Checks()
+query = CHECKS.query
 BASE = orders.BASE
 
 
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name], ORACLES[name] = function, oracle
-        return function
-
-    return register
-
-
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order ingested by the batch of its year, and finished ones again a year later."""
     hashed = with_landing_hash(orders.messy(spark, sf_dir).select(*CONTRACT.columns, F.col("batch_no").alias("_year"),

@@ -13,20 +13,13 @@ from lakemill.operators.filters import ORDER_IDS, amount_mismatches, drop_invali
 from lakemill.plans.bronze import bronze_rows
 from lakemill.plans.silver import ORDER_COLUMNS, silver_orders, stage_counts
 from workloads import derive, duck
-from workloads.shape import AS_OF, plain
+from workloads.shape import AS_OF, Checks, plain
 
-QUERIES, ORACLES = {}, {}
+CHECKS = Checks()
+query = CHECKS.query
 BASE = derive.duck(derive.ORDERS)
 
 
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name], ORACLES[name] = function, oracle
-        return function
-
-    return register
-
-
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.landed(spark, sf_dir, "orders", derive.ORDERS)
 
@@ -78,7 +71,7 @@ CALENDAR = """year(d) AS order_year, month(d) AS order_month, day(d) AS order_da
 
 
 @query("orders_calendar", duck.cte(o=BASE, p=f"SELECT k, {duck.month_first('order_date')} AS d FROM o") + f"""
-SELECT k, {CALENDAR}, date_diff('day', cast(d AS date), DATE '2025-01-01') AS days_since_order FROM p""")
+SELECT k, {CALENDAR}, date_diff('day', cast(d AS date), DATE '2025-01-01') AS days_since_order FROM p""", optional=["days_since_order", "is_weekend", "order_day", "order_day_of_week", "order_hour", "order_month", "order_quarter", "order_week_of_year", "order_year"])
 def orders_calendar(spark, sf_dir):
     parsed = messy(spark, sf_dir).select("k", dates.parse_timestamp(F.col("order_date")).alias("order_date"))
     since = dates.days_until(AS_OF, F.col("order_date")).alias("days_since_order")
@@ -208,7 +201,7 @@ SILVER_PARTS = {
 SELECT order_id, customer_id, {duck.time_text('d')} AS order_date, cast(subtotal AS double) AS subtotal,
     cast(tax_amount AS double) AS tax_amount, cast(discount_amount AS double) AS discount_amount,
     cast(total AS double) AS total_amount, payment_method, {duck.time_text('created')} AS created_at, {CALENDAR}
-FROM s""")
+FROM s""", optional=["is_weekend", "order_day", "order_day_of_week", "order_hour", "order_month", "order_quarter", "order_week_of_year", "order_year"])
 def orders_silver(spark, sf_dir):
     return plain(silver_orders(bronze(spark, sf_dir), batch_id="s-1", as_of=AS_OF).select(*ORDER_COLUMNS))
 

@@ -6,5 +6,5 @@ from workloads import audit, customers, feeds, items, layers, orders
 
 QUERIES, ORACLES = {}, {}
 for _module in (items, orders, customers, layers, audit, feeds):
-    QUERIES.update(_module.QUERIES)
-    ORACLES.update(_module.ORACLES)
+    QUERIES.update(_module.CHECKS.queries)
+    ORACLES.update(_module.CHECKS.oracles)
