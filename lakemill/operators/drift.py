@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,16 +20,19 @@ def detect_drift(df: DataFrame, expected: Sequence[str]) -> dict:
     }
 
 
+def _exactly(name: str) -> Column:
+    """The column of that name, also when a feed's header has dots or spaces in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def conform(df: DataFrame, expected: Sequence[str]) -> tuple[DataFrame, dict]:
     """Exactly the expected columns, plus ``_extra_fields`` with the others as JSON.
 
     ``_extra_fields`` is null when there is nothing extra; missing columns become null strings.
     """
     changes = detect_drift(df, expected)
-    extra = changes["new_columns"]
-    columns = [
-        F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in expected
-    ]
+    extra = [_exactly(c) for c in changes["new_columns"]]
+    columns = [_exactly(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in expected]
     folded = F.to_json(F.struct(*extra)) if extra else F.lit(None).cast("string")
     return df.select(*columns, folded.alias("_extra_fields")), changes
 

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 MIN_HOT_ROWS = 1_000_000
 ROWS_PER_TASK = 500_000
+_MERGERS = 256
 _ROW_BITS = (1 << 33) - 1
 
 HotKeys = Mapping[str | None, int]
@@ -29,24 +30,34 @@ def key_profile(
     *,
     min_rows: int = MIN_HOT_ROWS,
     limit: int = 10_000,
-    tracked: int = 100_000,
+    tracked: int = 20_000,
 ) -> tuple[dict[str | None, int], int]:
     """Hot keys, as text, with their row counts, and the approximate number of distinct keys.
 
     One pass over one column. Each task keeps a frequent-items sketch of at most
-    ``tracked`` entries and only sketches are merged, so no key is shuffled and at most
-    ``limit`` values reach the driver. ``None`` stands for null. A key that is not
-    returned is still handled, by the plain plan.
+    ``tracked`` entries; no key is shuffled, and the sketches are merged in ``_MERGERS``
+    groups before one task merges those. At most ``limit`` values reach the driver.
+    ``None`` stands for null. A key that is not returned is still handled, by the plain
+    plan.
     """
-    c = F.col(key)
-    found = df.agg(
-        F.expr(f"approx_top_k(cast(`{key}` as string), {limit}, {tracked})").alias("top"),
+    c = F.col(key).cast("string")
+    partial = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("merger")).agg(
+        F.call_function("approx_top_k_accumulate", c, F.lit(tracked)).alias("items"),
+        F.hll_sketch_agg(c).alias("distinct"),
         F.count_if(c.isNull()).alias("nulls"),
-        F.approx_count_distinct(c).alias("keys"),
+    )
+    items = F.call_function("approx_top_k_combine", "items", F.lit(tracked))
+    # Grouped by a constant: without rows there is then no result row, and nothing to merge.
+    found = partial.groupBy(F.lit("all").alias("all")).agg(
+        F.call_function("approx_top_k_estimate", items, F.lit(limit)).alias("top"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("distinct"),
+        F.sum("nulls").alias("nulls"),
     ).first()
+    if found is None:
+        return {}, 0
     counts = {row["item"]: row["count"] for row in found["top"]}
     counts[None] = found["nulls"]
-    return {item: rows for item, rows in counts.items() if rows >= min_rows}, found["keys"]
+    return {item: rows for item, rows in counts.items() if rows >= min_rows}, found["distinct"]
 
 
 def hot_keys(df: DataFrame, key: str, *, min_rows: int = MIN_HOT_ROWS) -> dict[str | None, int]:

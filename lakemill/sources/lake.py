@@ -49,7 +49,7 @@ def unseen_batches(bronze: DataFrame, silver: DataFrame | None) -> DataFrame:
     batches = bronze.select(BATCH).distinct()
     if silver is None:
         return batches
-    return batches.join(F.broadcast(silver.select(BATCH).distinct()), BATCH, "left_anti")
+    return batches.join(silver.select(BATCH).distinct(), BATCH, "left_anti")
 
 
 def unseen_rows(bronze: DataFrame, silver: DataFrame | None) -> tuple[DataFrame, list[str]]:

@@ -157,6 +157,8 @@ def test_drift(spark):
     conformed, changes = conform(df, ["a", "b"])
     assert (changes["new_columns"], changes["missing_columns"], changes["has_changes"]) == (["extra", "more"], ["b"], True)
     assert conformed.first().asDict() == {"a": "1", "b": None, "_extra_fields": '{"extra":"x"}'}
+    dotted = spark.createDataFrame([("1", "x")], "a string, `unit.price (USD)` string")
+    assert conform(dotted, ["a"])[0].first()["_extra_fields"] == '{"unit.price (USD)":"x"}'
     only_missing, _ = conform(df.select("a"), ["a", "b"])
     assert only_missing.first()["_extra_fields"] is None
     assert not detect_drift(df, df.columns)["has_changes"]

@@ -163,6 +163,18 @@ def test_customers_with_drift(spark, tmp_path, paths):
         "Anna Lee", "platinum", "mail.org", "(551) 234-5678")
 
 
+def test_empty_batch(spark, tmp_path, paths):
+    first = write_csv(tmp_path / "in" / "orders.csv", ORDERS.columns, ORDER_ROWS)
+    empty = write_csv(tmp_path / "none" / "orders.csv", ORDERS.columns, [])
+    ingest(spark, ORDERS, first, paths["bronze_orders"], batch_id="b1", as_of=AS_OF)
+    stats = ingest(spark, ORDERS, empty, paths["bronze_orders"], batch_id="b2", as_of=AS_OF)
+    assert (stats.records_total, stats.records_duplicate, stats.data_quality_score) == (0, 0, 0.0)
+    done = refine(
+        spark, "orders", paths["bronze_orders"], paths["silver_orders"], batch_id="s", as_of=AS_OF, bronze_batch_id="b2"
+    )
+    assert (done.records_input, done.records_output, done.data_quality_score) == (0, 0, 0.0)
+
+
 def test_csv_with_another_header_raises(spark, tmp_path):
     write_csv(tmp_path / "in" / "a.csv", ["x", "y"], [("1", "2")] * 3)
     write_csv(tmp_path / "in" / "b.csv", ["y", "x"], [("1", "2")])

@@ -107,3 +107,7 @@ def test_duplicates_keep_every_row(spark, min_hot_rows, broadcast_hashes):
         assert row["_dq_is_duplicate"] == known
         assert row["_dq_duplicate_of_batch"] == ("early" if known else None)
         assert row["_dq_dup_in_batch"] == (row["a"] == "same")
+
+
+def test_profile_of_nothing(spark):
+    assert key_profile(spark.createDataFrame([], "k string"), "k", min_rows=1) == ({}, 0)
