@@ -14,6 +14,9 @@ BROADCAST_HASHES = 1_000_000
 
 
 def with_landing_hash(df: DataFrame) -> DataFrame:
+    """Add the content hash of the source columns, unless it is there already."""
+    if HASH in df.columns:
+        return df
     return df.withColumn(HASH, landing_hash(source_columns(df)))
 
 
@@ -44,8 +47,7 @@ def mark_duplicates(
     large share of a batch, hence the spread join.
 
     ``within_batch`` adds ``_dq_dup_in_batch`` for content that this batch repeats itself.
-    ``counted`` is the batch as it was scanned, where ``df`` is a costlier form of it: the
-    hashes are counted there.
+    ``counted`` is the batch in a cheaper form than ``df``, to count the hashes in.
     """
     hashed = with_landing_hash(df)
     if history is None and not within_batch:

@@ -9,21 +9,29 @@ from pyspark.sql.window import Window
 _ROW_BITS = (1 << 33) - 1
 
 
-def number_lines(scan: DataFrame, column: str = "_bronze_source_line_number") -> DataFrame:
-    """Number the rows of a file scan.
-
-    First pass: rows per scan partition (no column is read). The running total of that
-    table, one row per scan partition, is broadcast; each row adds its position in its
-    partition. Call it on the bare scan, whose partitions are the same in both passes.
-    """
-    counts = scan.groupBy(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    placed = scan.withColumns(
+def with_positions(scan: DataFrame) -> DataFrame:
+    """Add ``_part`` and ``_pos``: the scan partition of a row and its position in there."""
+    return scan.withColumns(
         {
             "_part": F.spark_partition_id(),
             "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
         }
     )
+
+
+def number_positions(placed: DataFrame, column: str) -> DataFrame:
+    """Dense numbers in the order of (``_part``, ``_pos``).
+
+    The running total of the rows per partition, a table with one row per scan partition,
+    is broadcast; each row adds its position.
+    """
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     numbered = placed.join(F.broadcast(offsets), "_part")
     return numbered.withColumn(column, F.col("_before") + F.col("_pos") + 1).drop("_part", "_pos", "_before")
+
+
+def number_lines(scan: DataFrame, column: str = "_bronze_source_line_number") -> DataFrame:
+    """Number the rows of a bare file scan, whose partitions are the same in both passes."""
+    return number_positions(with_positions(scan), column)

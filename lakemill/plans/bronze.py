@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from lakemill.contracts import FeedContract
 from lakemill.operators.audit import AuditLog, issues_from_bronze
 from lakemill.operators.drift import conform
-from lakemill.operators.duplicates import mark_duplicates
-from lakemill.operators.line_numbers import number_lines
+from lakemill.operators.duplicates import mark_duplicates, with_landing_hash
+from lakemill.operators.line_numbers import number_positions, with_positions
 from lakemill.operators.lineage import add_bronze_lineage
 from lakemill.operators.quality import validate
 from lakemill.operators.skew import MIN_HOT_ROWS
@@ -33,8 +33,15 @@ class BronzeStats:
     schema_changes: dict
 
 
+def located_rows(scan: DataFrame, contract: FeedContract) -> tuple[DataFrame, dict]:
+    """The landing rows under the contract's columns, with content hash and scan position,
+    and the schema changes found."""
+    conformed, changes = conform(scan, contract.columns)
+    return with_positions(with_landing_hash(conformed)), changes
+
+
 def bronze_rows(
-    scan: DataFrame,
+    located: DataFrame,
     contract: FeedContract,
     *,
     batch_id: str,
@@ -43,13 +50,10 @@ def bronze_rows(
     ingested_at: datetime | None = None,
     history: DataFrame | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
-) -> tuple[DataFrame, dict]:
-    """The rows of one bronze batch and the schema changes found."""
-    conformed, changes = conform(scan, contract.columns)
-    numbered = number_lines(conformed, LINE)
-    marked = mark_duplicates(
-        numbered, history, salt_by=LINE, counted=conformed, min_hot_rows=min_hot_rows
-    )
+) -> DataFrame:
+    """The rows of one bronze batch."""
+    numbered = number_positions(located, LINE)
+    marked = mark_duplicates(numbered, history, salt_by=LINE, counted=located, min_hot_rows=min_hot_rows)
     checked = validate(marked, contract.rules(as_of))
     stamped = add_bronze_lineage(
         checked,
@@ -58,7 +62,7 @@ def bronze_rows(
         ingested_at=ingested_at,
         schema_version=contract.version,
     )
-    return stamped.select(*contract.bronze_schema.names), changes
+    return stamped.select(*contract.bronze_schema.names)
 
 
 def batch_counts(batch: DataFrame) -> DataFrame:
@@ -87,7 +91,9 @@ def ingest(
 ) -> BronzeStats:
     """Ingest one landing path as one batch. Running it again replaces the batch.
 
-    The counts are taken from the stored batch, so task retries cannot distort them.
+    The landing files are read once, into a staging table next to the bronze table; line
+    numbers and duplicates then need several passes over few columns of that. The counts
+    are taken from the stored batch, so task retries cannot distort them.
     """
     started = datetime.now()
     history = lake.existing_table(spark, bronze_path, contract.bronze_schema)
@@ -96,8 +102,10 @@ def ingest(
             earlier = lake.one_batch(history, batch_id).agg(F.min("_bronze_ingestion_timestamp"))
             ingested_at = earlier.first()[0]
         history = history.filter(F.col(lake.BATCH) != batch_id)
-    rows, changes = bronze_rows(
-        read_csv(spark, source),
+    located, changes = located_rows(read_csv(spark, source), contract)
+    staging = f"{bronze_path.rstrip('/')}_staging/{batch_id}"
+    rows = bronze_rows(
+        lake.staged(located, staging),
         contract,
         batch_id=batch_id,
         source_file=source,
@@ -107,6 +115,7 @@ def ingest(
         min_hot_rows=min_hot_rows,
     )
     lake.write_bronze_batch(rows, bronze_path)
+    lake.drop_folder(spark, staging)
     stored = lake.one_batch(lake.read_table(spark, bronze_path, contract.bronze_schema), batch_id)
     counts = batch_counts(stored).first()
     seconds = (datetime.now() - started).total_seconds()

@@ -62,6 +62,17 @@ def unseen_rows(bronze: DataFrame, silver: DataFrame | None) -> tuple[DataFrame,
     return bronze.filter(F.col(BATCH).isin(ids)), ids
 
 
+def staged(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """The rows as a stored table, so that later passes do not compute them again."""
+    df.write.format(fmt).mode("overwrite").save(path)
+    return read_table(df.sparkSession, path, df.schema, fmt)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> None:
     """Write partitions, each in place of a former version of itself."""
     (

@@ -59,6 +59,7 @@ def test_orders_end_to_end(spark, tmp_path, paths):
     stats = ingest(spark, ORDERS, source, paths["bronze_orders"], batch_id="b1", as_of=AS_OF, audit=audit)
     assert (stats.records_total, stats.records_with_errors, stats.records_duplicate) == (7, 3, 0)
     assert not stats.schema_changes["has_changes"]
+    assert not lake.table_exists(spark, paths["bronze_orders"] + "_staging/b1")
 
     bronze = lake.read_table(spark, paths["bronze_orders"], ORDERS.bronze_schema)
     lines = bronze.orderBy("_bronze_source_line_number").collect()

@@ -10,7 +10,7 @@ from lakemill.functions import dates, numbers, text
 from lakemill.operators import enrich, quality, standardize
 from lakemill.operators.audit import categorise, issues_from_bronze
 from lakemill.operators.filters import ORDER_IDS, amount_mismatches, drop_invalid
-from lakemill.plans.bronze import bronze_rows
+from lakemill.plans.bronze import bronze_rows, located_rows
 from lakemill.plans.silver import ORDER_COLUMNS, silver_orders, stage_counts
 from workloads import derive, duck
 from workloads.shape import AS_OF, Checks, plain
@@ -169,10 +169,8 @@ SELECT order_id, {duck.completeness(list(CONTRACT.columns))} AS completeness, {d
     {HASH} AS record_hash, {RAW} AS raw_record, md5('landing/orders.csv') AS file_hash, 'b-1' AS batch_id
 FROM o""")
 def bronze_orders(spark, sf_dir):
-    rows, _ = bronze_rows(
-        messy(spark, sf_dir).select(*CONTRACT.columns), CONTRACT,
-        batch_id="b-1", source_file="landing/orders.csv", as_of=AS_OF,
-    )
+    located, _ = located_rows(messy(spark, sf_dir).select(*CONTRACT.columns), CONTRACT)
+    rows = bronze_rows(located, CONTRACT, batch_id="b-1", source_file="landing/orders.csv", as_of=AS_OF)
     return plain(
         rows.select(
             "order_id",
