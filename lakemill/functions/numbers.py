@@ -67,6 +67,6 @@ ITEM_PRICES = [(100, "premium"), (25, "mid_range")]
 
 
 def percentage(part: Column, whole: Column) -> Column:
-    """``part / whole * 100`` as decimal(10,2); 0 where the whole is not positive."""
+    """``part / whole * 100`` as decimal(10,2); 0 where the whole is not positive, null if too large."""
     zero = F.lit(0).cast("decimal(10,2)")
-    return F.when(whole > 0, (part / whole * 100).cast("decimal(10,2)")).otherwise(zero)
+    return F.when(whole > 0, (part / whole * 100).try_cast("decimal(10,2)")).otherwise(zero)

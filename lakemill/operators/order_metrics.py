@@ -25,7 +25,8 @@ def add_order_metrics(
         ordinary = items.filter(~is_hot(order_id, hot))
     per_order = Window.partitionBy("order_id")
     # Ranked first: the sums then reuse that sort as well as the shuffle.
-    ranked = ordinary.withColumn("item_rank_in_order", F.row_number().over(per_order.orderBy(*ranking)))
+    rank = F.row_number().over(per_order.orderBy(*ranking)).cast("bigint")
+    ranked = ordinary.withColumn("item_rank_in_order", rank)
     measured = ranked.withColumns(
         {
             "order_item_count": F.count("item_id").over(per_order),

@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakemill.operators.line_numbers import with_positions
+
 MIN_HOT_ROWS = 1_000_000
 ROWS_PER_TASK = 500_000
 _MERGERS = 256
-_ROW_BITS = (1 << 33) - 1
 
 HotKeys = Mapping[str | None, int]
 
@@ -135,7 +136,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def ranked_by_range(
     df: DataFrame, key: str, order: Sequence[Column], rank: str, *, rows: int, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """``row_number`` per key for keys too large for one task; ``rows``: about how many in all.
+    """``row_number`` per key, as bigint, for keys too large for one task; ``rows``: about how many in all.
 
     Rows are range-partitioned by (key, order), so a large key covers many partitions in
     order. Inside a partition the rank is the distance from the key's first row; the rows
@@ -144,14 +145,7 @@ def ranked_by_range(
     """
     tasks = max(2, ceil(rows / rows_per_task))
     sorted_rows = df.repartitionByRange(tasks, F.col(key), *order).sortWithinPartitions(F.col(key), *order)
-    placed = reliable_checkpoint(
-        sorted_rows.withColumns(
-            {
-                "_part": F.spark_partition_id(),
-                "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
-            }
-        )
-    )
+    placed = reliable_checkpoint(with_positions(sorted_rows))
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy("_part", key)
@@ -167,4 +161,4 @@ def ranked_by_range(
     # One row per (partition, hot key) that meet: at most partitions + hot keys rows.
     joined = placed.join(F.broadcast(starts), same)
     number = F.col("_before") + F.col("_pos") - F.col("_first") + 1
-    return joined.withColumn(rank, number.cast("int")).select(*df.columns, rank)
+    return joined.withColumn(rank, number).select(*df.columns, rank)

@@ -14,7 +14,10 @@ def stock_values(inventory: DataFrame) -> DataFrame:
     reserved = F.col("reserved_stock").try_cast("bigint")
     cost = F.col("unit_cost").try_cast("decimal(12,2)")
     return inventory.withColumns(
-        {"available_stock": stock - reserved, "computed_value": (stock * cost).cast("decimal(20,2)")}
+        {
+            "available_stock": F.try_subtract(stock, reserved),
+            "computed_value": (stock * cost).try_cast("decimal(20,2)"),
+        }
     )
 
 
