@@ -179,22 +179,20 @@ class SilverStats:
 
 
 def stage_counts(bronze: DataFrame, ids: Sequence[str], output: DataFrame) -> DataFrame:
-    """Rows read, filtered, deduplicated and written, and the share kept, as one row."""
-    read = bronze.select(F.lit(True).alias("read"), acceptable(ids).alias("valid"))
-    written = output.select(F.lit(False).alias("read"), F.lit(True).alias("valid"))
-    total, out = F.col("records_input"), F.col("records_output")
+    """Per bronze batch: rows read, filtered, deduplicated and written, and the share kept."""
+    read = bronze.select(lake.BATCH, F.lit(True).alias("read"), acceptable(ids).alias("valid"))
+    written = output.select(lake.BATCH, F.lit(False).alias("read"), F.lit(True).alias("valid"))
+    total, filtered, out = F.col("records_input"), F.col("records_filtered"), F.col("records_output")
     return (
         read.unionByName(written)
+        .groupBy(lake.BATCH)
         .agg(
             F.count_if("read").alias("records_input"),
             F.count_if(~F.col("valid")).alias("records_filtered"),
             F.count_if(~F.col("read")).alias("records_output"),
         )
         .select(
-            total,
-            "records_filtered",
-            (total - F.col("records_filtered") - out).alias("records_deduplicated"),
-            out,
+            lake.BATCH, total, filtered, (total - filtered - out).alias("records_deduplicated"), out,
             F.when(total > 0, out / total * 100).otherwise(F.lit(0.0)).alias("data_quality_score"),
         )
     )
@@ -265,31 +263,37 @@ def refine_rows(
         ),
     }
     lake.write_silver_batch(plans[table](), silver_path, spec.partition_by)
-    stored = lake.read_table(spark, silver_path, f"{lake.SILVER_BATCH} string")
-    counts = stage_counts(bronze, spec.ids, stored.filter(F.col(lake.SILVER_BATCH) == batch_id)).first()
+    stored = lake.read_table(spark, silver_path, f"{lake.SILVER_BATCH} string, {lake.BATCH} string")
+    output = stored.filter(F.col(lake.SILVER_BATCH) == batch_id)
+    counts = {row[lake.BATCH]: row for row in stage_counts(bronze, spec.ids, output).collect()}  # one per batch
     seconds = (datetime.now() - started).total_seconds()
+
+    def total(name: str) -> int:
+        return sum(row[name] for row in counts.values())
+
+    read, written = total("records_input"), total("records_output")
     stats = SilverStats(
         batches=tuple(batches),
+        records_input=read,
+        records_filtered=total("records_filtered"),
+        records_deduplicated=total("records_deduplicated"),
+        records_output=written,
+        data_quality_score=written / read * 100 if read else 0.0,
         duration_seconds=seconds,
-        records_per_second=counts["records_output"] / seconds if seconds > 0 else 0.0,
-        **counts.asDict(),
+        records_per_second=written / seconds if seconds > 0 else 0.0,
     )
     if audit is not None:
-        _log(audit, table, batch_id, stats)
+        audit.create()
+        for source, row in sorted(counts.items()):
+            audit.log_silver_batch(
+                batch_id, source, table,
+                records_input=row["records_input"],
+                records_output=row["records_output"],
+                records_filtered=row["records_filtered"],
+                records_deduplicated=row["records_deduplicated"],
+                records_standardized=row["records_output"],
+                transformation_rules=spec.steps,
+                processing_duration=seconds,
+                data_quality_score=row["data_quality_score"],
+            )
     return stats
-
-
-def _log(audit: AuditLog, table: str, batch_id: str, stats: SilverStats) -> None:
-    audit.create()
-    for source in stats.batches:
-        audit.log_silver_batch(
-            batch_id, source, table,
-            records_input=stats.records_input,
-            records_output=stats.records_output,
-            records_filtered=stats.records_filtered,
-            records_deduplicated=stats.records_deduplicated,
-            records_standardized=stats.records_output,
-            transformation_rules=SILVER[table].steps,
-            processing_duration=stats.duration_seconds,
-            data_quality_score=stats.data_quality_score,
-        )

@@ -108,6 +108,20 @@ def test_orders_end_to_end(spark, tmp_path, paths):
     assert categories == {"MISSING_REQUIRED_FIELD": "MISSING", "INVALID_NUMERIC": "INVALID", "NEGATIVE_AMOUNT": "RANGE"}
 
 
+def test_one_run_over_two_batches_logs_each(spark, tmp_path, paths):
+    for batch, rows in [("b1", ORDER_ROWS), ("b2", [("O7", *ORDER_ROWS[3][1:]), ORDER_ROWS[4]])]:
+        source = write_csv(tmp_path / batch / "orders.csv", ORDERS.columns, rows)
+        ingest(spark, ORDERS, source, paths["bronze_orders"], batch_id=batch, as_of=AS_OF)
+    audit = AuditLog(spark, paths["audit"])
+    stats = refine(
+        spark, "orders", paths["bronze_orders"], paths["silver_orders"], batch_id="s1", as_of=AS_OF, audit=audit
+    )
+    assert (stats.batches, stats.records_input, stats.records_output) == (("b1", "b2"), 9, 4)
+    logged = {r["source_batch_id"]: r for r in audit.table("silver_batch_log").collect()}
+    assert [(logged[b]["records_input"], logged[b]["records_filtered"], logged[b]["records_output"]) for b in ("b1", "b2")] == [
+        (7, 3, 3), (2, 1, 1)]
+
+
 def test_same_rows_same_hash_on_another_day(spark, tmp_path, paths):
     source = write_csv(tmp_path / "in" / "orders.csv", ORDERS.columns, ORDER_ROWS)
     ingest(spark, ORDERS, source, paths["bronze_orders"], batch_id="b1", as_of=AS_OF)

@@ -204,10 +204,16 @@ def orders_silver(spark, sf_dir):
     return plain(silver_orders(bronze(spark, sf_dir), batch_id="s-1", as_of=AS_OF).select(*ORDER_COLUMNS))
 
 
-@query("stage_counts", duck.cte(**SILVER_PARTS) + """
-SELECT n_in AS records_input, n_in - n_valid AS records_filtered, n_valid - n_out AS records_deduplicated,
-    n_out AS records_output, n_out / n_in * 100 AS data_quality_score
-FROM (SELECT (SELECT count(*) FROM o) AS n_in, (SELECT count(*) FROM v) AS n_valid, (SELECT count(*) FROM s) AS n_out)""")
+@query("stage_counts", duck.cte(
+    **SILVER_PARTS,
+    n="""SELECT batch_no, count(*) AS n_in FROM o GROUP BY batch_no""",
+    nv="""SELECT batch_no, count(*) AS n_valid FROM v GROUP BY batch_no""",
+    ns="""SELECT batch_no, count(*) AS n_out FROM s GROUP BY batch_no""",
+) + """
+SELECT 'batch-' || cast(n.batch_no AS string) AS _bronze_ingestion_batch_id, n_in AS records_input,
+    n_in - coalesce(n_valid, 0) AS records_filtered, coalesce(n_valid, 0) - coalesce(n_out, 0) AS records_deduplicated,
+    coalesce(n_out, 0) AS records_output, coalesce(n_out, 0) / n_in * 100 AS data_quality_score
+FROM n LEFT JOIN nv ON nv.batch_no = n.batch_no LEFT JOIN ns ON ns.batch_no = n.batch_no""")
 def counts(spark, sf_dir):
     rows = bronze(spark, sf_dir)
     return stage_counts(rows, ORDER_IDS, silver_orders(rows, batch_id="s-1", as_of=AS_OF))
