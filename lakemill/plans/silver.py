@@ -146,21 +146,22 @@ class SilverTable:
     contract: FeedContract
     ids: tuple[str, ...]
     partition_by: tuple[str, ...]
+    gather: bool  # the rows of one batch belong to many partitions
     steps: list[str]
 
 
 # Keys, partition columns and steps of the silver tables.
 SILVER = {
     "customers": SilverTable(
-        CUSTOMERS, CUSTOMER_IDS, ("_silver_processing_date",),
+        CUSTOMERS, CUSTOMER_IDS, ("_silver_processing_date",), False,
         ["filter", "deduplicate", "standardize", "enrich"],
     ),
     "orders": SilverTable(
-        ORDERS, ORDER_IDS, ("order_year", "order_month"),
+        ORDERS, ORDER_IDS, ("order_year", "order_month"), True,
         ["filter", "standardize", "repair_total", "deduplicate", "enrich"],
     ),
     "order_items": SilverTable(
-        ORDER_ITEMS, ITEM_IDS, ("_silver_processing_date",),
+        ORDER_ITEMS, ITEM_IDS, ("_silver_processing_date",), False,
         ["filter", "deduplicate", "standardize", "repair_total", "enrich", "check_reference", "order_metrics"],
     ),
 }
@@ -262,7 +263,7 @@ def refine_rows(
             **common,
         ),
     }
-    lake.write_silver_batch(plans[table](), silver_path, spec.partition_by)
+    lake.write_silver_batch(plans[table](), silver_path, spec.partition_by, gather=spec.gather)
     stored = lake.read_table(spark, silver_path, f"{lake.SILVER_BATCH} string, {lake.BATCH} string")
     output = stored.filter(F.col(lake.SILVER_BATCH) == batch_id)
     counts = {row[lake.BATCH]: row for row in stage_counts(bronze, spec.ids, output).collect()}  # one per batch

@@ -93,11 +93,14 @@ def write_bronze_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     _replace_partitions(df, path, [INGESTED_ON, BATCH], fmt)
 
 
-def write_silver_batch(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+def write_silver_batch(
+    df: DataFrame, path: str, partition_by: Sequence[str], *, gather: bool, fmt: str = "parquet"
+) -> None:
     """Add one silver batch, partitioned by the given columns and, within those, its id.
 
-    ``REBALANCE`` gathers the rows of a partition into files of the advisory size and
-    splits a partition that is too large for one task.
+    ``gather``: the rows of a task fall into many partitions. ``REBALANCE`` then brings
+    those of a partition together in files of the advisory size, and splits a partition
+    that is too large for one task. Without it each task writes its own file.
     """
-    rebalanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    _replace_partitions(rebalanced, path, [*partition_by, SILVER_BATCH], fmt)
+    rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if gather else df
+    _replace_partitions(rows, path, [*partition_by, SILVER_BATCH], fmt)

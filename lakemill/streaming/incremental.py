@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +27,14 @@ def refine_available(
     """Refine all bronze files that arrived since the last run, then stop.
 
     The stream's checkpoint remembers the files. A micro-batch that is repeated after a
-    failure has the same silver batch id and replaces what it wrote before.
+    failure has the same silver batch id and replaces what it wrote before. The id comes
+    from the checkpoint path, so a new stream needs a new one.
     """
     schema = SILVER[table].contract.bronze_schema
+    stream = hashlib.md5(checkpoint_path.encode()).hexdigest()[:8]
 
     def refine_batch(rows: DataFrame, epoch: int) -> None:
-        batch_id = f"{table}-stream-{epoch}"
+        batch_id = f"{table}-{stream}-{epoch}"
         ids = sorted(r[0] for r in rows.select(lake.BATCH).distinct().collect())
         refine_rows(
             spark, table, rows, ids, silver_path,
