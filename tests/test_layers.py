@@ -88,8 +88,10 @@ def test_orders_end_to_end(spark, tmp_path, paths):
 
     # Second batch: one known record, one new; ingesting it twice stores it once.
     later = write_csv(tmp_path / "in2" / "orders.csv", ORDERS.columns, [ORDER_ROWS[0], ("O7", *ORDER_ROWS[3][1:])])
-    for _ in range(2):
-        stats = ingest(spark, ORDERS, later, paths["bronze_orders"], batch_id="b2", as_of=AS_OF)
+    for min_hot_rows in (1_000_000, 1):
+        stats = ingest(
+            spark, ORDERS, later, paths["bronze_orders"], batch_id="b2", as_of=AS_OF, min_hot_rows=min_hot_rows
+        )
         assert (stats.records_total, stats.records_duplicate) == (2, 1)
     stored = lake.read_table(spark, paths["bronze_orders"], ORDERS.bronze_schema)
     assert stored.count() == 9
@@ -246,6 +248,19 @@ def test_audit_runs(spark, tmp_path):
     assert (gold["processing_duration_seconds"], gold["business_rules_applied"]) == (Decimal("1.23"), '["sum"]')
 
 
+def test_audit_tables_in_sql(spark, tmp_path):
+    audit = AuditLog(spark, str(tmp_path / "audit"))
+    audit.create()
+    audit.register()
+    try:
+        audit.start_execution("e1", "daily")
+        spark.catalog.refreshTable("metadata_pipeline_execution")
+        assert spark.sql("SELECT status FROM metadata_pipeline_execution").first()[0] == "RUNNING"
+    finally:
+        for table in SCHEMAS:
+            spark.sql(f"DROP TABLE IF EXISTS metadata_{table}")
+
+
 def test_issue_ids_repeat_for_the_same_issue(spark, tmp_path):
     audit = AuditLog(spark, str(tmp_path / "audit"))
     audit.create()
