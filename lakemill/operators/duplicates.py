@@ -43,8 +43,9 @@ def mark_duplicates(
 
     The row count never changes: the history is cut to one row per hash first, before it
     is shuffled. If the batch has no more than ``broadcast_hashes`` distinct hashes, these
-    are broadcast to drop all other history in the scan. Copies of one record may be a
-    large share of a batch, hence the spread join.
+    are broadcast to drop all other history in the scan, and what remains is broadcast to
+    the batch, whose rows are then not shuffled. A larger batch is shuffled by hash; as
+    copies of one record may be a large share of it, hot hashes are spread.
 
     ``within_batch`` adds ``_dq_dup_in_batch`` for content that this batch repeats itself.
     ``counted`` is the batch in a cheaper form than ``df``, to count the hashes in.
@@ -70,7 +71,10 @@ def mark_duplicates(
     else:
         lookup = seen
 
-    joined = spread_join(hashed, lookup, HASH, "left", hot=hot, salt_by=salt_by, rows_per_task=rows_per_task)
+    if distinct <= broadcast_hashes:  # the lookup has no more rows than that
+        joined = hashed.join(F.broadcast(lookup), HASH, "left")
+    else:
+        joined = spread_join(hashed, lookup, HASH, "left", hot=hot, salt_by=salt_by, rows_per_task=rows_per_task)
     joined = joined.withColumn("_dq_is_duplicate", F.col("_dq_duplicate_of_batch").isNotNull())
     if within_batch:
         joined = joined.withColumn("_dq_dup_in_batch", F.col("_copies") > 1).drop("_copies")
