@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import counts
+from lakemill.llm import counts, packing, repair, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,10 @@ def query(function):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table; Python workers are told where this library lies, in case it isn't installed."""
+    root, told = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in told.get("PYTHONPATH", "").split(":"):
+        told["PYTHONPATH"] = ":".join(filter(None, [root, told.get("PYTHONPATH", "")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,3 +32,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the byte-level file."""
     counted = counts.count_tokens(table(spark, sf_dir, "documents"), counts.default_path())
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query
+def op9_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from grammar-compressed shards."""
+    back = repair.round_trip(table(spark, sf_dir, "documents"), tokens.default_path())
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document with their place in sequences of 4096 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokens.default_path())

@@ -102,3 +102,16 @@ def default_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+def with_end(ids: np.ndarray, count: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids with the end id after each text, and the new number per text."""
+    return np.insert(ids, np.cumsum(count), np.uint32(end_id)), count + 1
+
+
+def id_bytes(ids: np.ndarray, length: np.ndarray) -> pa.Array:
+    """Consecutive stretches of ids as little-endian unsigned 32-bit values, one binary value each."""
+    at = np.zeros(len(length) + 1, np.int64)
+    np.cumsum(length * 4, out=at[1:])
+    data = pa.py_buffer(np.ascontiguousarray(ids, "<u4"))
+    return pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(at), data]).cast(pa.binary())
