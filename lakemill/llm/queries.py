@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import counts, packing, repair, tokens
+from lakemill.llm import chat, counts, packing, repair, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,43 @@ def op9_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document with their place in sequences of 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokens.default_path())
+
+
+#: A conversation that says the control strings of a well-known template.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+@query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation as read back from its formatted text."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY).alias("text"),
+    )
+    return chat.digests(chat.format_conversations(given.unionByName(more)))
+
+
+ORACLES["op5_chat_format"] = f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'
+), placed AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before FROM given
+), sized AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^<\\[]', '', 'g')) +
+    CASE WHEN before = role THEN 3
+         WHEN role IN ('system', 'user', 'assistant') THEN 5 + 2 * length(role)
+         ELSE 15 + length(replace(replace(role, '%', '%25'), '>', '%3E')) END AS chars
+  FROM placed
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
