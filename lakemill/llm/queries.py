@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, counts, packing, repair, tokens
+from lakemill.llm import chat, counts, packing, repair, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,27 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@query
+def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from seekable bundles."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op4_warc_bundles"] = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), lasts AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h, payload_bytes) AS last FROM hashed
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((CAST('0x' || substr(h, 1 + 5 * CAST(k // 4 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM lasts
+"""
