@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, counts, nearest, packing, repair, tokens, warc
+from lakemill.llm import chat, counts, decontaminate, nearest, packing, repair, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,9 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest by inner product of every vector whose id is divisible by 20."""
     vectors = nearest.stage(nearest.usable(table(spark, sf_dir, "embeddings")), "usable")
     return nearest.nearest(vectors.where("vec_id % 20 = 0"), vectors, 20, PRUNING)
+
+
+@query
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item or a passage of one, with the verified overlap."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -141,3 +141,20 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     total = int(length.sum())
     before = np.cumsum(length) - length
     return np.repeat(start - before, length) + np.arange(total)
+
+
+def documents(
+    texts: pa.Array, separators: np.ndarray = WHITE, lower: np.ndarray = SAME, size: int = 2 * PIECE_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Word hashes of whole texts, some texts at a time: first text, number of texts, and row and hash per word.
+
+    Rows count from the first text. A text larger than ``size`` comes alone; its bytes are still hashed in stretches.
+    """
+    _, at = buffers(texts)
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(at, at[low] + size, "right")) - 1)
+        parts = list(words(texts.slice(low, high - low), separators, lower))
+        row = np.concatenate([np.zeros(0, np.int64), *(p.row for p in parts)])
+        yield low, high - low, row, np.concatenate([np.zeros(0, np.uint64), *(p.key for p in parts)])
+        low = high
