@@ -24,11 +24,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.tokens import CACHED_WORDS, Lookup
+from lakemill.llm.tokens import Lookup
 from lakemill.llm.words import WHITE, Hasher, buffers, stretches
 
 #: Fixed value: the split pattern of the byte-level tokenizer.
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+CACHED_WORDS = 1_000_000
 #: Pieces with characters beyond the Latin blocks, or with what may begin a special token, are merged as they are.
 PLAIN = regex.compile(r"(?:(?!<\|)[\t-\r -~¡-¬®-ɏ])*")
 #: Texts with white space beyond ASCII are merged whole: they can't be cut as others can.

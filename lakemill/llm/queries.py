@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, counts, decontaminate, nearest, packing, repair, tokens, warc
+from lakemill.llm import chat, counts, decontaminate, nearest, packing, repair, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,13 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item or a passage of one, with the verified overlap."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows of four folds of five."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = toxicity.train(docs, labels.where(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public tokenizer file, with each distinct word encoded once per worker.
 
-The file's pre-tokenizer never joins characters across white space, so the ids of a text are the ids of
-its words by ASCII white space, one after another. Words are looked up by hash; new ones go through the library.
+The file's pre-tokenizer never joins characters across white space, nor ASCII letters or digits with punctuation other
+than an apostrophe, and it ignores the case of letters. So the ids of a text are the ids of its words by these borders,
+one after another. Words are looked up by hash; new ones go through the library.
 """
 
 from __future__ import annotations
@@ -12,9 +13,14 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-from lakemill.llm.words import ranges, words
+from lakemill.llm.words import LOWER_AZ, Hasher, ranges, words
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 2_500_000
+#: Bytes that never share a pre-token. The characters of special tokens are left out: these are found in whole words.
+APART = (
+    np.array([b < 128 and chr(b).isalnum() for b in range(256)]),
+    np.array([chr(b) in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~" for b in range(256)]),
+)
 
 
 class Lookup:
@@ -75,9 +81,13 @@ class WordIds:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a batch in order, and their number per text."""
         out, count = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64)
-        for part in words(texts, size=1 << 21):
+        for part in words(texts, lower=LOWER_AZ, size=1 << 21, apart=APART):
             if not len(part.key):
                 continue
+            marks = np.flatnonzero(part.data == ord("<"))
+            if len(marks):  # special tokens do mind the case
+                odd = np.unique(np.searchsorted(part.start, marks, "right") - 1)
+                part.key[odd] = Hasher(part.data)(part.start[odd], part.end[odd])
             keys, first, inverse = np.unique(part.key, return_index=True, return_inverse=True)
             if self.known.size > CACHED_WORDS:
                 self.forget()

@@ -110,9 +110,12 @@ def stretches(data: np.ndarray, at: np.ndarray, separators: np.ndarray, size: in
 
 def words(
     texts: pa.Array, separators: np.ndarray = WHITE, lower: np.ndarray = SAME, size: int = PIECE_BYTES,
-    hashed: bool = True,
+    hashed: bool = True, apart: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> Iterator[Words]:
-    """Words of a batch in order, stretch by stretch; ``row`` counts the texts of the batch."""
+    """Words of a batch in order, stretch by stretch; ``row`` counts the texts of the batch.
+
+    ``apart``: two sets of bytes; a word also ends where a byte of one meets a byte of the other.
+    """
     data, at = buffers(texts)
     for low, high in stretches(data, at, separators, size):
         part = data[low:high]
@@ -121,9 +124,12 @@ def words(
         before = np.zeros(len(part), bool)
         before[1:] = inside[:-1]
         before[edge] = False
+        if apart:
+            one, other = apart[0][part], apart[1][part]
+            before[1:] &= ~(one[:-1] & other[1:] | other[:-1] & one[1:])
         start = np.flatnonzero(inside & ~before)
         after = np.zeros(len(part), bool)
-        after[:-1] = inside[1:]
+        after[:-1] = inside[1:] & before[1:]
         after[edge[edge > 0] - 1] = False
         end = np.flatnonzero(inside & ~after) + 1
         row = np.searchsorted(at, start + low, "right") - 1
