@@ -1,6 +1,6 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
-Terms are the lower-case words of a text and the first 3 to 5 bytes of longer words, as 64-bit hashes, each counted once
+Terms are the lower-case words of a text and the first 3 to 7 bytes of longer words, as 64-bit hashes, each counted once
 per text. Fitting takes a bounded sample of labelled texts (SAMPLE rows, the smallest by hash of doc_id): Spark counts
 in how many toxic and other texts each term occurs, keeps the TERMS terms most associated with the label, and one task
 fits weights and factors on the sample's few terms left. A score is the logistic of a linear part and of all pairwise
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from lakemill.llm.shared import stage
 from lakemill.llm.words import NOT_ALNUM, Hasher, mix, words
 
-SAMPLE, TERMS, LEAST_TEXTS, LEAST_G2 = 20_000, 1 << 14, 5, 20.0
-PREFIXES = (3, 4, 5)
-FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 30, 256, 0.1, 1e-4
+SAMPLE, TERMS, LEAST_TEXTS, LEAST_G2 = 20_000, 1 << 14, 3, 15.0
+PREFIXES = (3, 4, 5, 6, 7)
+FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 40, 256, 0.3, 1e-5
 #: Slots of the table that finds a term's weights by its hash.
 SLOT_BITS = 20
 
