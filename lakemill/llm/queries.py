@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, counts, decontaminate, nearest, packing, repair, tokens, toxicity, warc
+from lakemill.llm import chat, counts, decontaminate, langid, nearest, packing, repair, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, labels.where(~held_out))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two folds of three."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    learned = docs.where(~held_out & F.col("doc_id").isNotNull()).select("doc_id", "lang", "text")
+    folder = langid.train(learned)
+    calibration = langid.calibrate(learned, folder) if folder else None
+    found = langid.predict(docs, folder, calibration)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
