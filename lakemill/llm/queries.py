@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, counts, decontaminate, langid, nearest, packing, repair, tokens, toxicity, warc
+from lakemill.llm import chat, counts, decontaminate, jaccard, langid, nearest, packing, repair, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     calibration = langid.calibrate(learned, folder) if folder else None
     found = langid.predict(docs, folder, calibration)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of at least 85 % of 4-word shingles."""
+    return jaccard.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
