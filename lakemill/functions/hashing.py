@@ -8,11 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def landing_hash(columns: Iterable[str]) -> Column:
-    """md5 of the raw values joined by ``|`` with ``NULL`` for missing ones."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]))
-
-
 def record_hash(columns: Iterable[str]) -> Column:
     """md5 that keeps nulls and value borders apart.
 

@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.functions.hashing import landing_hash
+from lakemill.functions.hashing import record_hash
 from lakemill.operators.drift import source_columns
-from lakemill.operators.skew import MIN_HOT_ROWS, ROWS_PER_TASK, key_profile, spread_join
+from lakemill.operators.skew import MIN_HOT_ROWS, ROWS_PER_TASK, hot_keys, spread_join
 
 HASH = "_bronze_record_hash"
-BROADCAST_HASHES = 1_000_000
 
 
 def with_landing_hash(df: DataFrame) -> DataFrame:
     """Add the content hash of the source columns, unless it is there already."""
     if HASH in df.columns:
         return df
-    return df.withColumn(HASH, landing_hash(source_columns(df)))
+    return df.withColumn(HASH, record_hash(source_columns(df)))
 
 
 def first_seen(history: DataFrame) -> DataFrame:
@@ -37,15 +36,13 @@ def mark_duplicates(
     counted: DataFrame | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
-    broadcast_hashes: int = BROADCAST_HASHES,
 ) -> DataFrame:
     """Add ``_bronze_record_hash``, ``_dq_is_duplicate`` and ``_dq_duplicate_of_batch``.
 
-    The row count never changes: the history is cut to one row per hash first, before it
-    is shuffled. If the batch has no more than ``broadcast_hashes`` distinct hashes, these
-    are broadcast to drop all other history in the scan, and what remains is broadcast to
-    the batch, whose rows are then not shuffled. A larger batch is shuffled by hash; as
-    copies of one record may be a large share of it, hot hashes are spread.
+    The row count never changes. The batch is cut to its distinct hashes, the history to those of its rows that have
+    one of them, and then to one row per hash; the same plan serves batches of all sizes, and adaptive execution
+    broadcasts a side that turns out small. As copies of one record may be a large share of the batch, its hot hashes are
+    found first, which runs one job over the hash column, and spread.
 
     ``within_batch`` adds ``_dq_dup_in_batch`` for content that this batch repeats itself.
     ``counted`` is the batch in a cheaper form than ``df``, to count the hashes in.
@@ -56,25 +53,20 @@ def mark_duplicates(
             {"_dq_is_duplicate": F.lit(False), "_dq_duplicate_of_batch": F.lit(None).cast("string")}
         )
     scanned = with_landing_hash(df if counted is None else counted).select(HASH)
-    hot, distinct = key_profile(scanned, HASH, min_rows=min_hot_rows)
+    hot = hot_keys(scanned, HASH, min_rows=min_hot_rows)
+    own = scanned.groupBy(HASH).agg(F.count(F.lit(1)).alias("_copies"))
 
     seen = None
     if history is not None:
         stamps = history.select(HASH, "_bronze_ingestion_timestamp", "_bronze_ingestion_batch_id")
-        if distinct <= broadcast_hashes:
-            stamps = stamps.join(F.broadcast(scanned.distinct()), HASH, "left_semi")
-        seen = first_seen(stamps)
+        seen = first_seen(stamps.join(own.select(HASH), HASH, "left_semi"))
     if within_batch:
-        lookup = scanned.groupBy(HASH).agg(F.count(F.lit(1)).alias("_copies"))
         nowhere = F.lit(None).cast("string").alias("_dq_duplicate_of_batch")
-        lookup = lookup.join(seen, HASH, "left") if seen is not None else lookup.select("*", nowhere)
+        lookup = own.join(seen, HASH, "left") if seen is not None else own.select("*", nowhere)
     else:
         lookup = seen
 
-    if distinct <= broadcast_hashes:  # the lookup has no more rows than that
-        joined = hashed.join(F.broadcast(lookup), HASH, "left")
-    else:
-        joined = spread_join(hashed, lookup, HASH, "left", hot=hot, salt_by=salt_by, rows_per_task=rows_per_task)
+    joined = spread_join(hashed, lookup, HASH, "left", hot=hot, salt_by=salt_by, rows_per_task=rows_per_task)
     joined = joined.withColumn("_dq_is_duplicate", F.col("_dq_duplicate_of_batch").isNotNull())
     if within_batch:
         joined = joined.withColumn("_dq_dup_in_batch", F.col("_copies") > 1).drop("_copies")

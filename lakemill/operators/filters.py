@@ -36,7 +36,7 @@ def drop_blank_ids(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def amount_mismatches(df: DataFrame) -> DataFrame:
     """Orders whose stated total is not subtotal + tax - discount."""
     expected = F.col("subtotal") + F.col("tax_amount") - F.col("discount_amount")
-    return df.filter(F.col("total_amount") != expected.cast("decimal(10,2)"))
+    return df.filter(F.col("total_amount") != expected)
 
 
 def missing_email(df: DataFrame) -> DataFrame:

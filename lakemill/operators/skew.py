@@ -8,7 +8,6 @@ count asks for; everything else keeps the plain plan.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from math import ceil
 
@@ -62,12 +61,7 @@ def key_profile(
 
 
 def hot_keys(df: DataFrame, key: str, *, min_rows: int = MIN_HOT_ROWS) -> dict[str | None, int]:
-    """Keys that hold at least ``min_rows`` rows (see ``key_profile``).
-
-    A stored table with fewer rows than that is known from its file footers.
-    """
-    if df.count() < min_rows:
-        return {}
+    """Keys that hold at least ``min_rows`` rows (see ``key_profile``). Runs one job over the key column."""
     return key_profile(df, key, min_rows=min_rows)[0]
 
 
@@ -121,7 +115,7 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; only a local session may fall back to a local folder."""
+    """Use ``spark.checkpoint.dir``; only a local session may fall back to its warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
@@ -129,7 +123,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        shared = tempfile.mkdtemp(prefix="lakemill-checkpoint-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     context.setCheckpointDir(shared)
 
 

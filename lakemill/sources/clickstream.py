@@ -14,23 +14,26 @@ EVENT = """
     device struct<type:string,browser:string,os:string,screen_resolution:string>,
     device_type string, browser string,
     location struct<country:string,state:string,city:string,ip_address:string>,
-    product struct<product_id:string,product_name:string,category:string,price:double,in_stock:string>,
-    cart_action struct<product_id:string,quantity:int,price:double>,
+    product struct<product_id:string,product_name:string,category:string,price:decimal(12,2),in_stock:string>,
+    cart_action struct<product_id:string,quantity:int,price:decimal(12,2)>,
     search_query string, results_count int,
-    order struct<order_id:string,total_amount:double,items_count:int>,
+    order struct<order_id:string,total_amount:decimal(12,2),items_count:int>,
     page struct<url:string,referrer:string,load_time_ms:int>,
     marketing struct<campaign_id:string,source:string,medium:string>,
-    metadata struct<user_agent:string,ab_test_variant:string>
+    metadata struct<user_agent:string,ab_test_variant:string>,
+    _corrupt_record string
 """
+#: A line that can't be read is kept as text in this column.
+CORRUPT = {"columnNameOfCorruptRecord": "_corrupt_record"}
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVENT).json(path)
+    return spark.read.schema(EVENT).options(**CORRUPT).json(path)
 
 
 def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
     """Events from a text column with one JSON object per row."""
-    return lines.select(F.from_json(column, EVENT).alias("event")).select("event.*")
+    return lines.select(F.from_json(column, EVENT, CORRUPT).alias("event")).select("event.*")
 
 
 def flatten_events(events: DataFrame) -> DataFrame:
@@ -65,6 +68,7 @@ def flatten_events(events: DataFrame) -> DataFrame:
         F.col("marketing.medium").alias("marketing_medium"),
         F.col("metadata.user_agent").alias("user_agent"),
         F.col("metadata.ab_test_variant").alias("ab_test_variant"),
+        "_corrupt_record",
     )
 
 

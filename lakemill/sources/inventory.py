@@ -22,7 +22,9 @@ def stock_values(inventory: DataFrame) -> DataFrame:
 
 
 def volumetric_weight(dimensions: DataFrame) -> DataFrame:
-    volume = F.col("length") * F.col("width") * F.col("height")
+    """Weight by volume; sizes may be text, as in a sheet read from CSV."""
+    length, width, height = (F.col(c).try_cast("decimal(12,4)") for c in ("length", "width", "height"))
+    volume = length * width * height
     return dimensions.withColumn("volumetric_weight", F.round(volume / VOLUMETRIC_DIVISOR, 2))
 
 

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+import workloads.registry as registry
 from tests.check import compare
 from tests.conftest import SF
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

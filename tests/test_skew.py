@@ -82,8 +82,7 @@ def test_unknown_parents_give_null(items):
 
 
 @pytest.mark.parametrize("min_hot_rows", [5, 1_000_000])
-@pytest.mark.parametrize("broadcast_hashes", [0, 1_000_000])
-def test_duplicates_keep_every_row(spark, min_hot_rows, broadcast_hashes):
+def test_duplicates_keep_every_row(spark, min_hot_rows):
     """A third of the batch is one record; its hash came with two earlier batches."""
     n = F.col("id")
     batch = spark.range(90).select(
@@ -98,8 +97,7 @@ def test_duplicates_keep_every_row(spark, min_hot_rows, broadcast_hashes):
         "_bronze_ingestion_timestamp": F.lit("2024-01-01").cast("timestamp"), "_bronze_ingestion_batch_id": F.lit("early"),
     }))
     marked = mark_duplicates(
-        batch, history, salt_by="_line", within_batch=True, min_hot_rows=min_hot_rows, rows_per_task=4,
-        broadcast_hashes=broadcast_hashes,
+        batch, history, salt_by="_line", within_batch=True, min_hot_rows=min_hot_rows, rows_per_task=4
     ).collect()
     assert len(marked) == 90
     for row in marked:

@@ -6,7 +6,7 @@ arithmetic on the keys, so both engines see the same input rows.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,39 +23,22 @@ def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{t: load(spark, sf_dir, t) for t in used})
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
-_LOCAL: list[tempfile.TemporaryDirectory] = []
-
-
-def _landing_root(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is not None:
-        return f"{shared}/landed-{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.TemporaryDirectory(prefix="landed-"))
-    return f"{_LOCAL[0].name}/{spark.sparkContext.applicationId}"
-
-
 def landed(
     spark: SparkSession, sf_dir: str, name: str, make: str | Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
-    """A derived feed, given by SQL or a function, as a table written once per application.
+    """A derived feed, given by SQL or a function, written as the query that needs it runs.
 
-    A feed arrives as files. Without this step the queries would spend their time in the
-    SQL that makes the messy texts, which the optimizer repeats wherever a text is used.
+    A feed arrives as files. Without this step the queries would spend their time in the SQL that makes the messy texts,
+    which the optimizer repeats wherever a text is used. The folder lies in the shared folder of the session (its
+    warehouse if none is named) and goes when the driver ends.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _LANDED:
-        rows = run(spark, sf_dir, make) if isinstance(make, str) else make(spark, sf_dir)
-        tasks = spark.sparkContext.defaultParallelism
-        if rows.rdd.getNumPartitions() < tasks:  # one small file is one task
-            rows = rows.repartition(tasks)
-        path = f"{_landing_root(spark)}/{len(_LANDED)}-{name}"
-        rows.write.mode("overwrite").parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(_LANDED[key])
+    rows = run(spark, sf_dir, make) if isinstance(make, str) else make(spark, sf_dir)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/landed/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def duck(sql: str) -> str:

@@ -160,7 +160,9 @@ def valid_orders(spark, sf_dir):
 RAW = "'{' || concat_ws(',', " + ", ".join(
     f"'\"{c}\":\"' || {c} || '\"'" for c in CONTRACT.columns
 ) + ") || '}'"
-HASH = "md5(concat_ws('|', " + ", ".join(f"coalesce({c}, 'NULL')" for c in CONTRACT.columns) + "))"
+HASH = "md5(concat_ws('|', " + ", ".join(
+    f"coalesce(cast(length({c}) AS varchar) || ':' || {c}, '-')" for c in CONTRACT.columns
+) + "))"
 
 
 @query("bronze_orders", duck.cte(o=BASE) + f"""
