@@ -93,8 +93,23 @@ def ingest(
 
     The landing files are read once, into a staging table next to the bronze table; line
     numbers and duplicates then need several passes over few columns of that. The counts
-    are taken from the stored batch, so task retries cannot distort them.
+    are taken from the stored batch, so task retries cannot distort them. With an audit the
+    run is logged from start to end, also if it fails.
     """
+    options = {"batch_id": batch_id, "as_of": as_of, "ingested_at": ingested_at, "min_hot_rows": min_hot_rows}
+    if audit is None:
+        return _ingest(spark, contract, source, bronze_path, **options)[0]
+    with audit.run(f"bronze-{contract.name}-{batch_id}", f"ingest_{contract.name}", bronze_batch_id=batch_id) as outcome:
+        stats, stored = _ingest(spark, contract, source, bronze_path, **options)
+        _log(audit, contract, source, batch_id, stats, stored)
+        outcome["records_processed"] = stats.records_total
+    return stats
+
+
+def _ingest(
+    spark: SparkSession, contract: FeedContract, source: str, bronze_path: str, *,
+    batch_id: str, as_of: date, ingested_at: datetime | None, min_hot_rows: int,
+) -> tuple[BronzeStats, DataFrame]:
     started = datetime.now()
     history = lake.existing_table(spark, bronze_path, contract.bronze_schema)
     if history is not None:
@@ -125,30 +140,23 @@ def ingest(
         records_per_second=counts["records_total"] / seconds if seconds > 0 else 0.0,
         schema_changes=changes,
     )
-    if audit is not None:
-        _log(audit, contract, source, batch_id, stats, stored)
-    return stats
+    return stats, stored
 
 
 def _log(
     audit: AuditLog, contract: FeedContract, source: str, batch_id: str, stats: BronzeStats, stored: DataFrame
 ) -> None:
     audit.create()
-    audit.log_bronze_batch(
-        batch_id, contract.name, source,
-        records_total=stats.records_total,
-        records_with_errors=stats.records_with_errors,
-        records_duplicate=stats.records_duplicate,
-        data_quality_score=stats.data_quality_score,
-        processing_duration=stats.duration_seconds,
-        schema_version=contract.version,
-        schema_changes=stats.schema_changes,
-        write_mode="append",
-    )
+    changes = stats.schema_changes
+    audit.log("bronze_batch_log", [{
+        "batch_id": batch_id, "table_name": contract.name, "source_file_path": source,
+        **{c: getattr(stats, c) for c in ("records_total", "records_with_errors", "records_duplicate", "data_quality_score")},
+        "processing_duration_seconds": stats.duration_seconds, "schema_version": contract.version,
+        "schema_changes_detected": bool(changes.get("has_changes")), "schema_changes_detail": changes, "write_mode": "append",
+    }])
     audit.log_issues(batch_id, "bronze", contract.name, issues_from_bronze(stored, contract.key))
-    for change, columns in [("COLUMN_ADDED", "new_columns"), ("COLUMN_REMOVED", "missing_columns")]:
-        if stats.schema_changes[columns]:
-            audit.log_schema_change(
-                contract.name, "bronze", contract.version, change,
-                {"columns": stats.schema_changes[columns]}, batch_id=batch_id,
-            )
+    found = {"COLUMN_ADDED": changes["new_columns"], "COLUMN_REMOVED": changes["missing_columns"]}
+    audit.log_schema_changes(
+        contract.name, "bronze", contract.version,
+        {kind: {"columns": columns} for kind, columns in found.items() if columns}, batch_id=batch_id,
+    )

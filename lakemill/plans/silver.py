@@ -213,18 +213,75 @@ def refine(
     min_hot_rows: int = MIN_HOT_ROWS,
     audit: AuditLog | None = None,
 ) -> SilverStats:
-    """Add the silver rows of one bronze batch, or of all batches not yet in silver."""
+    """Add the silver rows of one bronze batch, or of all batches that the ledger doesn't hold in their present state.
+
+    With an audit the run is logged from start to end, also if it fails.
+    """
+    options = {
+        "batch_id": batch_id, "as_of": as_of, "bronze_batch_id": bronze_batch_id, "processed_at": processed_at,
+        "orders_path": orders_path, "min_hot_rows": min_hot_rows, "audit": audit,
+    }
+    if audit is None:
+        return _refine(spark, table, bronze_path, silver_path, **options)
+    with audit.run(f"silver-{table}-{batch_id}", f"refine_{table}", silver_batch_id=batch_id) as outcome:
+        stats = _refine(spark, table, bronze_path, silver_path, **options)
+        outcome["records_processed"] = stats.records_input
+    return stats
+
+
+def _refine(
+    spark: SparkSession, table: str, bronze_path: str, silver_path: str, *,
+    batch_id: str, as_of: date, bronze_batch_id: str | None, processed_at: datetime | None,
+    orders_path: str | None, min_hot_rows: int, audit: AuditLog | None,
+) -> SilverStats:
     spec = SILVER[table]
     bronze = lake.read_table(spark, bronze_path, spec.contract.bronze_schema)
     if bronze_batch_id is not None:
-        bronze, batches = lake.one_batch(bronze, bronze_batch_id), [bronze_batch_id]
+        wanted = lake.batch_versions(lake.one_batch(bronze, bronze_batch_id)).collect()
+        work = {batch_id: {bronze_batch_id: wanted[0]["version"] if wanted else None}}
     else:
-        done = lake.existing_table(spark, silver_path, f"{lake.BATCH} string")
-        bronze, batches = lake.unseen_rows(bronze, done)
-    return refine_rows(
-        spark, table, bronze, batches, silver_path,
-        batch_id=batch_id, as_of=as_of, processed_at=processed_at,
-        orders_path=orders_path, min_hot_rows=min_hot_rows, audit=audit,
+        work = _pending(bronze, silver_path, batch_id)
+    stats = SilverStats((), 0, 0, 0, 0, 0.0, 0.0, 0.0)
+    for silver_batch, versions in work.items():
+        rows = bronze.filter(F.col(lake.BATCH).isin(sorted(versions)))  # as literals they prune the partitions of others
+        more = refine_rows(
+            spark, table, rows, sorted(versions), silver_path,
+            batch_id=silver_batch, as_of=as_of, processed_at=processed_at,
+            orders_path=orders_path, min_hot_rows=min_hot_rows, audit=audit,
+        )
+        lake.record_batches(spark, silver_path, versions, silver_batch)
+        stats = _added(stats, more)
+    return stats
+
+
+def _pending(bronze: DataFrame, silver_path: str, batch_id: str) -> dict[str, dict[str, datetime]]:
+    """Silver batches to make, each with its bronze batches and their versions.
+
+    New bronze batches go into ``batch_id``. A bronze batch that was ingested again is refined again together with all
+    others of the silver batch that holds it, which is then replaced. One row per pending batch reaches the driver.
+    """
+    work: dict[str, dict[str, datetime]] = {}
+    for row in lake.pending_batches(bronze, silver_path).collect():
+        work.setdefault(row["silver_batch"] or batch_id, {})[row["bronze_batch"]] = row["version"]
+    done = lake.recorded_batches(bronze.sparkSession, silver_path)
+    if done is not None and work:
+        for row in done.filter(F.col("silver_batch").isin(list(work))).collect():
+            work[row["silver_batch"]].setdefault(row["bronze_batch"], row["version"])
+    return work
+
+
+def _added(one: SilverStats, other: SilverStats) -> SilverStats:
+    read, written = one.records_input + other.records_input, one.records_output + other.records_output
+    seconds = one.duration_seconds + other.duration_seconds
+    return SilverStats(
+        batches=one.batches + other.batches,
+        records_input=read,
+        records_filtered=one.records_filtered + other.records_filtered,
+        records_deduplicated=one.records_deduplicated + other.records_deduplicated,
+        records_output=written,
+        data_quality_score=written / read * 100 if read else 0.0,
+        duration_seconds=seconds,
+        records_per_second=written / seconds if seconds > 0 else 0.0,
     )
 
 
@@ -263,7 +320,7 @@ def refine_rows(
             **common,
         ),
     }
-    lake.write_silver_batch(plans[table](), silver_path, spec.partition_by, gather=spec.gather)
+    lake.write_silver_batch(plans[table](), silver_path, spec.partition_by, batch_id=batch_id, gather=spec.gather)
     stored = lake.read_table(spark, silver_path, f"{lake.SILVER_BATCH} string, {lake.BATCH} string")
     output = stored.filter(F.col(lake.SILVER_BATCH) == batch_id)
     counts = {row[lake.BATCH]: row for row in stage_counts(bronze, spec.ids, output).collect()}  # one per batch
@@ -285,16 +342,13 @@ def refine_rows(
     )
     if audit is not None:
         audit.create()
-        for source, row in sorted(counts.items()):
-            audit.log_silver_batch(
-                batch_id, source, table,
-                records_input=row["records_input"],
-                records_output=row["records_output"],
-                records_filtered=row["records_filtered"],
-                records_deduplicated=row["records_deduplicated"],
-                records_standardized=row["records_output"],
-                transformation_rules=spec.steps,
-                processing_duration=seconds,
-                data_quality_score=row["data_quality_score"],
-            )
+        audit.log("silver_batch_log", [
+            {
+                "batch_id": batch_id, "source_batch_id": source, "table_name": table,
+                **{c: row[c] for c in ("records_input", "records_output", "records_filtered", "records_deduplicated")},
+                "records_standardized": row["records_output"], "transformation_rules_applied": spec.steps,
+                "processing_duration_seconds": seconds, "data_quality_score": row["data_quality_score"],
+            }
+            for source, row in sorted(counts.items())
+        ])
     return stats

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,48 @@ def unseen_rows(bronze: DataFrame, silver: DataFrame | None) -> tuple[DataFrame,
     return bronze.filter(F.col(BATCH).isin(ids)), ids
 
 
+# The ledger beside a silver table: which bronze batch, in which state, went into which silver batch.
+LEDGER = "bronze_batch string, version timestamp, silver_batch string, recorded_at timestamp"
+
+
+def ledger_path(silver_path: str) -> str:
+    return f"{silver_path.rstrip('/')}_ledger"
+
+
+def record_batches(spark: SparkSession, silver_path: str, versions: Mapping[str, datetime | None], silver_batch: str) -> None:
+    """Note that these bronze batches were read for a silver batch, also those that left no row in it."""
+    now = datetime.now()
+    rows = [(batch, version, silver_batch, now) for batch, version in sorted(versions.items())]
+    spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(ledger_path(silver_path))
+
+
+def recorded_batches(spark: SparkSession, silver_path: str) -> DataFrame | None:
+    """The newest note on each bronze batch."""
+    ledger = existing_table(spark, ledger_path(silver_path), LEDGER)
+    if ledger is None:
+        return None
+    newest = F.max_by(F.struct("version", "silver_batch"), "recorded_at").alias("n")
+    return ledger.groupBy("bronze_batch").agg(newest).select("bronze_batch", "n.version", "n.silver_batch")
+
+
+def batch_versions(bronze: DataFrame) -> DataFrame:
+    """Bronze batches and when their files were written; reads no column but the batch id of the folders."""
+    return bronze.select(F.col(BATCH).alias("bronze_batch"), F.col("_metadata.file_modification_time").alias("at")).groupBy(
+        "bronze_batch"
+    ).agg(F.max("at").alias("version"))
+
+
+def pending_batches(bronze: DataFrame, silver_path: str) -> DataFrame:
+    """Batches that no silver batch has read in their present state: bronze_batch, version, and the silver batch that
+    read an earlier state (null for a new batch)."""
+    versions, done = batch_versions(bronze), recorded_batches(bronze.sparkSession, silver_path)
+    if done is None:
+        return versions.withColumn("silver_batch", F.lit(None).cast("string"))
+    earlier = done.withColumnRenamed("version", "seen")
+    pending = versions.join(earlier, "bronze_batch", "left")
+    return pending.where("seen IS NULL OR version > seen").select("bronze_batch", "version", "silver_batch")
+
+
 def staged(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """The rows as a stored table, so that later passes do not compute them again."""
     df.write.format(fmt).mode("overwrite").save(path)
@@ -93,14 +136,30 @@ def write_bronze_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     _replace_partitions(df, path, [INGESTED_ON, BATCH], fmt)
 
 
+def batch_folders(spark: SparkSession, path: str, depth: int, batch_id: str) -> dict[str, set[str]]:
+    """Folders of a silver batch and the files in them; one folder per partition that the batch has rows in."""
+    jvm = spark._jvm
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{'/*' * depth}/{SILVER_BATCH}={name}")
+    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.globStatus(pattern) or []
+    return {str(f.getPath()): {str(x.getPath()) for x in store.listStatus(f.getPath())} for f in found}
+
+
 def write_silver_batch(
-    df: DataFrame, path: str, partition_by: Sequence[str], *, gather: bool, fmt: str = "parquet"
+    df: DataFrame, path: str, partition_by: Sequence[str], *, batch_id: str, gather: bool, fmt: str = "parquet"
 ) -> None:
     """Add one silver batch, partitioned by the given columns and, within those, its id.
 
+    A batch that was written before is replaced as a whole: partitions it no longer has rows in are dropped.
     ``gather``: the rows of a task fall into many partitions. ``REBALANCE`` then brings
     those of a partition together in files of the advisory size, and splits a partition
     that is too large for one task. Without it each task writes its own file.
     """
     rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if gather else df
+    spark, depth = df.sparkSession, len(partition_by)
+    before = batch_folders(spark, path, depth, batch_id)
     _replace_partitions(rows, path, [*partition_by, SILVER_BATCH], fmt)
+    for folder, files in batch_folders(spark, path, depth, batch_id).items():
+        if before.get(folder) == files:
+            drop_folder(spark, folder)

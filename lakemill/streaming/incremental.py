@@ -8,9 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from lakemill.operators.audit import AuditLog
 from lakemill.operators.skew import MIN_HOT_ROWS
-from lakemill.plans.silver import SILVER, refine_rows
-from lakemill.sources import lake
+from lakemill.plans.silver import SILVER, refine
 
 
 def refine_available(
@@ -23,22 +23,21 @@ def refine_available(
     as_of: date,
     orders_path: str | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
+    audit: AuditLog | None = None,
 ) -> StreamingQuery:
-    """Refine all bronze files that arrived since the last run, then stop.
+    """Refine all bronze batches that arrived since the last run, then stop.
 
-    The stream's checkpoint remembers the files. A micro-batch that is repeated after a
-    failure has the same silver batch id and replaces what it wrote before. The id comes
-    from the checkpoint path, so a new stream needs a new one.
+    The stream only tells that files came: a micro-batch refines what the ledger doesn't hold yet. So a bronze batch that
+    is ingested again replaces its silver rows, and a micro-batch that is repeated after a failure has the same silver
+    batch id and replaces what it wrote before. The id comes from the checkpoint path, so a new stream needs a new one.
     """
     schema = SILVER[table].contract.bronze_schema
     stream = hashlib.md5(checkpoint_path.encode()).hexdigest()[:8]
 
     def refine_batch(rows: DataFrame, epoch: int) -> None:
-        batch_id = f"{table}-{stream}-{epoch}"
-        ids = sorted(r[0] for r in rows.select(lake.BATCH).distinct().collect())
-        refine_rows(
-            spark, table, rows, ids, silver_path,
-            batch_id=batch_id, as_of=as_of, orders_path=orders_path, min_hot_rows=min_hot_rows,
+        refine(
+            spark, table, bronze_path, silver_path, batch_id=f"{table}-{stream}-{epoch}", as_of=as_of,
+            orders_path=orders_path, min_hot_rows=min_hot_rows, audit=audit,
         )
 
     return (

@@ -220,6 +220,63 @@ def test_stream_equals_batch(spark, tmp_path, paths):
     assert stream().count() == 4
 
 
+def ingest_rows(spark, tmp_path, paths, batch, rows, **options):
+    source = write_csv(tmp_path / f"in-{batch}" / "orders.csv", ORDERS.columns, rows)
+    return ingest(spark, ORDERS, source, paths["bronze_orders"], batch_id=batch, as_of=AS_OF, **options)
+
+
+def refine_orders(spark, paths, batch, **options):
+    return refine(spark, "orders", paths["bronze_orders"], paths["silver_orders"], batch_id=batch, as_of=AS_OF, **options)
+
+
+def test_superseded_and_invalid_batches_are_read_once(spark, tmp_path, paths):
+    """A batch that leaves no silver row behind isn't taken as new by the next run."""
+    ingest_rows(spark, tmp_path, paths, "b1", [ORDER_ROWS[0]])
+    ingest_rows(spark, tmp_path, paths, "b2", [ORDER_ROWS[1]])
+    ingest_rows(spark, tmp_path, paths, "b3", [ORDER_ROWS[4]])
+    first = refine_orders(spark, paths, "s1")
+    assert (first.batches, first.records_output) == (("b1", "b2", "b3"), 1)
+    assert refine_orders(spark, paths, "s2").batches == ()
+    rows = lake.read_table(spark, paths["silver_orders"]).collect()
+    assert [(r["payment_method"], r["_silver_batch_id"]) for r in rows] == [("credit_card", "s1")]
+
+
+def test_reingested_batch_replaces_its_silver_rows(spark, tmp_path, paths):
+    """The silver batch that holds it is made again, also where its rows move to another month."""
+    ingest_rows(spark, tmp_path, paths, "b1", [ORDER_ROWS[0]])
+    ingest_rows(spark, tmp_path, paths, "b2", [ORDER_ROWS[3]])
+    refine_orders(spark, paths, "s1")
+    moved = ("O1", "C1", "2024-05-01 10:00:00", *ORDER_ROWS[0][3:])
+    ingest_rows(spark, tmp_path, paths, "b1", [moved])
+    again = refine_orders(spark, paths, "s2")
+    assert again.batches == ("b1", "b2")
+    rows = lake.read_table(spark, paths["silver_orders"]).collect()
+    assert sorted((r["order_id"], r["order_month"], r["_silver_batch_id"]) for r in rows) == [("O1", 5, "s1"), ("O3", 3, "s1")]
+
+
+def test_stream_after_reingest(spark, tmp_path, paths):
+    for _ in range(2):
+        ingest_rows(spark, tmp_path, paths, "b1", [ORDER_ROWS[0]])
+        refine_available(
+            spark, "orders", paths["bronze_orders"], paths["silver_orders"], paths["checkpoint"], as_of=AS_OF
+        ).awaitTermination()
+        assert lake.read_table(spark, paths["silver_orders"]).count() == 1
+
+
+def test_repeated_run_doesnt_double_the_audit(spark, tmp_path, paths):
+    audit = AuditLog(spark, paths["audit"])
+    for _ in range(2):
+        ingest_rows(spark, tmp_path, paths, "b1", [ORDER_ROWS[0], ORDER_ROWS[4], ORDER_ROWS[6]], audit=audit)
+        refine_orders(spark, paths, "s1", bronze_batch_id="b1", audit=audit)
+    counts = [audit.table(t).count() for t in ("bronze_batch_log", "silver_batch_log", "data_quality_issues")]
+    assert counts == [1, 1, 2] and audit.batch_summary("b1").count() == 1
+    runs = {r["execution_id"]: (r["status"], r["records_processed"]) for r in audit.executions().collect()}
+    assert runs == {"bronze-orders-b1": ("SUCCESS", 3), "silver-orders-s1": ("SUCCESS", 3)}
+    with pytest.raises(Exception):
+        ingest(spark, ORDERS, str(tmp_path / "nowhere"), paths["bronze_orders"], batch_id="b9", as_of=AS_OF, audit=audit)
+    assert audit.executions().filter("execution_id = 'bronze-orders-b9'").first()["status"] == "FAILED"
+
+
 def test_table_exists(spark, tmp_path):
     assert not lake.table_exists(spark, str(tmp_path / "none"))
     spark.range(1).write.parquet(str(tmp_path / "some"))
@@ -240,10 +297,19 @@ def test_audit_runs(spark, tmp_path):
     assert audit.execution_performance("daily", date(2025, 3, 1)).isEmpty()
     with pytest.raises(KeyError):
         audit.complete_execution("e9")
-    audit.log_gold_batch(
-        "g1", "s1", "daily_sales", "FACT", records_inserted=1, records_updated=2, records_deleted=0,
-        business_rules=["sum"], processing_duration=1.234,
-    )
+    for inserted in (7, 1):  # the second replaces the first
+        audit.log("gold_batch_log", [{
+            "batch_id": "g1", "source_batch_id": "s1", "table_name": "daily_sales", "table_type": "FACT",
+            "records_inserted": inserted, "records_updated": 2, "records_deleted": 0, "business_rules_applied": ["sum"],
+            "processing_duration_seconds": 1.234,
+        }])
+    assert audit.table("gold_batch_log").count() == 1
+    with pytest.raises(KeyError, match="no column"):
+        audit.log("gold_batch_log", [{"nonsense": 1}])
+    with pytest.raises(ValueError), audit.run("e3", "daily", bronze_batch_id="b3"):
+        raise ValueError("broken feed")
+    failed = audit.executions().filter("execution_id = 'e3'").first()
+    assert (failed["status"], failed["error_message"], failed["bronze_batch_id"]) == ("FAILED", "broken feed", "b3")
     gold = audit.table("gold_batch_log").first()
     assert (gold["processing_duration_seconds"], gold["business_rules_applied"]) == (Decimal("1.23"), '["sum"]')
 
