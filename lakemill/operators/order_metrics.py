@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakemill.functions.numbers import percentage
-from lakemill.operators.skew import ROWS_PER_TASK, HotKeys, is_hot, ranked_by_range
+from lakemill.operators.skew import ROWS_PER_TASK, HotKeys, is_hot, ranked_by_range, reliable_checkpoint
 
 
 def add_order_metrics(
@@ -17,11 +17,13 @@ def add_order_metrics(
 
     Ordinary orders need one shuffle for all five columns. Orders named in ``hot`` do not
     fit one task: their sums are pre-aggregated and their ranks come from a range sort.
+    The items are then checkpointed first, so that what they are made of runs once.
     """
     order_id, total = F.col("order_id"), F.col("line_total")
     ranking = [total.desc(), F.col("item_id")]
     ordinary = items
     if hot:
+        items = reliable_checkpoint(items)
         ordinary = items.filter(~is_hot(order_id, hot))
     per_order = Window.partitionBy("order_id")
     # Ranked first: the sums then reuse that sort as well as the shuffle.

@@ -203,6 +203,30 @@ def order_metrics(spark, sf_dir):
     return plain(add_order_metrics(rows, hot=hot).drop("line_total"))
 
 
+# A third of all lines belong to one order, on which the spread plans run at any size.
+HOT_ITEMS = CLEAN_ITEMS.replace("l_orderkey AS order_id", "CASE WHEN l_partkey % 3 = 0 THEN -1 ELSE l_orderkey END AS order_id")
+HOT_ROWS, TASK_ROWS = 1_000, 5_000
+PARENTS = "SELECT o_orderkey AS order_id FROM {orders} WHERE o_orderstatus = 'F' UNION ALL SELECT -1 AS order_id"
+
+
+@query("order_metrics_hot", duck.cte(f=derive.duck(HOT_ITEMS), m=MEASURED) + f"SELECT item_id, order_id, {METRICS} FROM m")
+def order_metrics_hot(spark, sf_dir):
+    rows = derive.landed(spark, sf_dir, "hot_items", HOT_ITEMS)
+    hot = hot_keys(rows, "order_id", min_rows=HOT_ROWS)
+    return plain(add_order_metrics(rows, hot=hot, rows_per_task=TASK_ROWS).drop("line_total"))
+
+
+@query("reference_flag_hot", duck.cte(f=derive.duck(HOT_ITEMS), o=derive.duck(PARENTS)) + """
+SELECT item_id, f.order_id IN (SELECT order_id FROM o) AS has_valid_order FROM f""")
+def reference_flag_hot(spark, sf_dir):
+    rows = derive.landed(spark, sf_dir, "hot_items", HOT_ITEMS)
+    hot = hot_keys(rows, "order_id", min_rows=HOT_ROWS)
+    flagged = flag_reference(
+        rows, derive.run(spark, sf_dir, PARENTS), "order_id", "has_valid_order", salt_by="item_id", hot=hot, rows_per_task=TASK_ROWS
+    )
+    return flagged.select("item_id", "has_valid_order")
+
+
 @query("items_silver", duck.cte(
     i=BASE, o=LANDED, v=f"SELECT * FROM (SELECT * FROM i WHERE {VALID}) QUALIFY {NEWEST}", t=TYPED, f=FIXED, m=MEASURED,
 ) + f"""
