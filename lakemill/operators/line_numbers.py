@@ -19,12 +19,24 @@ def with_positions(scan: DataFrame) -> DataFrame:
     )
 
 
+def with_files(scan: DataFrame) -> DataFrame:
+    """Add ``_file`` and ``_block``: the file of a row, and where the part of the file begins that its task read."""
+    return scan.withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
+
+
 def number_positions(placed: DataFrame, column: str) -> DataFrame:
-    """Dense numbers in the order of (``_part``, ``_pos``).
+    """Dense numbers in the order of (``_part``, ``_pos``), or per file if the rows have ``_file`` and ``_block``.
 
-    The running total of the rows per partition, a table with one row per scan partition,
+    The running total of the rows per partition, a table with one row per scan partition (per block of a file),
     is broadcast; each row adds its position.
     """
+    if "_file" in placed.columns:
+        blocks = placed.groupBy("_file", "_block").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        before = F.sum("_rows").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+        offsets = blocks.select("_file", "_block", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+        number = F.col("_before") + F.col("_pos") - F.col("_first") + 1
+        numbered = placed.join(F.broadcast(offsets), ["_file", "_block"]).withColumn(column, number)
+        return numbered.drop("_part", "_pos", "_block", "_first", "_before")
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))

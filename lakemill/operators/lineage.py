@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -26,14 +25,15 @@ def add_bronze_lineage(
     schema_version: str = "1.0",
 ) -> DataFrame:
     at = _moment(ingested_at)
+    file = F.col("_file") if "_file" in df.columns else F.lit(source_file)
     return df.withColumns(
         {
             "_bronze_ingestion_timestamp": at,
             "_bronze_ingestion_date": F.date_format(at, "yyyy-MM-dd"),
-            "_bronze_source_file": F.lit(source_file),
+            "_bronze_source_file": file,
             "_bronze_ingestion_batch_id": F.lit(batch_id),
             "_bronze_raw_record": F.to_json(F.struct(*source_columns(df))),
-            "_bronze_file_hash": F.lit(hashlib.md5(source_file.encode()).hexdigest()),
+            "_bronze_file_hash": F.md5(file),
             "_schema_version": F.lit(schema_version),
         }
     )

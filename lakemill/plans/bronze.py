@@ -12,7 +12,7 @@ from lakemill.contracts import FeedContract
 from lakemill.operators.audit import AuditLog, issues_from_bronze
 from lakemill.operators.drift import conform
 from lakemill.operators.duplicates import mark_duplicates, with_landing_hash
-from lakemill.operators.line_numbers import number_positions, with_positions
+from lakemill.operators.line_numbers import number_positions, with_files, with_positions
 from lakemill.operators.lineage import add_bronze_lineage
 from lakemill.operators.quality import validate
 from lakemill.operators.skew import MIN_HOT_ROWS
@@ -33,11 +33,12 @@ class BronzeStats:
     schema_changes: dict
 
 
-def located_rows(scan: DataFrame, contract: FeedContract) -> tuple[DataFrame, dict]:
+def located_rows(scan: DataFrame, contract: FeedContract, *, files: bool = False) -> tuple[DataFrame, dict]:
     """The landing rows under the contract's columns, with content hash and scan position,
-    and the schema changes found."""
+    and the schema changes found. ``files``: the scan reads files, whose paths are kept."""
     conformed, changes = conform(scan, contract.columns)
-    return with_positions(with_landing_hash(conformed)), changes
+    hashed = with_landing_hash(conformed)
+    return with_positions(with_files(hashed) if files else hashed), changes
 
 
 def bronze_rows(
@@ -51,7 +52,7 @@ def bronze_rows(
     history: DataFrame | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """The rows of one bronze batch."""
+    """The rows of one bronze batch. ``source_file`` is their source where the rows don't know their own file."""
     numbered = number_positions(located, LINE)
     marked = mark_duplicates(numbered, history, salt_by=LINE, counted=located, min_hot_rows=min_hot_rows)
     checked = validate(marked, contract.rules(as_of))
@@ -117,7 +118,7 @@ def _ingest(
             earlier = lake.one_batch(history, batch_id).agg(F.min("_bronze_ingestion_timestamp"))
             ingested_at = earlier.first()[0]
         history = history.filter(F.col(lake.BATCH) != batch_id)
-    located, changes = located_rows(read_csv(spark, source), contract)
+    located, changes = located_rows(read_csv(spark, source), contract, files=True)
     staging = f"{bronze_path.rstrip('/')}_staging/{batch_id}"
     rows = bronze_rows(
         lake.staged(located, staging),

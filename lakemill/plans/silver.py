@@ -35,6 +35,7 @@ from lakemill.sources import lake
 
 INGESTED_AT = "_bronze_ingestion_timestamp"
 LINE = "_bronze_source_line_number"
+SOURCE_FILE = "_bronze_source_file"
 PROCESSED_AT = "_silver_processing_timestamp"
 
 # The columns of the silver tables, in order.
@@ -69,14 +70,16 @@ ITEM_HASH = ["item_id", "order_id", "product_id", "sku_cleaned", "product_name",
              "quantity", "unit_price", "line_total"]
 
 
-def _ties(order: str) -> list:
-    return [F.col(lake.BATCH).desc(), F.col(order).desc()]
+def _ties(rows: DataFrame) -> list:
+    """Among rows of one time the later batch, then the later file and line win."""
+    names = [lake.BATCH, SOURCE_FILE, LINE]
+    return [F.col(c).desc() for c in names if c in rows.columns]
 
 
 def _newest_valid(bronze: DataFrame, ids: Sequence[str], key: str, filter_first: bool) -> DataFrame:
     if filter_first:
-        return newest_per_key(drop_invalid(bronze, ids), key, INGESTED_AT, _ties(LINE))
-    return drop_invalid(newest_per_key(bronze, key, INGESTED_AT, _ties(LINE)), ids)
+        return newest_per_key(drop_invalid(bronze, ids), key, INGESTED_AT, _ties(bronze))
+    return drop_invalid(newest_per_key(bronze, key, INGESTED_AT, _ties(bronze)), ids)
 
 
 def silver_customers(
@@ -106,7 +109,7 @@ def silver_orders(
 ) -> DataFrame:
     valid = drop_invalid(bronze, ORDER_IDS)
     typed = repair_order_total(standardize_orders(valid, date_formats))
-    newest = newest_per_key(typed, "order_id", "created_at", [F.col(INGESTED_AT).desc(), *_ties(LINE)])
+    newest = newest_per_key(typed, "order_id", "created_at", [F.col(INGESTED_AT).desc(), *_ties(typed)])
     stamped = add_silver_lineage(
         enrich_orders(newest, as_of), batch_id=batch_id, hash_columns=ORDER_COLUMNS, processed_at=processed_at
     )

@@ -277,6 +277,16 @@ def test_repeated_run_doesnt_double_the_audit(spark, tmp_path, paths):
     assert audit.executions().filter("execution_id = 'bronze-orders-b9'").first()["status"] == "FAILED"
 
 
+def test_folder_as_source_keeps_files_and_their_lines(spark, tmp_path, paths):
+    for name, rows in (("a.csv", ORDER_ROWS[:4]), ("b.csv", ORDER_ROWS[4:])):
+        write_csv(tmp_path / "in" / name, ORDERS.columns, rows)
+    ingest(spark, ORDERS, str(tmp_path / "in"), paths["bronze_orders"], batch_id="b1", as_of=AS_OF)
+    rows = lake.read_table(spark, paths["bronze_orders"], ORDERS.bronze_schema).collect()
+    found = sorted((r["_bronze_source_file"].rsplit("/", 1)[1], r["_bronze_source_line_number"], r["order_id"]) for r in rows)
+    want = [("a.csv", n, r[0]) for n, r in enumerate(ORDER_ROWS[:4], 1)] + [("b.csv", n, r[0]) for n, r in enumerate(ORDER_ROWS[4:], 1)]
+    assert found == want and len({r["_bronze_file_hash"] for r in rows}) == 2
+
+
 def test_table_exists(spark, tmp_path):
     assert not lake.table_exists(spark, str(tmp_path / "none"))
     spark.range(1).write.parquet(str(tmp_path / "some"))
