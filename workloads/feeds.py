@@ -91,6 +91,43 @@ def events_flat(spark, sf_dir):
     )
 
 
+def _detail_lines() -> str:
+    place = obj(quoted("state", "'S' || cast(id % 50 AS string)"), quoted("ip_address", "'10.0.0.' || cast(id % 256 AS string)"))
+    thing = obj(quoted("product_name", "'Part ' || cast(user_id AS string)"), quoted("category", "'Books'"), bare("price", money("cents")))
+    page = obj(quoted("url", "'/p/' || cast(user_id AS string)"), quoted("referrer", "'ads'"), bare("load_time_ms", "cast(id % 3000 AS string)"))
+    ad = obj(quoted("campaign_id", "'CAMP' || cast(id % 9 AS string)"), quoted("source", "'mail'"), quoted("medium", "'cpc'"))
+    agent = obj(quoted("user_agent", "'Agent/' || cast(id % 5 AS string)"), quoted("ab_test_variant", "'B'"))
+    line = obj(
+        quoted("event_id", "'ev-' || cast(id AS string)"), "'\"location\": ' || " + place, "'\"product\": ' || " + thing,
+        "'\"device\": ' || " + obj(quoted("screen_resolution", "'800x600'")), "'\"page\": ' || " + page,
+        "'\"marketing\": ' || " + ad, "'\"metadata\": ' || " + agent,
+    )
+    return f"SELECT CASE WHEN id % 97 = 5 THEN 'broken ' || cast(id AS string) ELSE {line} END AS value FROM ({EVENTS}) e"
+
+
+DETAIL_LINES = _detail_lines().replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}")
+GOOD = "CASE WHEN id % 97 <> 5 THEN {} END"
+
+
+@query("events_details", duck.cte(e=derive.duck(EVENTS)) + "SELECT " + ", ".join(
+    f"{GOOD.format(value)} AS {name}" for name, value in {
+        "event_id": "'ev-' || cast(id AS string)", "state": "'S' || cast(id % 50 AS string)",
+        "ip_address": "'10.0.0.' || cast(id % 256 AS string)", "product_name": "'Part ' || cast(user_id AS string)",
+        "category": "'Books'", "screen_resolution": "'800x600'", "page_url": "'/p/' || cast(user_id AS string)",
+        "referrer": "'ads'", "load_time_ms": "id % 3000", "campaign_id": "'CAMP' || cast(id % 9 AS string)",
+        "marketing_source": "'mail'", "marketing_medium": "'cpc'", "user_agent": "'Agent/' || cast(id % 5 AS string)",
+        "ab_test_variant": "'B'", "price_cents": "cents",
+    }.items()
+) + ", CASE WHEN id % 97 = 5 THEN 'broken ' || cast(id AS string) END AS unreadable FROM e", optional=["load_time_ms", "price_cents"])
+def events_details(spark, sf_dir):
+    flat = clickstream.flatten_events(clickstream.parse_events(derive.landed(spark, sf_dir, "details", DETAIL_LINES)))
+    return flat.select(
+        "event_id", "state", "ip_address", "product_name", "category", "screen_resolution", "page_url", "referrer",
+        "load_time_ms", "campaign_id", "marketing_source", "marketing_medium", "user_agent", "ab_test_variant",
+        (F.col("price") * 100).cast("bigint").alias("price_cents"), F.col("_corrupt_record").alias("unreadable"),
+    )
+
+
 @query("events_by_type", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
 def events_by_type(spark, sf_dir):
     return clickstream.events_by_type(derive.load(spark, sf_dir, "events"))
