@@ -34,24 +34,22 @@ DATE = "1970-01-01T00:00:00Z"
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
-    """Add ``refers_to`` and ``is_revisit``: which earlier payload a page repeats.
+    """Add ``is_revisit`` and ``refers_to``: which page a payload repeats.
 
-    Payloads are compared by SHA-1 and length. Copies are counted on narrow rows; only digests that occur more than once
-    take part in the join, in which Spark may split a hot digest.
+    Payloads are compared by SHA-1 and length. Copies are counted on narrow rows, and only digests that occur more than
+    once take part in the narrow join, in which Spark may split a hot digest. The payloads are shuffled once, by page_id.
     """
-    narrow = pages.select("__row", "page_id", "__digest", "__size")
-    copies = (
-        narrow.groupBy("__digest", "__size")
-        .agg(F.count(F.lit(1)).alias("__n"), F.max(F.struct("page_id", "__row")).alias("__last"))
-        .where("__n > 1")
-        .select("__digest", "__size", "__last")
+    pages = pages.withColumn("__id", F.coalesce(F.col("page_id").cast("string"), F.lit("")))  # one key for join and window
+    narrow = pages.select("__id", "page_id", "__digest", "__size")
+    copies = narrow.groupBy("__digest", "__size").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("last"))
+    found = narrow.distinct().join(copies.where("n > 1").drop("n"), ["__digest", "__size"])
+    found = found.select("__id", "__digest", "last", F.lit(True).alias("copied"))
+    joined = pages.join(found, ["__id", "__digest"], "left")
+    joined = joined.withColumn("__repeat", F.row_number().over(Window.partitionBy("__id", "__digest").orderBy("url")))
+    revisit = F.col("copied") & (~F.col("page_id").eqNullSafe(F.col("last")) | (F.col("__repeat") > 1))
+    return joined.withColumn("is_revisit", F.coalesce(revisit, F.lit(False))).withColumn(
+        "refers_to", F.when(F.col("is_revisit"), F.col("last"))
     )
-    found = (
-        narrow.join(copies, ["__digest", "__size"])
-        .where(F.col("__row") != F.col("__last")["__row"])
-        .select("__row", F.col("__last")["page_id"].alias("refers_to"), F.lit(True).alias("is_revisit"))
-    )
-    return pages.join(found, "__row", "left").withColumn("is_revisit", F.coalesce("is_revisit", F.lit(False)))
 
 
 def record_uri(page_id: int | None) -> str:
@@ -155,13 +153,12 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     Each task writes bundles of about BUNDLE_BYTES of payload from the rows it holds.
     """
     rows = pages.select(
-        F.monotonically_increasing_id().alias("__row"),
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("__payload"),
     )
     rows = rows.withColumns({"__digest": F.sha1("__payload"), "__size": F.octet_length("__payload")})
-    rows = with_revisits(stage(rows, "pages")).select("page_id", "url", "__payload", "__digest", "is_revisit", "refers_to")
+    rows = with_revisits(rows).select("page_id", "url", "__payload", "__digest", "is_revisit", "refers_to")
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
