@@ -1,13 +1,43 @@
-"""Warehouse sheets: derived stock columns and totals."""
+"""Warehouse sheets: rows below the titles, derived stock columns and totals."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from lakemill.operators.line_numbers import with_positions
 
 VOLUMETRIC_DIVISOR = 166
 
 
+def column_name(header: str) -> str:
+    """``Current Stock`` -> ``current_stock``; a unit in brackets is left out: ``Length (in)`` -> ``length``."""
+    return re.sub(r"\W+", "_", re.sub(r"\(.*?\)", "", header).strip().lower()).strip("_")
+
+
+def read_sheet(spark: SparkSession, path: str, headers: Sequence[str], width: int = 64) -> DataFrame:
+    """A sheet saved as one CSV file, every column as text, named by ``column_name``.
+
+    Title and empty rows above the header are left out: the header is the first row that holds all of ``headers``.
+    Sheets have at most ``width`` columns. One job looks for the header; only that row reaches the driver.
+    """
+    schema = StructType([StructField(f"_c{k}", StringType()) for k in range(width)])
+    cells = with_positions(spark.read.schema(schema).csv(path))
+    row = F.array(*[F.trim(c) for c in schema.names])
+    header = cells.where(reduce(lambda a, b: a & b, [F.array_contains(row, h) for h in headers])).orderBy("_part", "_pos").first()
+    if header is None:
+        raise ValueError(f"no row of {path} holds the headers {list(headers)}")
+    names = {c: column_name(header[c]) for c in schema.names if header[c] and header[c].strip()}
+    below = (F.col("_part") > header["_part"]) | ((F.col("_part") == header["_part"]) & (F.col("_pos") > header["_pos"]))
+    filled = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in names])
+    return cells.where(below & filled.isNotNull()).select(*[F.col(c).alias(name) for c, name in names.items()])
+
+
 def stock_values(inventory: DataFrame) -> DataFrame:
     """Available stock and value from their parts, also where a sheet holds an error text."""
     stock = F.col("current_stock").try_cast("bigint")

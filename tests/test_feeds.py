@@ -4,6 +4,7 @@ import json
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakemill.operators import quality
@@ -153,3 +154,19 @@ def test_line_numbers_over_many_files(spark, tmp_path):
     lines = sorted(r["n"] for r in number_lines(scan, "n").collect())
     assert lines == list(range(1, 1001))
     assert number_lines(scan, "n").select(F.count_distinct("v")).first()[0] == 1000
+
+
+def test_sheet_below_titles(spark, tmp_path):
+    """Titles and an empty row above the header, headers with units, error texts and text numbers."""
+    sheet = tmp_path / "stock.csv"
+    sheet.write_text(
+        "Warehouse report,,,,,\n,,,,,\nProduct ID,Current Stock,Reserved Stock,Unit Cost,Length (in),Width (in)\n"
+        "P1,10,3,2.50,10,2\n,,,,,\nP2,#N/A,1,4.00,x,2\n"
+    )
+    rows = inventory.read_sheet(spark, str(sheet), ["Product ID", "Current Stock"])
+    assert rows.columns == ["product_id", "current_stock", "reserved_stock", "unit_cost", "length", "width"]
+    valued = inventory.stock_values(inventory.volumetric_weight(rows.withColumn("height", F.lit("83"))))
+    got = {r["product_id"]: (r["available_stock"], r["computed_value"], r["volumetric_weight"]) for r in valued.collect()}
+    assert got == {"P1": (7, Decimal("25.00"), Decimal("10.00")), "P2": (None, None, None)}
+    with pytest.raises(ValueError):
+        inventory.read_sheet(spark, str(sheet), ["Nothing"])
