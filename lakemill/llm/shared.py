@@ -16,7 +16,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"file://{tempfile.gettempdir()}/lakemill-{spark.sparkContext.applicationId}"
     folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
