@@ -3,13 +3,14 @@
 A text's set holds the distinct SHINGLE-word shingles of its words as 64-bit hashes. Two sets of at least 85 % Jaccard
 similarity must share a token among the first n - ceil(0.85 n) + 1 of each, under any order of the tokens that all texts
 agree on. Here there are ORDERS such orders, each by another hash, and in all of them tokens that a sketch of the whole
-corpus shows to be frequent come last. Candidates share a prefix token in every order, and their sizes allow the
-similarity; only then are whole sets fetched and compared.
+corpus, or a first pass over the prefixes, shows to be frequent come last. Candidates share a prefix token in every
+order, and their sizes, and the tokens that come before the shared one, allow the similarity; only then are whole sets
+compared.
 
 Equal sets are one node, named by a 64-bit hash of the set, so copies cost nothing. Links are followed to components:
-first each token's nodes are compared with one of them, and what that joins needs no further comparison; all other pairs
-that pass the filters and lie in different components are compared after it. No link between different components is
-left out. With d distinct sets, hashes join two by mistake with a chance of d^2 / 2^65.
+first each token's nodes are compared with one of them, and what that joins needs no further comparison; then with
+another one for each token; at last all pairs that still lie in different components and pass the filters. No link
+between different components is left out. With d distinct sets, hashes join two by mistake with a chance of d^2 / 2^65.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; texts of fewer than
 SHINGLE words have their whole sequence as one shingle; repeated rows belong to one component; rows with a null doc_id
@@ -26,25 +27,27 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.shared import stage
-from lakemill.llm.words import LOWER_AZ, WHITE, documents, mix, runs
+from lakemill.llm.words import LOWER_AZ, WHITE, documents, mix, ranges, runs
 
-SHINGLE, PERCENT, ORDERS = 4, 85, 2
+SHINGLE, PERCENT, ORDERS = 4, 85, 2  # ORDERS: a power of two
 #: Buckets of the corpus sketch, in rows of CHUNK; its size is fixed, so it may be broadcast.
 SKETCH, CHUNK = 1 << 21, 1 << 16
-#: Bits of the filter that tells which sets a comparison needs; fixed as well.
+#: Bits of the filters of frequent tokens and of the sets that comparisons need; fixed as well.
 BLOOM = 1 << 24
 HELD_TOKENS = 1 << 20
-#: All pairs of a token with so few nodes are compared at once.
-FEW = 3
+#: A token in the prefixes of more nodes is frequent.
+FREQUENT = 8
 
 
 def sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """Row and sorted distinct shingles of each text of a batch that has words."""
     for first, _, row, key in documents(texts, WHITE, LOWER_AZ):
+        if not len(row):
+            continue
         grams = np.zeros(max(0, len(key) - SHINGLE + 1), np.uint64)
         for k in range(SHINGLE):
             grams = grams * np.uint64(0x9E3779B97F4A7C15) + key[k : k + len(grams)]
@@ -68,12 +71,27 @@ def prefix_length(size: int) -> int:
     return size - -(-PERCENT * size // 100) + 1
 
 
-def prefix(shingles: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
-    """The first tokens of a set under an order, as tokens that differ from order to order."""
-    value = mix(shingles + np.uint64((order + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1))
-    value = classes[shingles & np.uint64(SKETCH - 1)].astype(np.uint64) << np.uint64(56) | value >> np.uint64(8)
-    length = prefix_length(len(value))
-    return np.partition(value, length - 1)[:length] if length < len(value) else value
+def bloom_places(keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    mixed = mix(keys.view(np.uint64))
+    return tuple((mixed >> np.uint64(shift) & np.uint64(BLOOM - 1)).astype(np.int64) for shift in (0, 20, 40))
+
+
+def prefix(shingles: np.ndarray, classes: np.ndarray, frequent: np.ndarray | None, order: int) -> np.ndarray:
+    """The first tokens of a set under an order, in that order, as tokens whose lowest bits tell the order.
+
+    Tokens in the filter of frequent tokens come last, before them those of higher classes; the rest is hash order.
+    """
+    token = mix(shingles + np.uint64((order + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1))
+    token += np.uint64(order) - token % np.uint64(ORDERS)
+    length = prefix_length(len(token))
+    rank = classes[shingles & np.uint64(SKETCH - 1)].astype(np.uint64) << np.uint64(56) | token >> np.uint64(8)
+    if frequent is not None:
+        one, two, three = bloom_places(token)
+        rank |= (frequent[one] & frequent[two] & frequent[three]).astype(np.uint64) << np.uint64(63)
+    if length < len(token):
+        first = np.argpartition(rank, length - 1)[:length]
+        token, rank = token[first], rank[first]
+    return token[np.lexsort((token, rank))]
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,8 +136,8 @@ def frequency_classes(sized: DataFrame) -> np.ndarray:
     return np.floor(np.log2(np.maximum(sketch / usual, 1))).astype(np.uint8)
 
 
-def _prefixes(classes: Broadcast, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Prefix tokens of all orders, in blocks by part: each block holds its tokens, and the node and size for each."""
+def _prefixes(classes: Broadcast, frequent: Broadcast | None, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefix tokens of all orders, in blocks by part: a block holds tokens, and node, size and place in the set of each."""
     tokens: list[np.ndarray] = []
     nodes: list[int] = []
     sizes: list[int] = []
@@ -129,18 +147,20 @@ def _prefixes(classes: Broadcast, parts: int, batches: Iterator[pa.RecordBatch])
         many = [len(x) for x in tokens]
         token = np.concatenate(tokens)
         node, size = np.repeat(np.array(nodes, np.int64), many), np.repeat(np.array(sizes, np.int32), many)
-        part = (token % np.uint64(parts)).astype(np.int32)
+        place = ranges(np.zeros(len(many), np.int64), np.array(many)).astype(np.int32)
+        part = (mix(token) % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
-        token, node, size, part = token[order], node[order], size[order], part[order]
+        token, node, size, place, part = (x[order] for x in (token, node, size, place, part))
         begin = runs(part)
         end = np.append(begin[1:], len(part))
         columns = [pa.array(part[begin])]
-        for values in (token, node, size):
+        for values in (token, node, size, place):
             columns.append(pa.array([values[a:b].tobytes() for a, b in zip(begin, end, strict=True)], pa.binary()))
         tokens.clear(), nodes.clear(), sizes.clear()
-        return pa.RecordBatch.from_arrays(columns, names=["part", "tokens", "nodes", "sizes"])
+        return pa.RecordBatch.from_arrays(columns, names=["part", "tokens", "nodes", "sizes", "places"])
 
     waiting = 0
+    last = None if frequent is None else np.unpackbits(np.frombuffer(frequent.value, np.uint8)).astype(bool)
     for batch in batches:
         for _, shingles in sets(batch.column(0)):
             node = node_of(shingles)
@@ -149,9 +169,8 @@ def _prefixes(classes: Broadcast, parts: int, batches: Iterator[pa.RecordBatch])
             if len(seen) < HELD_TOKENS:
                 seen.add(node)
             for order in range(ORDERS):
-                # the lowest bits tell the order
-                own = prefix(shingles, classes.value, order)
-                tokens.append(mix(own) - mix(own) % np.uint64(ORDERS) + np.uint64(order))
+                own = prefix(shingles, classes.value, last, order)
+                tokens.append(own)
                 nodes.append(node)
                 sizes.append(len(shingles))
                 waiting += len(own)
@@ -162,72 +181,104 @@ def _prefixes(classes: Broadcast, parts: int, batches: Iterator[pa.RecordBatch])
         yield flush()
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens that more than one node has: (token, ord, node, n) of a partition's blocks."""
-    token, node, size = [], [], []
+def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
+    """Token, number of its nodes, node, size and place, sorted and distinct, of a partition's blocks."""
+    held: tuple[list, ...] = ([], [], [], [])
     for batch in batches:
-        for held, column, kind in ((token, 1, np.uint64), (node, 2, np.int64), (size, 3, np.int32)):
-            held += [np.frombuffer(x.as_buffer(), kind) for x in batch.column(column)]
-    if not token:
-        return
-    token, node, size = np.concatenate(token), np.concatenate(node), np.concatenate(size)
+        for k, kind in enumerate((np.uint64, np.int64, np.int32, np.int32)):
+            held[k].extend(np.frombuffer(x.as_buffer(), kind) for x in batch.column(k + 1))
+    if not held[0]:
+        return None
+    token, node, size, place = map(np.concatenate, held)
     order = np.lexsort((node, token))
-    token, node, size = token[order], node[order], size[order]
+    token, node, size, place = token[order], node[order], size[order], place[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-    token, node, size = token[new], node[new], size[new]
-    begin = runs(token)
-    many = np.diff(np.append(begin, len(token)))
-    keep = np.repeat(many, many) > 1
-    columns = [token[keep].view(np.int64), (token[keep] % np.uint64(ORDERS)).astype(np.int32), node[keep], size[keep].astype(np.int64)]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "ord", "node", "n"])
+    token, node, size, place = token[new], node[new], size[new], place[new]
+    many = np.diff(np.append(runs(token), len(token)))
+    return token, np.repeat(many, many), node, size, place
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens that more than one node has: (token, ord, node, n, left), left: tokens of the node from this one on."""
+    if (found := _gathered(batches)) is not None:
+        token, _, node, size, place = (x[found[1] > 1] for x in found)
+        order, size = (token % np.uint64(ORDERS)).astype(np.int32), size.astype(np.int64)
+        columns = [token.view(np.int64), order, node, size, size - place]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "ord", "node", "n", "left"])
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens that are in the prefixes of more than FREQUENT nodes."""
+    if (found := _gathered(batches)) is not None:
+        token = np.unique(found[0][found[1] > FREQUENT])
+        yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64))], names=["token"])
 
 
 def shared_tokens(rows: DataFrame, sized: DataFrame) -> DataFrame:
-    """Prefix tokens that at least two nodes share."""
+    """Prefix tokens that at least two nodes share.
+
+    Prefixes are made twice: first by the classes of the sketch, which is too coarse for tokens of middling frequency;
+    those that turn out to be in many prefixes come last in the second orders.
+    """
     spark = rows.sparkSession
     classes = spark.sparkContext.broadcast(frequency_classes(sized))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = rows.select("text").mapInArrow(partial(_prefixes, classes, parts), "part int, tokens binary, nodes binary, sizes binary")
-    return stage(blocks.repartition(parts, "part").mapInArrow(_groups, "token long, ord int, node long, n long"), "shared")
 
+    def dealt(frequent: Broadcast | None) -> DataFrame:
+        schema = "part int, tokens binary, nodes binary, sizes binary, places binary"
+        blocks = rows.select("text").mapInArrow(partial(_prefixes, classes, frequent, parts), schema)
+        return blocks.repartition(parts, "part")
 
-def pass_filters(pairs: DataFrame, shared: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of order 0 that also share a prefix token in every other order."""
-    pairs = pairs.select("a", "b").distinct()
-    for order in range(1, ORDERS):
-        own = shared.where(F.col("ord") == order)
-        left = own.select(F.col("node").alias("a"), "token")
-        right = own.select(F.col("node").alias("b"), "token")
-        pairs = pairs.join(left, "a").join(right, ["b", "token"], "left_semi").select("a", "b").distinct()
-    return pairs
-
+    often = stage(dealt(None).mapInArrow(_often, "token long"), "often")
+    frequent = spark.sparkContext.broadcast(bloom_filter(often))
+    return stage(dealt(frequent).mapInArrow(_groups, "token long, ord int, node long, n long, left long"), "shared")
 
-def sizes_allow(one: str, other: str):
-    return F.expr(f"100 * least({one}, {other}) >= {PERCENT} * greatest({one}, {other})")
 
-
-def _bloom_places(nodes: np.ndarray) -> tuple[np.ndarray, ...]:
-    mixed = mix(nodes.view(np.uint64))
-    return tuple((mixed >> np.uint64(shift) & np.uint64(BLOOM - 1)).astype(np.int64) for shift in (0, 24, 40))
+def bloom_filter(keys: DataFrame) -> bytes:
+    """A Bloom filter of the one column of ``keys``, of fixed size; few tasks make one each, the driver unites them."""
+    bits = np.zeros(BLOOM // 8, np.uint8)
+    for row in keys.coalesce(8).mapInArrow(_bloom_part, "bits binary").toLocalIterator():
+        bits |= np.frombuffer(row["bits"], np.uint8)
+    return bits.tobytes()
 
 
 def _bloom_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(BLOOM, bool)
     for batch in batches:
-        for place in _bloom_places(batch.column(0).to_numpy()):
+        for place in bloom_places(batch.column(0).to_numpy()):
             bits[place] = True
     if bits.any():
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
 
+def pass_filters(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of order 0 that also share a prefix token in all other orders."""
+    own = shared.where("ord > 0").groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    one = own.select(F.col("node").alias("a"), F.col("tokens").alias("t"))
+    other = own.select(F.col("node").alias("b"), F.col("tokens").alias("u"))
+    both = pairs.select("a", "b").distinct().join(one, "a").join(other, "b")
+    orders = F.array_distinct(F.transform(F.array_intersect("t", "u"), lambda x: F.pmod(x, F.lit(ORDERS))))
+    return both.where(F.size(orders) == ORDERS - 1).select("a", "b")
+
+
+def sizes_allow(one: str, other: str, one_left: str, other_left: str) -> Column:
+    """Whether two sets can be similar enough, if a token is the first in the order that they share.
+
+    What comes before it in either set isn't in the other, so they share no more than the shorter rest.
+    """
+    sizes = f"100 * least({one}, {other}) >= {PERCENT} * greatest({one}, {other})"
+    rests = f"{100 + PERCENT} * least({one_left}, {other_left}) >= {PERCENT} * ({one} + {other})"
+    return F.expr(f"{sizes} AND {rests}")
+
+
 def _needed(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits, seen = np.unpackbits(np.frombuffer(wanted.value, np.uint8)), set()
     for batch in batches:
         nodes, data, size = [], [], 0
         for _, shingles in sets(batch.column(0)):
             node = node_of(shingles)
-            if node in seen or not all(bits[p[0]] for p in _bloom_places(np.array([node]))):
+            if node in seen or not all(bits[p[0]] for p in bloom_places(np.array([node]))):
                 continue
             if len(seen) < HELD_TOKENS:
                 seen.add(node)
@@ -253,18 +304,26 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verify(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough; sets are made again from the texts that a filter lets through."""
-    spark = rows.sparkSession
+def candidate_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of ``nodes``, made again from the texts; some others and copies may be among them."""
+    wanted = rows.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
+    return stage(rows.select("text").mapInArrow(partial(_needed, wanted), "node long, shingles binary"), "sets")
+
+
+def _chosen(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).astype(bool)
+    for batch in batches:
+        one, two, three = bloom_places(batch.column(0).to_numpy())
+        yield batch.filter(pa.array(bits[one] & bits[two] & bits[three]))
+
+
+def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose whole sets are similar enough. Only the sets of the pairs are shuffled."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    bits = np.zeros(BLOOM // 8, np.uint8)
-    for row in nodes.coalesce(8).mapInArrow(_bloom_part, "bits binary").toLocalIterator():
-        bits |= np.frombuffer(row["bits"], np.uint8)
-    wanted = spark.sparkContext.broadcast(bits.tobytes())
-    found = rows.select("text").mapInArrow(partial(_needed, wanted), "node long, shingles binary")
-    found = stage(found, "sets").dropDuplicates(["node"])
-    one = found.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
-    other = found.select(F.col("node").alias("b"), F.col("shingles").alias("other"))
+    wanted = pairs.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
+    chosen = found.mapInArrow(partial(_chosen, wanted), "node long, shingles binary").dropDuplicates(["node"])
+    one = chosen.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
+    other = chosen.select(F.col("node").alias("b"), F.col("shingles").alias("other"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other")
     return stage(both.mapInArrow(_linked, "a long, b long"), "links")
 
@@ -286,29 +345,48 @@ def components(links: DataFrame) -> DataFrame:
 
 def link(rows: DataFrame, shared: DataFrame) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
-    own = shared.where("ord = 0").select("token", "node", "n")
-    pivots = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("node", "n")).alias("pivot"))
-    first = own.join(pivots, "token").where("node <> pivot.node").where(sizes_allow("n", "pivot.n"))
-    first = first.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
-    right = own.select("token", F.col("node").alias("b"), F.col("n").alias("m"))
-    small = pivots.where(f"many <= {FEW}").select("token")
-    pairs = own.withColumnRenamed("node", "a").join(right, "token").where("a < b").where(sizes_allow("n", "m"))
-    few = pairs.join(small, "token", "left_semi").select("a", "b")
-    tested = stage(pass_filters(first.union(few), shared), "tested")
-    links = verify(tested, rows)
-    comps = components(links)
-
-    # tokens with more nodes: pairs of different components that weren't compared yet
-    many = own.join(pivots.where(f"many > {FEW}").select("token"), "token", "left_semi")
-    placed = many.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    placed = stage(placed.join(mixed, "token", "left_semi"), "mixed")
-    left = placed.select("token", F.col("node").alias("a"), F.col("n"), F.col("comp").alias("x"))
-    right = placed.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("y"))
-    rest = left.join(right, "token").where("a < b AND x <> y").where(sizes_allow("n", "m")).select("a", "b").distinct()
-    rest = stage(pass_filters(rest.join(tested, ["a", "b"], "left_anti"), shared), "rest")
-    more = verify(rest, rows)
-    return components(stage(links.union(more), "all-links"))
+    nodes = shared.groupBy("node").agg(F.count_distinct("ord").alias("orders")).where(F.col("orders") == ORDERS)
+    nodes = stage(nodes.select("node"), "nodes")
+    found = candidate_sets(rows, nodes)
+    shared = stage(shared.join(nodes, "node", "left_semi"), "candidates")
+    own = shared.where("ord = 0").select("token", "node", "n", "left")
+    sizes = own.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    links, tested, comps = None, None, None
+    for step in ("one node", "some nodes", "all pairs"):
+        if comps is None:
+            open_rows = own.join(sizes.select("token"), "token", "left_semi").withColumn("comp", F.col("node"))
+        else:  # tokens with nodes of different components
+            placed = own.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            mixed = placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
+            open_rows = stage(placed.join(mixed.select("token"), "token", "left_semi"), "open")
+        if step == "all pairs":
+            pairs = _pairs(open_rows)
+        else:
+            # the first step takes the same node for many tokens, the second another one for each
+            by = F.col("node") if step == "one node" else F.xxhash64("node", "token")
+            pairs = _with_pivots(open_rows, by)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stage(pass_filters(pairs, shared), "pairs")
+        more = verify(pairs, found)
+        tested = pairs if tested is None else stage(tested.union(pairs), "tested")
+        links = more if links is None else stage(links.union(more), "all-links")
+        comps = components(links)
+    return comps
+
+
+def _with_pivots(own: DataFrame, by: Column) -> DataFrame:
+    """Pairs of each token's nodes with one of them, where components and sizes ask for it; the smaller node first."""
+    pivots = own.groupBy("token").agg(F.min_by(F.struct("node", "n", "left", "comp"), by).alias("p"))
+    pairs = own.join(pivots, "token").where("comp <> p.comp").where(sizes_allow("n", "p.n", "left", "p.left"))
+    return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
+
+
+def _pairs(own: DataFrame) -> DataFrame:
+    """Pairs of each token's nodes in different components whose sizes allow a link."""
+    left = own.withColumnsRenamed({"node": "a", "comp": "x"})
+    right = own.withColumnsRenamed({"node": "b", "n": "m", "left": "rest", "comp": "y"})
+    return left.join(right, "token").where("a < b AND x <> y").where(sizes_allow("n", "m", "left", "rest")).select("a", "b")
 
 
 def similar_groups(df: DataFrame) -> DataFrame:
