@@ -27,7 +27,7 @@ from lakemill.llm.words import ranges, runs
 
 SHARD_TOKENS = FRAME_TOKENS = 1 << 20
 #: Rounds of replacement, new symbols in a round, and the occurrences a pair must have.
-ROUNDS, PAIRS, LEAST = 6, 8192, 8
+ROUNDS, PAIRS, LEAST = 4, 8192, 8
 MAGIC = b"RPG1"
 
 
