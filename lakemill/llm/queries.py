@@ -106,7 +106,7 @@ SELECT page_id, payload_bytes,
       1 + ((CAST('0x' || substr(h, 1 + 5 * CAST(k // 4 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31), 1)), '')
     AS payload_digest,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> last THEN last END AS refers_to
+  CAST(CASE WHEN page_id <> last THEN last END AS DOUBLE) AS refers_to  -- as clients show a column with nulls
 FROM lasts
 """
 
