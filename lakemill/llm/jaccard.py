@@ -38,7 +38,8 @@ SHINGLE, PERCENT, ORDERS = 4, 85, 2  # ORDERS: a power of two
 SKETCH, CHUNK = 1 << 21, 1 << 16
 #: Bits of the filters of frequent tokens and of the sets that comparisons need; fixed as well.
 BLOOM = 1 << 24
-HELD_TOKENS = 1 << 20
+#: Tokens that a task gathers before it hands on a block, and nodes it remembers to leave out copies.
+HELD_TOKENS, HELD_NODES = 1 << 18, 1 << 20
 #: A token in the prefixes of more nodes is frequent.
 FREQUENT = 8
 
@@ -160,13 +161,13 @@ def _prefixes(classes: Broadcast, frequent: Broadcast | None, parts: int, batche
         return pa.RecordBatch.from_arrays(columns, names=["part", "tokens", "nodes", "sizes", "places"])
 
     waiting = 0
-    last = None if frequent is None else np.unpackbits(np.frombuffer(frequent.value, np.uint8)).astype(bool)
+    last = None if frequent is None else np.unpackbits(np.frombuffer(frequent.value, np.uint8)).view(bool)
     for batch in batches:
         for _, shingles in sets(batch.column(0)):
             node = node_of(shingles)
             if node in seen:
                 continue
-            if len(seen) < HELD_TOKENS:
+            if len(seen) < HELD_NODES:
                 seen.add(node)
             for order in range(ORDERS):
                 own = prefix(shingles, classes.value, last, order)
@@ -280,7 +281,7 @@ def _needed(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
             node = node_of(shingles)
             if node in seen or not all(bits[p[0]] for p in bloom_places(np.array([node]))):
                 continue
-            if len(seen) < HELD_TOKENS:
+            if len(seen) < HELD_NODES:
                 seen.add(node)
             nodes.append(node)
             data.append(shingles.tobytes())
@@ -302,6 +303,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common = int((both[1:] == both[:-1]).sum())
             keep.append(100 * common >= PERCENT * (len(both) - common))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
 
 def candidate_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -311,10 +313,11 @@ def candidate_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _chosen(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).astype(bool)
+    bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
     for batch in batches:
         one, two, three = bloom_places(batch.column(0).to_numpy())
         yield batch.filter(pa.array(bits[one] & bits[two] & bits[three]))
+        pa.default_memory_pool().release_unused()
 
 
 def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
