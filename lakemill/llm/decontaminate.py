@@ -2,9 +2,10 @@
 
 Texts and benchmark items become sequences of lower-case words of letters and digits. A mask selects some positions of a
 window and ignores the others, so a window still hits when ignored words were replaced. Hashes of all masks are joined
-with those of the items; around each hit text and item are laid side by side and the best-scoring stretch is verified
-word by word, with substitutions allowed. A text is contaminated by an item if that stretch holds LEAST_WORDS equal
-words, or LEAST_SHARE of a shorter item, and is nowhere below LEAST_SHARE equal.
+with those of the items; around each hit text and item are laid side by side and verified word by word, with
+substitutions allowed. A text is contaminated by an item if any stretch is at least LEAST_SHARE equal and holds
+LEAST_WORDS equal words, or LEAST_SHARE of a shorter item. The best-scoring stretch is reported if it does, else the one
+with the most equal words.
 
 The benchmark is searched in blocks of at most BLOCK_WORDS words, the only thing that is broadcast; each block is one
 pass over the texts, without a shuffle, so a passage that a third of all texts hold costs no more than others.
@@ -108,18 +109,28 @@ class Index:
                 yield first + r, i, *found
 
     def verify(self, text: np.ndarray, item: int, shift: int) -> tuple[int, int, int, int] | None:
-        """The stretch of the item, laid over the text at ``shift``, with the most equal words for its wrong ones."""
+        """A stretch of the item, laid over the text at ``shift``, that is LEAST_SHARE equal and has enough equal words.
+
+        The one with the most equal words for its wrong ones if that has enough, else the one with the most equal words.
+        """
         own = self.key[self.begin[item] : self.begin[item] + self.length[item]]
         low, high = max(0, -shift), min(len(own), len(text) - shift)
         same = text[low + shift : high + shift] == own[low:high]
         total = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
-        gain = total - np.minimum.accumulate(total)
-        end = int(np.argmax(gain))
+        right = np.concatenate([[0], np.cumsum(same)])
+        least = np.minimum.accumulate(total)
+        enough = min(LEAST_WORDS, LEAST_SHARE * len(own))
+        end = int(np.argmax(total - least))
         begin = int(np.argmin(total[: end + 1]))
-        equal = int(same[begin:end].sum())
-        if equal < min(LEAST_WORDS, LEAST_SHARE * len(own)):
-            return None
-        return low + shift + begin, low + begin, end - begin, equal
+        if right[end] - right[begin] < enough:
+            # the first begin of each end between which PENALTY right words come with each wrong one
+            first = np.searchsorted(-least, -total)
+            end = int(np.argmax(right - right[first]))
+            begin = int(first[end])
+            if right[end] - right[begin] < enough:
+                return None
+            begin += int(np.argmax(same[begin:end]))
+        return low + shift + begin, low + begin, end - begin, int(right[end] - right[begin])
 
 
 def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[tuple[list[int | None], list[str | None]]]:

@@ -210,6 +210,45 @@ def test_decontamination_equals_brute_force_and_tolerates_substitutions(spark):
     assert sum((k, k) in hit for k in range(len(items))) >= 0.95 * len(items)
 
 
+def substituted(words, spots):
+    return " ".join(["before", "it", *("zzz" if j in spots else x for j, x in enumerate(words)), "after", "it"])
+
+
+def test_a_copy_with_one_changed_word_is_found_wherever_that_is():
+    for size in range(12, 31):
+        words = [f"w{j}" for j in range(size)]
+        index = decontaminate.Index([1], [" ".join(words)])
+        texts = pa.array([substituted(words, {j}) for j in range(size)])
+        assert [row for row, *_ in index.overlaps(texts)] == list(range(size)), size
+
+
+def test_verification_of_substitutions_equals_brute_force():
+    rng, missed, several = random.Random(5), 0, 0
+    for size in range(8, 41):
+        words = [f"w{j}" for j in range(size)]
+        index = decontaminate.Index([1], [" ".join(words)])
+        for changes in range(1, size // 5 + 1):
+            several += 20
+            for _ in range(20):
+                spots = rng.sample(range(size), changes)
+                same = np.array([j not in spots for j in range(size)])
+                enough = min(decontaminate.LEAST_WORDS, decontaminate.LEAST_SHARE * size)
+                assert same.sum() >= enough  # of the whole item
+                text = index.key.copy()
+                text[~same] = 0
+                begin, own, words_n, equal = index.verify(text, 0, 0)
+                assert begin == own and equal == same[own : own + words_n].sum() >= enough and 10 * equal >= 8 * words_n
+                missed += not list(index.overlaps(pa.array([substituted(words, spots)])))
+        for _ in range(200):
+            same = np.array([rng.random() < 0.75 for _ in range(size)])
+            text = np.where(same, index.key, 0).astype(np.uint64)
+            want = any(
+                same[a:b].sum() >= enough and 10 * same[a:b].sum() >= 8 * (b - a) for a in range(size) for b in range(a, size + 1)
+            )
+            assert (index.verify(text, 0, 0) is not None) == want
+    assert missed <= 0.08 * several, missed / several  # by the seeds
+
+
 def test_blocks_of_the_benchmark_give_the_same(spark):
     docs, benchmark = documents(spark), queries.table(spark, SF, "benchmark")
     whole, parts = (decontaminate.contaminated(docs, benchmark, n) for n in (1 << 20, 200))
