@@ -1,8 +1,11 @@
 """Nearest neighbours by inner product: a vantage-point tree per shard.
 
 Each vector gets one more component that brings it to the largest norm of its shard, so the largest inner product is the
-smallest Euclidean distance, and the triangle inequality holds. A subtree is left out if its lower bound times ``factor``
-exceeds the distance of the worst neighbour kept: factor 1 gives exact results, larger factors prune more.
+smallest Euclidean distance, and the triangle inequality holds. Queries lie where that component is 0, so the smallest one
+of a subtree is an offset that all its distances have in common. A subtree is left out if what its lower bound has beyond
+the offset, times ``factor``, exceeds what the distance of the worst neighbour kept has beyond it: factor 1 gives exact
+results, larger factors prune more. Which factor a table bears is measured: a bounded sample of the queries is searched
+exactly and with falling factors, until one has the recall that is asked for.
 
 Equal vectors are indexed once, with their smallest ids: no answer can hold more of them than it has places. Trees and
 blocks of queries are files in the shared folder; a task searches some trees for one block and carries the neighbours
@@ -27,6 +30,8 @@ from lakemill.llm.shared import new_folder, open_store, stage, write_file
 from lakemill.llm.words import ranges
 
 SHARD_VECTORS, BLOCK_QUERIES, LEAF, SPARE = 8192, 1024, 256, 8
+#: Queries on which recall is measured; a factor that fails is followed by STEP times it.
+SAMPLE, STEP = 512, 0.7
 #: Rounding of distances, relative to the largest norm; a bound this close doesn't prune.
 SLACK = 1e-7
 
@@ -69,6 +74,7 @@ class Tree:
         table = np.array(nodes)
         self.nodes, self.bounds = table[:, :4].astype(np.int64), table[:, 4:]
         self.points, self.extra = points[order], extra[order]
+        self.offset = np.array([self.extra[low:high].min() for low, high in self.nodes[:, :2]])
         self.many = np.array([len(ids[k]) for k in order])
         self.ids = np.concatenate([ids[k] for k in order])
 
@@ -115,7 +121,8 @@ class Tree:
         waiting = [(0, np.arange(len(queries)), np.zeros(len(queries)))]
         while waiting:
             node, rows, bound = waiting.pop()
-            keep = bound * factor <= distance(rows, best[rows, -1]) + slack
+            common = self.offset[node] ** 2
+            keep = factor**2 * np.maximum(bound**2 - common, 0) <= (distance(rows, best[rows, -1]) + slack) ** 2 - common
             rows, bound = rows[keep], bound[keep]
             if not len(rows):
                 continue
@@ -160,7 +167,7 @@ def build_index(df: DataFrame, folder: str, k: int, shard_vectors: int = SHARD_V
     return stage(classes.groupBy("__dim", "__shard").applyInPandas(build, "dim int, tree string, n long"), "trees")
 
 
-def write_blocks(queries: DataFrame, folder: str, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+def write_blocks(queries: DataFrame, folder: str, block_queries: int = BLOCK_QUERIES, prefix: str = "queries") -> DataFrame:
     """Write the queries as files of about ``block_queries`` each; returns their names."""
     blocks = -(-queries.count() // block_queries)
     dealt = queries.withColumns(
@@ -169,7 +176,7 @@ def write_blocks(queries: DataFrame, folder: str, block_queries: int = BLOCK_QUE
 
     def write(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", kind="stable")
-        dim, name = int(rows["__dim"].iloc[0]), f"queries-{rows['__dim'].iloc[0]}-{rows['__block'].iloc[0]}.npz"
+        dim, name = int(rows["__dim"].iloc[0]), f"{prefix}-{rows['__dim'].iloc[0]}-{rows['__block'].iloc[0]}.npz"
         out = io.BytesIO()
         np.savez(out, ids=rows["vec_id"].to_numpy(np.int64), vectors=np.stack(rows["vector"].to_list()))
         write_file(folder, name, [out.getvalue()])
@@ -223,9 +230,35 @@ def search_index(trees: DataFrame, blocks: DataFrame, folder: str, k: int, facto
     return got.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, factor: float = 1.0) -> DataFrame:
-    """The k nearest ``vectors`` of each of ``queries``, both (vec_id, vector) as from ``usable``."""
+def measured_factor(
+    queries: DataFrame, trees: DataFrame, folder: str, k: int, factor: float, recall: float, sample: int = SAMPLE
+) -> float:
+    """The first of falling factors, from ``factor`` on, with this recall on a sample of the queries; 1, which is exact, last."""
+    names = queries.select("vec_id").distinct()
+    if names.count() <= sample:
+        return 1.0  # what the measurement would cost
+    some = names.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    blocks = write_blocks(stage(queries.join(F.broadcast(some), "vec_id"), "sample"), folder, prefix="sample")
+    exact = stage(search_index(trees, blocks, folder, k, 1.0).select("query_id", "vec_id"), "exact")
+    wanted = recall * exact.count()
+    while factor > 1:
+        got = search_index(trees, blocks, folder, k, factor).select("query_id", "vec_id")
+        if got.join(exact, ["query_id", "vec_id"]).count() >= wanted:
+            return factor
+        factor = max(1.0, STEP * factor)
+    return 1.0
+
+
+def nearest(
+    queries: DataFrame, vectors: DataFrame, k: int = 20, factor: float = 1.0, recall: float | None = None, sample: int = SAMPLE
+) -> DataFrame:
+    """The k nearest ``vectors`` of each of ``queries``, both (vec_id, vector) as from ``usable``.
+
+    With ``recall``, ``factor`` is the largest one, and as much smaller as this recall on a sample of the queries needs.
+    """
     folder = new_folder(vectors.sparkSession, "nearest")
     trees = build_index(vectors, folder, k)
+    if recall is not None:
+        factor = measured_factor(queries, trees, folder, k, factor, recall, sample)
     blocks = write_blocks(queries, folder)
     return search_index(trees, blocks, folder, k, factor).select("query_id", "rank", "vec_id", "score")

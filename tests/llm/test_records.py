@@ -5,6 +5,8 @@ import io
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import zstandard
 
@@ -97,6 +99,44 @@ def test_recall_of_the_query(spark):
     assert sum(len(got[q] & {i for i, _ in near}) for q, near in want.items()) >= 0.9 * 20 * len(want)
 
 
+def unequal(rng, n):
+    """Vectors with norms 0.5 to 1.5, unit vectors with five outliers, and clusters with lognormal norms."""
+    random, centres = (rng.normal(size=(rows, 64)) for rows in (n, 64))
+    unit = random / np.linalg.norm(random, axis=1, keepdims=True)
+    outliers = unit.copy()
+    outliers[1:6] *= 3
+    clusters = (centres[rng.integers(0, 64, n)] + 0.3 * random) / 8 * rng.lognormal(0, 0.5, (n, 1))
+    return {"norms": unit * rng.uniform(0.5, 1.5, (n, 1)), "outliers": outliers, "clusters": clusters}
+
+
+@pytest.mark.parametrize("kind", ["norms", "outliers", "clusters"])
+def test_recall_of_the_query_with_unequal_norms_on_full_shards(spark, tmp_path, kind):
+    n = 2 * nearest.SHARD_VECTORS
+    ids, vectors = np.arange(n), unequal(np.random.default_rng(0), n)[kind]
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(0, 64 * n + 1, 64), pa.int32()), pa.array(vectors.ravel()))
+    pq.write_table(pa.table({"vec_id": ids, "embedding": flat}), tmp_path / "embeddings.parquet")
+    got = {}
+    for r in queries.op6_nearest(spark, str(tmp_path)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    score = vectors[::20] @ vectors.T
+    score[np.arange(len(score)), ids[::20]] = -np.inf
+    want = np.argpartition(-score, 20, axis=1)[:, :20]
+    assert sum(len(got[20 * k] & set(near)) for k, near in enumerate(want.tolist())) >= 0.9 * want.size
+
+
+def test_factor_falls_until_the_sample_has_the_recall(spark):
+    rng = np.random.default_rng(0)
+    vectors = unequal(rng, 4000)["norms"]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = nearest.stage(nearest.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "v")
+    folder = nearest.new_folder(spark, "nearest")
+    trees = nearest.build_index(df, folder, 20)
+    asked = df.where("vec_id % 20 = 0")
+    factors = [nearest.measured_factor(asked, trees, folder, 20, 20.0, recall, 100) for recall in (0.0, 0.9, 1.01)]
+    assert factors[0] == 20 > factors[1] > factors[2] == 1
+    assert nearest.measured_factor(asked, trees, folder, 20, 20.0, 0.0, 200) == 1  # no more queries than the sample
+
+
 def test_nearest_edges(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
             (6, [float("inf"), 0.0]), (7, [0.5, 0.5]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (20, [2.0, 0.0])]
