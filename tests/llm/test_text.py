@@ -94,6 +94,32 @@ def test_language_model_is_kneser_ney(spark):
         assert models.entropies(pa.array([text]))[0][0, 0] == pytest.approx(want, rel=1e-4)
 
 
+def test_language_model_keeps_all_grams_in_several_files(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_GRAMS", 8, raising=False)
+    monkeypatch.setattr(langid, "RANGE_GRAMS", 4, raising=False)
+    texts = {"x": ["abba abac", "baba cab abba", "ca"], "y": ["a"], "": ["zyx zyx"]}
+    folder = langid.train(spark.createDataFrame([(k, t) for k, v in texts.items() for t in v], "lang string, text string"))
+    models = langid.Models(folder)
+    assert models.langs == ["", "x", "y"]
+    for number, lang in enumerate(models.langs):
+        counts = {langid.ORDER: {}}
+        for word in " ".join(texts[lang]).split():
+            padded = langid.PAD * (langid.ORDER - 1) + word + langid.END
+            for k in range(len(padded) - langid.ORDER + 1):
+                gram = padded[k : k + langid.ORDER]
+                counts[langid.ORDER][gram] = counts[langid.ORDER].get(gram, 0) + 1
+        for order in range(langid.ORDER - 1, 0, -1):
+            counts[order] = {}
+            for gram in counts[order + 1]:
+                counts[order][gram[1:]] = counts[order].get(gram[1:], 0) + 1
+        for text in ("abba", "abac", "cabz", "zyx", "q"):
+            padded = langid.PAD * (langid.ORDER - 1) + text + langid.END
+            grams = [padded[k : k + langid.ORDER] for k in range(len(padded) - langid.ORDER + 1)]
+            want = -sum(np.log(kneser_ney(counts, g, models.alphabet)) for g in grams) / len(grams)
+            assert models.entropies(pa.array([text]))[0][0, number] == pytest.approx(want, rel=1e-4)
+    assert len(models.parts[1]) > 2 and len(models.opened) > 4
+
+
 def test_language_edges(spark, edge, nothing):
     learned = spark.createDataFrame([(1, "en", "the and of"), (2, "fr", "le la de"), (3, None, "x"), (4, "en", None)], "doc_id long, lang string, text string")
     folder = langid.train(learned)
