@@ -1,8 +1,8 @@
 """Token ids in grammar-compressed shards: Re-Pair with random-access decoding.
 
-Documents are written in ascending order of their id. A shard holds the ids of some consecutive documents, cut into
-frames; each frame has a grammar of its own: frequent pairs of neighbouring symbols are replaced by new symbols, round
-after round, most frequent pairs first where they overlap. Rules are stored with their expansion lengths, so any stretch
+Documents are written in ascending order of their id. A shard holds the ids of some consecutive documents as one frame, or
+as some of at least FRAME_TOKENS; each frame has a grammar of its own: frequent pairs of neighbouring symbols are replaced by new symbols, round
+after round until no pair is frequent, most frequent pairs first where they overlap. Rules are stored with their expansion lengths, so any stretch
 of a frame is decoded without the rest.
 
 Defined results: a null text is empty and gives just the end id; null document ids come first; repeated rows are written
@@ -26,8 +26,8 @@ from lakemill.llm.tokens import id_bytes, with_end, word_ids
 from lakemill.llm.words import ranges, runs
 
 SHARD_TOKENS = FRAME_TOKENS = 1 << 20
-#: Rounds of replacement, new symbols in a round, and the occurrences a pair must have.
-ROUNDS, PAIRS, LEAST = 4, 8192, 8
+#: New symbols in a round, and the occurrences a pair must have; rounds go on until no pair has them.
+PAIRS, LEAST = 8192, 8
 MAGIC = b"RPG1"
 
 
@@ -41,15 +41,17 @@ class Grammar(NamedTuple):
     sequence: np.ndarray
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> Grammar:
+def compress(ids: np.ndarray, pairs: int = PAIRS, least: int = LEAST) -> Grammar:
     base = int(ids.max()) + 1 if len(ids) else 1
     seq, left, right, length = ids.astype(np.uint32), [], [], [np.ones(base, np.int64)]
     symbols = base
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        ordered = np.sort(key)
+        bucket = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+        maybe = np.flatnonzero(np.bincount(bucket)[bucket] >= least)  # all occurrences of frequent pairs, and few others
+        if not len(maybe):
+            break
+        ordered = np.sort(key[maybe])
         first = runs(ordered)
         count = np.diff(np.append(first, len(ordered)))
         often = np.flatnonzero(count >= least)
@@ -58,10 +60,15 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS, least: i
         if not len(often):
             break
         chosen, weight = ordered[first[often]], count[often]
-        at = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
-        rank = np.where(chosen[at] == key, weight[at], 0)
+        at, rank = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        at[maybe] = np.minimum(np.searchsorted(chosen, key[maybe]), len(chosen) - 1)
+        rank[maybe] = np.where(chosen[at[maybe]] == key[maybe], weight[at[maybe]], 0)
         before, after = np.append(0, rank[:-1]), np.append(rank[1:], 0)
-        place = np.flatnonzero((rank > before) & (rank >= after))
+        start = np.flatnonzero(rank != before)  # of stretches of one rank, in which every other pair is taken
+        inside = np.repeat(start, np.diff(np.append(start, len(rank))))
+        inside = np.concatenate([np.zeros(len(rank) - len(inside), np.int64), inside])
+        odd = (np.arange(len(rank)) - inside) & 1
+        place = np.flatnonzero((rank > before[inside]) & (odd == 0) & (rank >= after))
         used = np.bincount(at[place], minlength=len(chosen))
         keep = used >= min(4, least)
         place = place[keep[at[place]]]
@@ -143,7 +150,7 @@ def read_frame(data: bytes) -> Grammar:
 
 def shard_chunks(doc_id: np.ndarray, valid: np.ndarray, length: np.ndarray, ids: np.ndarray) -> Iterator[bytes]:
     """Frames, document table (ids, whether they are set, lengths), frame sizes, and a footer with the counts."""
-    frames = np.array_split(ids, max(1, -(-len(ids) // FRAME_TOKENS)))
+    frames = np.array_split(ids, max(1, len(ids) // FRAME_TOKENS))
     sizes = []
     for frame in frames:
         data = frame_bytes(compress(frame))

@@ -62,6 +62,25 @@ def test_grammar_round_trip_and_random_access(n):
     assert n < 5000 or len(grammar.sequence) < n / 2
 
 
+def test_replacement_ends_when_no_pair_is_frequent():
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 1000, 300).astype(np.uint32)
+    ids = np.concatenate([np.append(passage, rng.integers(0, 1000)) for _ in range(400)]).astype(np.uint32)
+    grammar = repair.compress(ids)
+    pairs = np.unique(np.stack([grammar.sequence[:-1], grammar.sequence[1:]], 1), axis=0, return_counts=True)[1]
+    assert pairs.max() < repair.LEAST and len(grammar.sequence) < len(ids) / 64
+    assert np.array_equal(repair.decode(repair.read_frame(repair.frame_bytes(grammar))), ids)
+
+
+def test_a_full_shard_is_one_frame():
+    for size, frames in ((repair.FRAME_TOKENS + 5000, 1), (2 * repair.FRAME_TOKENS + 5000, 2)):
+        ids = np.arange(size, dtype=np.uint32) % 50_000
+        one = np.ones(1, bool)
+        data = b"".join(repair.shard_chunks(np.array([3]), one, np.array([size]), ids))
+        assert int.from_bytes(data[-12:-4], "little") == frames
+        assert np.array_equal(repair.read_shard(data)[3], ids)
+
+
 def test_equal_ids_compress():
     ids = np.full(1001, 7, np.uint32)
     assert np.array_equal(repair.decode(repair.compress(ids, least=2)), ids)
