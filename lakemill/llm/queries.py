@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, counts, decontaminate, jaccard, langid, nearest, packing, repair, tokens, toxicity, warc
+from lakemill.llm import chat, counts, decontaminate, exact, jaccard, langid, nearest, packing, repair, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of at least 85 % of 4-word shingles."""
     return jaccard.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document under equality of all bytes but white space."""
+    return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_exact_dedup"] = r"""
+WITH squeezed AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id
+  FROM squeezed WINDOW w AS (PARTITION BY t ORDER BY points DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, count(*) OVER (PARTITION BY t) AS group_size, place = 1 AS kept, sha256(t) AS text_sha256
+FROM placed
+"""
