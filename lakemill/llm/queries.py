@@ -8,7 +8,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, counts, decontaminate, exact, jaccard, langid, nearest, packing, repair, tokens, toxicity, warc
+from lakemill.llm import (
+    chat, counts, decontaminate, exact, jaccard, langid, nearest, packing, periodic, repair, tokens, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,3 +175,9 @@ WITH squeezed AS (
 SELECT doc_id, keep_id, count(*) OVER (PARTITION BY t) AS group_size, place = 1 AS kept, sha256(t) AS text_sha256
 FROM placed
 """
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document; one in ten texts is read in a periodic order."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.planted)
