@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.llm import (
-    chat, counts, decontaminate, exact, jaccard, langid, nearest, packing, periodic, repair, tokens, toxicity, warc,
+    chat, collocations, counts, decontaminate, exact, jaccard, langid, nearest, packing, periodic, repair, tokens, toxicity, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,53 @@ FROM placed
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document; one in ten texts is read in a periodic order."""
     return periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.planted)
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two and three words of each language, by their lowest cut score."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed
+), grams AS (
+  SELECT lang, 1 AS size, w[i] AS phrase FROM places
+  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM places WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM places WHERE i + 2 <= len(w)
+), counted AS (
+  SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL
+), cuts AS (
+  SELECT lang, size, phrase, f AS a, 1 AS k, split_part(phrase, ' ', 1) AS head, substr(phrase, instr(phrase, ' ') + 1) AS rest
+  FROM counted WHERE size > 1 AND f >= 10
+  UNION ALL
+  SELECT lang, size, phrase, f, 2, split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2), split_part(phrase, ' ', 3)
+  FROM counted WHERE size = 3 AND f >= 10
+), scored AS (
+  SELECT c.*, x.f AS l, y.f AS r,
+    CAST(1000000::HUGEINT * c.a::HUGEINT * c.a::HUGEINT // (x.f::HUGEINT * y.f::HUGEINT) AS BIGINT) AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head JOIN counted y ON y.lang = c.lang AND y.phrase = c.rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, a, split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2) AS phrase FROM lowest WHERE size = 3
+  UNION ALL SELECT lang, a, substr(phrase, instr(phrase, ' ') + 1) FROM lowest WHERE size = 3
+), most AS (
+  SELECT lang, phrase, max(a) AS a FROM longer GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN most m ON m.lang = s.lang AND m.phrase = s.phrase
+  WHERE m.a IS NULL OR 100 * m.a < 50 * s.a
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
