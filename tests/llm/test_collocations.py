@@ -34,11 +34,14 @@ def brute(rows, threshold, top=2000):
     for (lang, phrase), n in f.items():
         total[lang] += n if " " not in phrase else 0
     candidates = {k: n for k, n in f.items() if n >= threshold and " " in k[1]}
-    ranked = {}
+    ranked, longer = {}, Counter()
+    for (lang, phrase), n in candidates.items():
+        if phrase.count(" ") == 2:
+            for part in (phrase.rsplit(" ", 1)[0], phrase.split(" ", 1)[1]):
+                longer[lang, part] = max(longer[lang, part], n)
     for (lang, phrase), a in candidates.items():
         words = phrase.split(" ")
-        longer = [n for (g, p), n in candidates.items() if g == lang and p.count(" ") == 2 and phrase != p and f" {phrase} " in f" {p} "]
-        if any(100 * n >= 50 * a for n in longer):
+        if 100 * longer[lang, phrase] >= 50 * a:
             continue
         cuts = []
         for k in range(1, len(words)):
