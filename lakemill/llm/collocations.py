@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lakemill.llm.shared import new_folder, open_store, stage, write_file
 from lakemill.llm.words import buffers, mix
 
-SHARDS, THRESHOLD, TOP, WITHIN = 4, 10, 2000, 50
+SHARDS, THRESHOLD, TOP, WITHIN = 3, 10, 2000, 50
 SLICE = 4 << 20
 #: Parts of a table of cells, the least and the largest number of its cells, and bytes of text for each.
 PARTS, LEAST_CELLS, MOST_CELLS, BYTES_PER_CELL = 16, 1 << 20, 1 << 28, 32
@@ -105,11 +105,16 @@ def table_of(step: Step, length: int) -> Table:
     return held[length]
 
 
-PHRASES = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+PHRASES = pa.schema([
+    ("lang", pa.string()), ("length", pa.int32()), ("phrase", pa.string()), ("since", pa.int32()), ("n", pa.int64()),
+])
 
 
-def _rows(lang: str, names: pa.Array, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """Distinct phrases, given by columns of word numbers, and how often each occurs."""
+def _rows(lang: str, names: pa.Array, columns: list[np.ndarray], reached: np.ndarray | None = None) -> pa.RecordBatch:
+    """Distinct phrases, given by columns of word numbers, the step they are active from, and how often each occurs.
+
+    ``reached``: the step before that one, for each occurrence (null: active from step 0).
+    """
     key = columns[0]
     for column in columns[1:]:  # numbers stay below occurrences times words
         if len(columns) == 3 and column is columns[2] and len(names) >= 1 << 21:
@@ -119,7 +124,9 @@ def _rows(lang: str, names: pa.Array, columns: list[np.ndarray]) -> pa.RecordBat
     words = [names.take(pa.array(c[first])) for c in columns]
     phrase = words[0] if len(words) == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()))
     lengths = pa.array(np.full(len(first), len(columns), np.int32))
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), lengths, phrase.cast(pa.string()), pa.array(many)], schema=PHRASES)
+    since = np.zeros(len(first), np.int32) if reached is None else reached[first].astype(np.int32) + 1
+    langs = pa.array([lang] * len(first), pa.string())
+    return pa.RecordBatch.from_arrays([langs, lengths, phrase.cast(pa.string()), pa.array(since, pa.int32()), pa.array(many)], schema=PHRASES)
 
 
 def _count_part(step: Step, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
@@ -146,13 +153,13 @@ def _count_part(step: Step, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
     if 2 in step.lengths:
         active = both >= since
         if active.any():
-            yield _rows(lang, names, [left[active], right[active]])
+            yield _rows(lang, names, [left[active], right[active]], both[active])
     if 3 in step.lengths:
         both = np.maximum(both, table_of(step, 2).reached(phrase_hash(keys[left], keys[right])))
         latest = np.maximum(both[:-1], both[1:])
         active = np.flatnonzero((at[1:] == at[:-1] + 1) & (latest < step.number) & (latest >= since))
         if len(active):
-            yield _rows(lang, names, [left[active], right[active], right[active + 1]])
+            yield _rows(lang, names, [left[active], right[active], right[active + 1]], latest[active])
 
 
 def _count(step: Step, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,11 +231,13 @@ def staged_shards(df: DataFrame, shards: int) -> DataFrame:
     return spark.read.schema("lang string, text string, shard int").parquet(folder)
 
 
-def count_phrases(df: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, cells: int | None = None) -> DataFrame:
-    """lang, length, phrase and n: all words, and every phrase of two or three words that may reach the threshold.
+def count_phrases(
+    df: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, cells: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(lang, length, phrase, n) of the words and phrases that occur at least ``threshold`` times, and (lang, n) of all words.
 
-    Phrases that reach it are all there with exact counts. One job per step runs while this is built, and a small one that
-    adds to the table. ``cells``: size of that table, a power of two.
+    One job per step runs while this is built, and a small one that adds to the table. What has completed its cycle below
+    the threshold is left out of the next step. ``cells``: size of the table, a power of two.
     """
     spark = df.sparkSession
     texts = staged_shards(df, shards)
@@ -237,21 +246,21 @@ def count_phrases(df: DataFrame, threshold: int = THRESHOLD, shards: int = SHARD
         cells = min(MOST_CELLS, max(LEAST_CELLS, 1 << (size // BYTES_PER_CELL).bit_length()))
     folder, files = new_folder(spark, "reached"), {}
     reached: dict[int, set[int]] = {1: set(), 2: set()}  # steps in which keys of a length reached the threshold
-    state, number = None, 0
+    state, totals, number = None, None, 0
     while True:
         recent = range(max(0, number - shards), number)
         lengths = [1] if number < shards else []
         lengths += [length + 1 for length in (1, 2) if reached[length].intersection(recent)]
         if not lengths:
-            return state
+            return state.where(F.col("n") >= threshold).select("lang", "length", "phrase", "n"), totals
         step = Step(number, shards, tuple(lengths), folder, cells, dict(files))
         found = texts.where(F.col("shard") == number % shards).select("lang", "text").mapInArrow(
-            partial(_count, step), "lang string, length int, phrase string, n long"
+            partial(_count, step), "lang string, length int, phrase string, since int, n long"
         )
         rows = found.withColumn("before", F.lit(0).cast("long"))
         if state is not None:
             rows = rows.unionByName(state.withColumn("before", F.col("n")).select(rows.columns))
-        counts = rows.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
+        counts = rows.groupBy("lang", "length", "phrase", "since").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
         state = stage(counts, f"counts-{number}")
         new = state.where((F.col("before") < threshold) & (F.col("n") >= threshold) & (F.col("length") < 3))
         slots = new.select("lang", "length", "phrase").mapInArrow(partial(_cells, cells), "slot int, cell long")
@@ -259,26 +268,27 @@ def count_phrases(df: DataFrame, threshold: int = THRESHOLD, shards: int = SHARD
         for length, part, name in written.collect():  # at most two times PARTS names
             files[length, part] = name
             reached[length].add(number)
-        state = state.drop("before")
+        if number == shards - 1:
+            totals = stage(state.where("length = 1").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+        state = state.drop("before").where((F.col("n") >= threshold) | (F.col("since") + shards - 1 > number))
         number += 1
 
 
-def phrase_scores(counts: DataFrame, threshold: int = THRESHOLD, within: int = WITHIN) -> DataFrame:
+def phrase_scores(counts: DataFrame, within: int = WITHIN) -> DataFrame:
     """lang, phrase, a, l, r, score of the candidates that no longer candidate absorbs.
 
     The cut with the lowest score counts. ``within``: a candidate goes if a longer one holds its words and occurs at least
     that many times in a hundred of its occurrences.
     """
-    known = counts.where(F.col("n") >= threshold).select("lang", "length", "phrase", "n")
     words = F.split("phrase", " ")
-    candidates = known.where("length > 1").withColumn("words", words)
+    candidates = counts.where("length > 1").withColumn("words", words)
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("length") - 1)))
     cuts = cuts.select(
         "lang", "length", "phrase", F.col("n").alias("a"), "k",
         F.array_join(F.expr("slice(words, 1, k)"), " ").alias("first"),
         F.array_join(F.expr("slice(words, k + 1, length - k)"), " ").alias("rest"),
     )
-    parts = known.where("length < 3").select("lang", "phrase", "n")
+    parts = counts.where("length < 3").select("lang", "phrase", "n")
     left = parts.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l"))
     right = parts.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
     scored = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"])
@@ -296,8 +306,7 @@ def phrase_scores(counts: DataFrame, threshold: int = THRESHOLD, within: int = W
 
 def collocations(df: DataFrame, threshold: int = THRESHOLD, top: int = TOP, shards: int = SHARDS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the first ``top`` phrases of each language."""
-    counts = count_phrases(df, threshold, shards)
-    totals = counts.where("length = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+    counts, totals = count_phrases(df, threshold, shards)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = phrase_scores(counts, threshold).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    ranked = phrase_scores(counts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
