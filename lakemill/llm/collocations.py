@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from lakemill.llm.shared import new_folder, open_store, stage, write_file
 from lakemill.llm.words import buffers, mix
 
-SHARDS, THRESHOLD, TOP, WITHIN = 3, 10, 2000, 50
-SLICE = 4 << 20
+SHARDS, THRESHOLD, TOP, WITHIN = 2, 10, 2000, 50
+SLICE = 6 << 20
 #: Parts of a table of cells, the least and the largest number of its cells, and bytes of text for each.
 PARTS, LEAST_CELLS, MOST_CELLS, BYTES_PER_CELL = 16, 1 << 20, 1 << 28, 32
 NEVER = 255
