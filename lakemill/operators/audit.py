@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
@@ -211,8 +211,10 @@ class AuditLog:
                 self.spark.sql(f"MSCK REPAIR TABLE metadata_{table}")
 
     def table(self, name: str) -> DataFrame:
+        """The rows of an audit table; none if nothing was logged to it."""
         schema = audit_schema(name)
-        return lake.read_table(self.spark, self.path(name), schema).select(*schema.names)
+        found = lake.existing_table(self.spark, self.path(name), schema)
+        return self.spark.createDataFrame([], schema) if found is None else found.select(*schema.names)
 
     def _write(self, table: str, rows: DataFrame) -> None:
         writer = rows.write
@@ -250,13 +252,13 @@ class AuditLog:
         self._write(table, self.spark.createDataFrame(values, schema).coalesce(1))
 
     def log_issues(self, batch_id: str, layer: str, table: str, issues: DataFrame, at: datetime | None = None) -> int:
-        """Write the issue rows of a batch and table in place of earlier ones; returns how many there are now."""
+        """Write the issue rows of a batch and table in place of earlier ones; returns how many were written."""
         log = "data_quality_issues"
-        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        own = "/".join(f"{c}={names.escapePathName(v)}" for c, v in zip(OWNER, (batch_id, table), strict=True))
+        own = "/".join(f"{c}={lake.folder_name(self.spark, v)}" for c, v in zip(OWNER, (batch_id, table), strict=True))
         lake.drop_folder(self.spark, f"{self.path(log)}/{own}")
-        self._write(log, issue_rows(issues, batch_id, layer, table, at))
-        return self.table(log).filter((F.col("batch_id") == batch_id) & (F.col("table_name") == table)).count()
+        told = Observation()
+        self._write(log, issue_rows(issues, batch_id, layer, table, at).observe(told, F.count(F.lit(1)).alias("rows")))
+        return (lake.told(told) or {"rows": 0})["rows"]
 
     def log_schema_changes(
         self, table_name: str, layer: str, schema_version: str, changes: dict[str, dict], *,
@@ -276,25 +278,27 @@ class AuditLog:
 
         The dictionary it gives takes ``records_processed``.
         """
-        self.create()
-        self.start_execution(execution_id, pipeline_name)
+        started = self._start(execution_id, pipeline_name)
         outcome: dict = {}
         try:
             yield outcome
         except Exception as error:
-            self.complete_execution(execution_id, status="FAILED", error_message=str(error)[:1000], **batches)
+            self._complete(started, status="FAILED", error_message=str(error)[:1000], **batches)
             raise
-        self.complete_execution(execution_id, **batches, **outcome)
+        self._complete(started, **batches, **outcome)
+
+    def _start(
+        self, execution_id: str, pipeline_name: str, *, triggered_by: str = "MANUAL", at: datetime | None = None
+    ) -> dict:
+        at = at or datetime.now()
+        row = {"execution_id": execution_id, "pipeline_name": pipeline_name, "start_timestamp": at, "triggered_by": triggered_by}
+        self.log("pipeline_execution", [row | {"status": "RUNNING"}], at)
+        return row | {"execution_date": at.date()}
 
     def start_execution(
         self, execution_id: str, pipeline_name: str, *, triggered_by: str = "MANUAL", at: datetime | None = None
     ) -> str:
-        at = at or datetime.now()
-        self.log("pipeline_execution", [{
-            "execution_id": execution_id, "pipeline_name": pipeline_name, "start_timestamp": at, "status": "RUNNING",
-            "triggered_by": triggered_by,
-        }], at)
-        return execution_id
+        return self._start(execution_id, pipeline_name, triggered_by=triggered_by, at=at)["execution_id"]
 
     def complete_execution(
         self, execution_id: str, *, bronze_batch_id: str | None = None, silver_batch_id: str | None = None,
@@ -308,13 +312,16 @@ class AuditLog:
         ).orderBy(F.desc("start_timestamp")).first()
         if started is None:
             raise KeyError(f"execution was never started: {execution_id}")
-        self.log("pipeline_execution", [{
-            **started.asDict(), "end_timestamp": at,
-            "duration_seconds": (at - started["start_timestamp"]).total_seconds(),
-            "bronze_batch_id": bronze_batch_id, "silver_batch_id": silver_batch_id,
-            "gold_batch_id": gold_batch_id, "records_processed": records_processed,
-            "status": status, "error_message": error_message, "created_at": at,
-        }], at)
+        self._complete(
+            started.asDict(), at=at, status=status, error_message=error_message, records_processed=records_processed,
+            bronze_batch_id=bronze_batch_id, silver_batch_id=silver_batch_id, gold_batch_id=gold_batch_id,
+        )
+
+    def _complete(self, started: dict, *, at: datetime | None = None, status: str = "SUCCESS", **values) -> None:
+        at = at or datetime.now()
+        seconds = (at - started["start_timestamp"]).total_seconds()
+        row = started | values | {"end_timestamp": at, "duration_seconds": seconds, "status": status, "created_at": at}
+        self.log("pipeline_execution", [row], at)
 
     def executions(self) -> DataFrame:
         return latest_executions(self.table("pipeline_execution"))

@@ -25,16 +25,18 @@ def _exactly(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def conform(df: DataFrame, expected: Sequence[str]) -> tuple[DataFrame, dict]:
-    """Exactly the expected columns, plus ``_extra_fields`` with the others as JSON.
+def conform(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+    """Exactly the expected columns, plus ``_extra_fields`` with the others as JSON, and those to ``keep``.
 
     ``_extra_fields`` is null when there is nothing extra; missing columns become null strings.
     """
-    changes = detect_drift(df, expected)
+    changes = detect_drift(df.drop(*keep), expected)
     extra = [_exactly(c) for c in changes["new_columns"]]
     columns = [_exactly(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in expected]
     folded = F.to_json(F.struct(*extra)) if extra else F.lit(None).cast("string")
-    return df.select(*columns, folded.alias("_extra_fields")), changes
+    if len(extra) > 0:  # rows of files that lack all of these columns
+        folded = F.when(F.coalesce(*extra).isNotNull(), folded)
+    return df.select(*columns, folded.alias("_extra_fields"), *keep), changes
 
 
 def source_columns(df: DataFrame) -> list[str]:

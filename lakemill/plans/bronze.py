@@ -5,19 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.contracts import FeedContract
 from lakemill.operators.audit import AuditLog, issues_from_bronze
 from lakemill.operators.drift import conform
-from lakemill.operators.duplicates import mark_duplicates, with_landing_hash
-from lakemill.operators.line_numbers import number_positions, with_files, with_positions
+from lakemill.operators.duplicates import HASH, mark_duplicates, with_landing_hash
+from lakemill.operators.line_numbers import number_positions, with_positions
 from lakemill.operators.lineage import add_bronze_lineage
 from lakemill.operators.quality import validate
 from lakemill.operators.skew import MIN_HOT_ROWS
 from lakemill.sources import lake
-from lakemill.sources.landing import read_csv
+from lakemill.sources.hash_index import HashIndex
+from lakemill.sources.landing import drift_by_header, read_landing
 
 LINE = "_bronze_source_line_number"
 
@@ -33,12 +34,11 @@ class BronzeStats:
     schema_changes: dict
 
 
-def located_rows(scan: DataFrame, contract: FeedContract, *, files: bool = False) -> tuple[DataFrame, dict]:
-    """The landing rows under the contract's columns, with content hash and scan position,
-    and the schema changes found. ``files``: the scan reads files, whose paths are kept."""
-    conformed, changes = conform(scan, contract.columns)
-    hashed = with_landing_hash(conformed)
-    return with_positions(with_files(hashed) if files else hashed), changes
+def located_rows(scan: DataFrame, contract: FeedContract) -> tuple[DataFrame, dict]:
+    """The landing rows under the contract's columns, with content hash and scan position, and the schema changes found.
+    The file of a row is kept if the scan tells it."""
+    conformed, changes = conform(scan, contract.columns, [c for c in ("_file", "_block") if c in scan.columns])
+    return with_positions(with_landing_hash(conformed)), changes
 
 
 def bronze_rows(
@@ -50,11 +50,15 @@ def bronze_rows(
     as_of: date,
     ingested_at: datetime | None = None,
     history: DataFrame | None = None,
+    rows: int | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """The rows of one bronze batch. ``source_file`` is their source where the rows don't know their own file."""
+    """The rows of one bronze batch. ``source_file`` is their source where the rows don't know their own file.
+
+    ``history``, ``rows``: see ``mark_duplicates``.
+    """
     numbered = number_positions(located, LINE)
-    marked = mark_duplicates(numbered, history, salt_by=LINE, counted=located, min_hot_rows=min_hot_rows)
+    marked = mark_duplicates(numbered, history, salt_by=LINE, counted=located, rows=rows, min_hot_rows=min_hot_rows)
     checked = validate(marked, contract.rules(as_of))
     stamped = add_bronze_lineage(
         checked,
@@ -66,16 +70,15 @@ def bronze_rows(
     return stamped.select(*contract.bronze_schema.names)
 
 
-def batch_counts(batch: DataFrame) -> DataFrame:
-    """One row of statistics of a stored batch, from three narrow columns."""
-    total, bad = F.count(F.lit(1)), F.count_if("_dq_has_errors")
-    score = F.when(total > 0, (total - bad) / total * 100).otherwise(F.lit(0.0))
-    return batch.agg(
-        total.alias("records_total"),
-        bad.alias("records_with_errors"),
+def counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows of a batch as they are written, and the statistics that the write then tells."""
+    told = Observation()
+    return rows.observe(
+        told,
+        F.count(F.lit(1)).alias("records_total"),
+        F.count_if("_dq_has_errors").alias("records_with_errors"),
         F.count_if("_dq_is_duplicate").alias("records_duplicate"),
-        score.alias("data_quality_score"),
-    )
+    ), told
 
 
 def ingest(
@@ -92,10 +95,11 @@ def ingest(
 ) -> BronzeStats:
     """Ingest one landing path as one batch. Running it again replaces the batch.
 
-    The landing files are read once, into a staging table next to the bronze table; line
-    numbers and duplicates then need several passes over few columns of that. The counts
-    are taken from the stored batch, so task retries cannot distort them. With an audit the
-    run is logged from start to end, also if it fails.
+    The landing files are read once, into a staging table next to the bronze table; line numbers and duplicates then
+    need several passes over few columns of that. Whether content came before is asked of the hash index beside the
+    table, not of its rows. The counts are told by the task that writes a row, so tasks that run again don't distort
+    them. The batch is noted in the manifest at last: a batch that failed on its way isn't refined. With an audit the run
+    is logged from start to end, also if it fails.
     """
     options = {"batch_id": batch_id, "as_of": as_of, "ingested_at": ingested_at, "min_hot_rows": min_hot_rows}
     if audit is None:
@@ -113,32 +117,54 @@ def _ingest(
 ) -> tuple[BronzeStats, DataFrame]:
     started = datetime.now()
     history = lake.existing_table(spark, bronze_path, contract.bronze_schema)
+    index = HashIndex(spark, f"{bronze_path.rstrip('/')}_hashes")
+    earlier = None
     if history is not None:
-        if ingested_at is None:  # a repeated batch keeps its day, and so its partition
-            earlier = lake.one_batch(history, batch_id).agg(F.min("_bronze_ingestion_timestamp"))
-            ingested_at = earlier.first()[0]
-        history = history.filter(F.col(lake.BATCH) != batch_id)
-    located, changes = located_rows(read_csv(spark, source), contract, files=True)
+        if lake.noted_batches(spark, bronze_path) is None:  # a table from before there were manifests
+            lake.make_manifest(spark, bronze_path, contract.bronze_schema)
+        notes = lake.noted_batches(spark, bronze_path).where(F.col("bronze_batch") == batch_id)
+        earlier = notes.first()
+        if not index.exists():
+            index.rebuild(history)
+    if ingested_at is None:  # a repeated batch keeps its day, and so its partition
+        ingested_at = earlier["ingested_at"] if earlier else started
+    scan, found = read_landing(spark, source, files=True)
+    located, changes = located_rows(scan, contract)
+    changes = changes | {"headers": drift_by_header(found, contract.columns)}
     staging = f"{bronze_path.rstrip('/')}_staging/{batch_id}"
-    rows = bronze_rows(
-        lake.staged(located, staging),
+    told = Observation()
+    landed = lake.staged(located.observe(told, F.count(F.lit(1)).alias("rows")), f"{staging}/rows")
+    seen = index.first_seen(landed.select(HASH).distinct(), f"{staging}/hashes", before=(ingested_at, batch_id))
+    rows, counts = counted(bronze_rows(
+        landed,
         contract,
         batch_id=batch_id,
         source_file=source,
         as_of=as_of,
         ingested_at=ingested_at,
-        history=history,
+        history=seen,
+        rows=(lake.told(told) or {"rows": 0})["rows"],
         min_hot_rows=min_hot_rows,
-    )
+    ))
     lake.write_bronze_batch(rows, bronze_path)
     lake.drop_folder(spark, staging)
-    stored = lake.one_batch(lake.read_table(spark, bronze_path, contract.bronze_schema), batch_id)
-    counts = batch_counts(stored).first()
+    table = lake.read_table(spark, bronze_path, contract.bronze_schema)
+    stored = lake.one_batch(table, batch_id)
+    first = stored.where(~F.col("_dq_is_duplicate")).select(HASH).distinct()
+    first = first.select(HASH, F.lit(ingested_at).cast("timestamp").alias("first_at"), F.lit(batch_id).alias("first_batch"))
+    if earlier is None:
+        index.add(first, batch_id)
+    else:
+        index.replace(first, batch_id, table.filter(F.col(lake.BATCH) != batch_id))
+    counts = lake.told(counts) or dict.fromkeys(("records_total", "records_with_errors", "records_duplicate"), 0)
+    total, bad = counts["records_total"], counts["records_with_errors"]
+    lake.note_batch(spark, bronze_path, batch_id, ingested_at, total)
     seconds = (datetime.now() - started).total_seconds()
     stats = BronzeStats(
-        **counts.asDict(),
+        **counts,
+        data_quality_score=(total - bad) / total * 100 if total else 0.0,
         duration_seconds=seconds,
-        records_per_second=counts["records_total"] / seconds if seconds > 0 else 0.0,
+        records_per_second=total / seconds if seconds > 0 else 0.0,
         schema_changes=changes,
     )
     return stats, stored
@@ -147,7 +173,6 @@ def _ingest(
 def _log(
     audit: AuditLog, contract: FeedContract, source: str, batch_id: str, stats: BronzeStats, stored: DataFrame
 ) -> None:
-    audit.create()
     changes = stats.schema_changes
     audit.log("bronze_batch_log", [{
         "batch_id": batch_id, "table_name": contract.name, "source_file_path": source,

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.contracts import CUSTOMERS, ORDER_ITEMS, ORDERS, FeedContract
@@ -32,11 +32,14 @@ from lakemill.operators.standardize import (
     standardize_orders,
 )
 from lakemill.sources import lake
+from lakemill.sources.compaction import silver_rows, unpack
 
 INGESTED_AT = "_bronze_ingestion_timestamp"
 LINE = "_bronze_source_line_number"
 SOURCE_FILE = "_bronze_source_file"
 PROCESSED_AT = "_silver_processing_timestamp"
+#: Bronze batches of one run whose rows are counted as it goes.
+MOST_OBSERVED = 50
 
 # The columns of the silver tables, in order.
 LINEAGE_COLUMNS = [
@@ -124,19 +127,26 @@ def silver_items(
     as_of: date | None = None,
     processed_at: datetime | None = None,
     hot: HotKeys | None = None,
+    counted: DataFrame | None = None,
+    rows: int | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
     filter_first: bool = True,
 ) -> DataFrame:
-    """``orders``: silver orders, or null for an unknown reference. ``hot``: see ``hot_keys``.
+    """``orders``: silver orders, or null for an unknown reference. ``hot``: see ``hot_keys``. ``counted``: the
+    bronze rows in a cheaper form, to look at their keys; ``rows``: their number, if it is known: below ``min_hot_rows`` no
+    order can be hot, else one job looks for hot ones.
 
     ``filter_first=False`` drops an item whose newest row is invalid.
     """
+    keys = bronze if counted is None else counted
+    if hot is None and rows is not None and rows < min_hot_rows:
+        hot = {}
     if hot is None:  # counted before the filter, so that one column is read
-        counted = hot_keys(bronze, "order_id", min_rows=min_hot_rows)
-        hot = {key: rows for key, rows in counted.items() if key and key.strip()}
+        found = hot_keys(keys, "order_id", min_rows=min_hot_rows)
+        hot = {key: number for key, number in found.items() if key and key.strip()}
     newest = _newest_valid(bronze, ITEM_IDS, "item_id", filter_first)
     typed = enrich_items(repair_line_total(standardize_items(newest)))
-    flagged = flag_reference(typed, orders, "order_id", "has_valid_order", salt_by="item_id", hot=hot)
+    flagged = flag_reference(typed, orders, "order_id", "has_valid_order", salt_by="item_id", hot=hot, keys=keys, rows=rows)
     measured = add_order_metrics(flagged, hot=hot)
     stamped = add_silver_lineage(
         measured, batch_id=batch_id, hash_columns=ITEM_HASH, processed_at=processed_at
@@ -237,40 +247,47 @@ def _refine(
     batch_id: str, as_of: date, bronze_batch_id: str | None, processed_at: datetime | None,
     orders_path: str | None, min_hot_rows: int, audit: AuditLog | None,
 ) -> SilverStats:
-    spec = SILVER[table]
-    bronze = lake.read_table(spark, bronze_path, spec.contract.bronze_schema)
-    if bronze_batch_id is not None:
-        wanted = lake.batch_versions(lake.one_batch(bronze, bronze_batch_id)).collect()
-        work = {batch_id: {bronze_batch_id: wanted[0]["version"] if wanted else None}}
-    else:
-        work = _pending(bronze, silver_path, batch_id)
+    bronze = lake.read_table(spark, bronze_path, SILVER[table].contract.bronze_schema)
     stats = SilverStats((), 0, 0, 0, 0, 0.0, 0.0, 0.0)
-    for silver_batch, versions in work.items():
-        rows = bronze.filter(F.col(lake.BATCH).isin(sorted(versions)))  # as literals they prune the partitions of others
+    for silver_batch, (batches, repeated) in _work(spark, bronze_path, silver_path, batch_id, bronze_batch_id).items():
+        rows = bronze.filter(F.col(lake.BATCH).isin(sorted(batches)))  # as literals they prune the partitions of others
         more = refine_rows(
-            spark, table, rows, sorted(versions), silver_path,
-            batch_id=silver_batch, as_of=as_of, processed_at=processed_at,
-            orders_path=orders_path, min_hot_rows=min_hot_rows, audit=audit,
+            spark, table, rows, sorted(batches), silver_path,
+            batch_id=silver_batch, as_of=as_of, processed_at=processed_at, records=sum(b["records"] for b in batches.values()),
+            repeated=repeated, orders_path=orders_path, min_hot_rows=min_hot_rows, audit=audit,
         )
-        lake.record_batches(spark, silver_path, versions, silver_batch)
+        lake.record_batches(spark, silver_path, {b: row["version"] for b, row in batches.items()}, silver_batch)
         stats = _added(stats, more)
     return stats
 
 
-def _pending(bronze: DataFrame, silver_path: str, batch_id: str) -> dict[str, dict[str, datetime]]:
-    """Silver batches to make, each with its bronze batches and their versions.
+def _work(
+    spark: SparkSession, bronze_path: str, silver_path: str, batch_id: str, bronze_batch_id: str | None
+) -> dict[str, tuple[dict[str, Row], bool]]:
+    """Silver batches to make, each with its bronze batches and whether it was made before.
 
     New bronze batches go into ``batch_id``. A bronze batch that was ingested again is refined again together with all
     others of the silver batch that holds it, which is then replaced. One row per pending batch reaches the driver.
     """
-    work: dict[str, dict[str, datetime]] = {}
-    for row in lake.pending_batches(bronze, silver_path).collect():
-        work.setdefault(row["silver_batch"] or batch_id, {})[row["bronze_batch"]] = row["version"]
-    done = lake.recorded_batches(bronze.sparkSession, silver_path)
+    pending = lake.pending_batches(spark, bronze_path, silver_path)
+    if pending is None:
+        raise ValueError(f"{bronze_path} has no manifest: make it with lake.make_manifest")
+    done = lake.recorded_batches(spark, silver_path)
+    notes = lake.noted_batches(spark, bronze_path)
+    if bronze_batch_id is not None:
+        row = notes.where(F.col("bronze_batch") == bronze_batch_id).first()
+        found = {bronze_batch_id: row or {"version": None, "records": 0}}
+        return {batch_id: (found, done is not None and not done.where(F.col("silver_batch") == batch_id).isEmpty())}
+    work: dict[str, dict[str, Row]] = {}
+    for row in pending.collect():
+        work.setdefault(row["silver_batch"] or batch_id, {})[row["bronze_batch"]] = row
+    repeated = set()
     if done is not None and work:
-        for row in done.filter(F.col("silver_batch").isin(list(work))).collect():
-            work[row["silver_batch"]].setdefault(row["bronze_batch"], row["version"])
-    return work
+        others = done.where(F.col("silver_batch").isin(list(work))).select("bronze_batch", "silver_batch")
+        for row in others.join(notes, "bronze_batch").collect():
+            repeated.add(row["silver_batch"])
+            work[row["silver_batch"]].setdefault(row["bronze_batch"], row)
+    return {batch: (found, batch in repeated) for batch, found in work.items()}
 
 
 def _added(one: SilverStats, other: SilverStats) -> SilverStats:
@@ -288,6 +305,28 @@ def _added(one: SilverStats, other: SilverStats) -> SilverStats:
     )
 
 
+def _counted(
+    spark: SparkSession, observed: Observation, told: Observation, bronze: DataFrame, batches: Sequence[str],
+    ids: Sequence[str], records: int | None, silver_path: str, batch_id: str,
+) -> dict[str, dict]:
+    """Counts per bronze batch as the run told them. Tasks that read twice would count twice: if the rows read are not
+    those of the manifest, or there are too many batches, the counts are taken from the stored tables."""
+    read, written = lake.told(observed), lake.told(told)
+    if len(batches) > MOST_OBSERVED or read is None or written is None or read["rows"] != records:
+        output = silver_rows(spark, silver_path, f"{lake.SILVER_BATCH} string, {lake.BATCH} string")
+        output = output.filter(F.col(lake.SILVER_BATCH) == batch_id)
+        return {row[lake.BATCH]: row.asDict() for row in stage_counts(bronze, ids, output).collect()}
+    counts = {}
+    for k, batch in enumerate(batches):
+        rows, filtered, out = read[f"r{k}"], read[f"f{k}"], written[f"b{k}"]
+        if rows:
+            counts[batch] = {
+                "records_input": rows, "records_filtered": filtered, "records_deduplicated": rows - filtered - out,
+                "records_output": out, "data_quality_score": out / rows * 100,
+            }
+    return counts
+
+
 def refine_rows(
     spark: SparkSession,
     table: str,
@@ -298,35 +337,52 @@ def refine_rows(
     batch_id: str,
     as_of: date,
     processed_at: datetime | None = None,
+    records: int | None = None,
+    repeated: bool = True,
     orders_path: str | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
     audit: AuditLog | None = None,
 ) -> SilverStats:
-    """Add the silver rows of the given bronze rows; the same batch id again replaces them."""
+    """Add the silver rows of the given bronze rows; the same batch id again replaces them.
+
+    ``records``: number of the bronze rows, if it is known; ``repeated``: whether the batch may have been made before.
+    """
     spec = SILVER[table]
     started = datetime.now()
     if not batches:
         return SilverStats((), 0, 0, 0, 0, 0.0, 0.0, 0.0)
-    if processed_at is None:  # a repeated batch keeps its day, and so its partitions
-        stored = lake.existing_table(spark, silver_path, f"{lake.SILVER_BATCH} string, {PROCESSED_AT} timestamp")
+    if processed_at is None and repeated:  # a repeated batch keeps its day, and so its partitions
+        stored = silver_rows(spark, silver_path, f"{lake.SILVER_BATCH} string, {PROCESSED_AT} timestamp")
         if stored is not None:
             earlier = stored.filter(F.col(lake.SILVER_BATCH) == batch_id)
             processed_at = earlier.agg(F.min(PROCESSED_AT)).first()[0]
     common = {"batch_id": batch_id, "as_of": as_of, "processed_at": processed_at}
+    observed = Observation()
+    read = [F.count(F.lit(1)).alias("rows")]
+    for k, batch in enumerate(batches[:MOST_OBSERVED]):
+        mine = F.col(lake.BATCH) == batch
+        read += [F.count_if(mine).alias(f"r{k}"), F.count_if(mine & ~acceptable(spec.ids)).alias(f"f{k}")]
+    rows = bronze.observe(observed, *read)
     plans: dict[str, Callable[[], DataFrame]] = {
-        "customers": lambda: silver_customers(bronze, **common),
-        "orders": lambda: silver_orders(bronze, **common),
+        "customers": lambda: silver_customers(rows, **common),
+        "orders": lambda: silver_orders(rows, **common),
         "order_items": lambda: silver_items(
-            bronze,
-            lake.existing_table(spark, orders_path, "order_id string") if orders_path else None,
+            rows,
+            silver_rows(spark, orders_path, "order_id string") if orders_path else None,
+            counted=bronze,
+            rows=records,
             min_hot_rows=min_hot_rows,
             **common,
         ),
     }
-    lake.write_silver_batch(plans[table](), silver_path, spec.partition_by, batch_id=batch_id, gather=spec.gather)
-    stored = lake.read_table(spark, silver_path, f"{lake.SILVER_BATCH} string, {lake.BATCH} string")
-    output = stored.filter(F.col(lake.SILVER_BATCH) == batch_id)
-    counts = {row[lake.BATCH]: row for row in stage_counts(bronze, spec.ids, output).collect()}  # one per batch
+    told = Observation()
+    written = [F.count_if(F.col(lake.BATCH) == b).alias(f"b{k}") for k, b in enumerate(batches[:MOST_OBSERVED])]
+    lake.write_silver_batch(
+        plans[table](), silver_path, spec.partition_by, batch_id=batch_id, gather=spec.gather, told=told, metrics=written
+    )
+    if repeated:
+        unpack(spark, silver_path, batch_id)
+    counts = _counted(spark, observed, told, bronze, batches, spec.ids, records, silver_path, batch_id)
     seconds = (datetime.now() - started).total_seconds()
 
     def total(name: str) -> int:
@@ -344,7 +400,6 @@ def refine_rows(
         records_per_second=written / seconds if seconds > 0 else 0.0,
     )
     if audit is not None:
-        audit.create()
         audit.log("silver_batch_log", [
             {
                 "batch_id": batch_id, "source_batch_id": source, "table_name": table,

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 BATCH = "_bronze_ingestion_batch_id"
 INGESTED_ON = "_bronze_ingestion_date"
+INGESTED_AT = "_bronze_ingestion_timestamp"
 SILVER_BATCH = "_silver_batch_id"
 
 
@@ -45,22 +47,40 @@ def one_batch(df: DataFrame, batch_id: str) -> DataFrame:
     return df.filter(F.col(BATCH) == batch_id)
 
 
-def unseen_batches(bronze: DataFrame, silver: DataFrame | None) -> DataFrame:
-    """Ids of the bronze batches that no silver row comes from."""
-    batches = bronze.select(BATCH).distinct()
-    if silver is None:
-        return batches
-    return batches.join(silver.select(BATCH).distinct(), BATCH, "left_anti")
+def folder_name(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
-def unseen_rows(bronze: DataFrame, silver: DataFrame | None) -> tuple[DataFrame, list[str]]:
-    """Rows of the unseen batches and the ids of those.
+# The manifest beside a bronze table: each batch that was stored whole, when, and with how many rows.
+MANIFEST = "bronze_batch string, version timestamp, ingested_at timestamp, records bigint"
+
+
+def manifest_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}_manifest"
+
+
+def note_batch(spark: SparkSession, bronze_path: str, batch_id: str, ingested_at: datetime, records: int) -> None:
+    """Note that a batch is stored whole; until then ``refine`` doesn't see it."""
+    row = (batch_id, datetime.now(), ingested_at, records)
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(manifest_path(bronze_path))
+
+
+def noted_batches(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """The newest note on each batch; null without a manifest."""
+    notes = existing_table(spark, manifest_path(bronze_path), MANIFEST)
+    if notes is None:
+        return None
+    newest = F.max_by(F.struct("version", "ingested_at", "records"), "version").alias("n")
+    return notes.groupBy("bronze_batch").agg(newest).select("bronze_batch", "n.version", "n.ingested_at", "n.records")
 
-    The ids, one per batch, are brought to the driver: as literals they prune the
-    partitions of the bronze table, so that older batches are not read again.
-    """
-    ids = sorted(row[0] for row in unseen_batches(bronze, silver).collect())
-    return bronze.filter(F.col(BATCH).isin(ids)), ids
+
+def make_manifest(spark: SparkSession, bronze_path: str, schema: StructType) -> None:
+    """Note the batches of a bronze table that has no manifest, from one pass over three narrow columns."""
+    bronze = read_table(spark, bronze_path, schema)
+    found = bronze.select(BATCH, INGESTED_AT, F.col("_metadata.file_modification_time").alias("at")).groupBy(BATCH)
+    rows = found.agg(F.max("at").alias("version"), F.min(INGESTED_AT).alias("ingested_at"), F.count(F.lit(1)).alias("records"))
+    rows.withColumnRenamed(BATCH, "bronze_batch").coalesce(1).write.mode("append").parquet(manifest_path(bronze_path))
 
 
 # The ledger beside a silver table: which bronze batch, in which state, went into which silver batch.
@@ -87,22 +107,25 @@ def recorded_batches(spark: SparkSession, silver_path: str) -> DataFrame | None:
     return ledger.groupBy("bronze_batch").agg(newest).select("bronze_batch", "n.version", "n.silver_batch")
 
 
-def batch_versions(bronze: DataFrame) -> DataFrame:
-    """Bronze batches and when their files were written; reads no column but the batch id of the folders."""
-    return bronze.select(F.col(BATCH).alias("bronze_batch"), F.col("_metadata.file_modification_time").alias("at")).groupBy(
-        "bronze_batch"
-    ).agg(F.max("at").alias("version"))
-
-
-def pending_batches(bronze: DataFrame, silver_path: str) -> DataFrame:
-    """Batches that no silver batch has read in their present state: bronze_batch, version, and the silver batch that
-    read an earlier state (null for a new batch)."""
-    versions, done = batch_versions(bronze), recorded_batches(bronze.sparkSession, silver_path)
+def pending_batches(spark: SparkSession, bronze_path: str, silver_path: str) -> DataFrame | None:
+    """Batches that no silver batch has read in their present state: bronze_batch, version, records, and the silver batch
+    that read an earlier state (null for a new batch). Reads the manifest and the ledger only; null without a manifest."""
+    notes, done = noted_batches(spark, bronze_path), recorded_batches(spark, silver_path)
+    if notes is None:
+        return None
     if done is None:
-        return versions.withColumn("silver_batch", F.lit(None).cast("string"))
+        return notes.select("bronze_batch", "version", "records", F.lit(None).cast("string").alias("silver_batch"))
     earlier = done.withColumnRenamed("version", "seen")
-    pending = versions.join(earlier, "bronze_batch", "left")
-    return pending.where("seen IS NULL OR version > seen").select("bronze_batch", "version", "silver_batch")
+    pending = notes.join(earlier, "bronze_batch", "left")
+    return pending.where("seen IS NULL OR version > seen").select("bronze_batch", "version", "records", "silver_batch")
+
+
+def told(observation: Observation) -> dict[str, int] | None:
+    """What a write told; null if the optimizer had found out that there was nothing to write, and dropped the counts."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return None
 
 
 def staged(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -139,7 +162,7 @@ def write_bronze_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def batch_folders(spark: SparkSession, path: str, depth: int, batch_id: str) -> dict[str, set[str]]:
     """Folders of a silver batch and the files in them; one folder per partition that the batch has rows in."""
     jvm = spark._jvm
-    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
+    name = folder_name(spark, batch_id)
     pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{'/*' * depth}/{SILVER_BATCH}={name}")
     store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
     found = store.globStatus(pattern) or []
@@ -147,16 +170,19 @@ def batch_folders(spark: SparkSession, path: str, depth: int, batch_id: str) ->
 
 
 def write_silver_batch(
-    df: DataFrame, path: str, partition_by: Sequence[str], *, batch_id: str, gather: bool, fmt: str = "parquet"
+    df: DataFrame, path: str, partition_by: Sequence[str], *, batch_id: str, gather: bool, fmt: str = "parquet",
+    told: Observation | None = None, metrics: Sequence[Column] = (),
 ) -> None:
     """Add one silver batch, partitioned by the given columns and, within those, its id.
 
-    A batch that was written before is replaced as a whole: partitions it no longer has rows in are dropped.
+    ``told`` gets the ``metrics`` of the rows as they are written. A batch that was written before is replaced as a whole: partitions it no longer has rows in are dropped.
     ``gather``: the rows of a task fall into many partitions. ``REBALANCE`` then brings
     those of a partition together in files of the advisory size, and splits a partition
     that is too large for one task. Without it each task writes its own file.
     """
     rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if gather else df
+    if told is not None:
+        rows = rows.observe(told, *metrics)
     spark, depth = df.sparkSession, len(partition_by)
     before = batch_folders(spark, path, depth, batch_id)
     _replace_partitions(rows, path, [*partition_by, SILVER_BATCH], fmt)

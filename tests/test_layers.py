@@ -12,7 +12,8 @@ from lakemill.operators.audit import SCHEMAS, AuditLog
 from lakemill.plans.bronze import ingest
 from lakemill.plans.silver import refine
 from lakemill.sources import lake
-from lakemill.sources.landing import read_csv
+from lakemill.sources.compaction import compact, silver_rows
+from lakemill.sources.landing import drift_by_header, read_landing
 from lakemill.streaming.incremental import refine_available
 
 AS_OF = date(2025, 1, 1)
@@ -59,7 +60,7 @@ def test_orders_end_to_end(spark, tmp_path, paths):
     stats = ingest(spark, ORDERS, source, paths["bronze_orders"], batch_id="b1", as_of=AS_OF, audit=audit)
     assert (stats.records_total, stats.records_with_errors, stats.records_duplicate) == (7, 3, 0)
     assert not stats.schema_changes["has_changes"]
-    assert not lake.table_exists(spark, paths["bronze_orders"] + "_staging/b1")
+    assert not (tmp_path / "bronze_orders_staging" / "b1").exists()
 
     bronze = lake.read_table(spark, paths["bronze_orders"], ORDERS.bronze_schema)
     lines = bronze.orderBy("_bronze_source_line_number").collect()
@@ -192,11 +193,38 @@ def test_empty_batch(spark, tmp_path, paths):
     assert (done.records_input, done.records_output, done.data_quality_score) == (0, 0, 0.0)
 
 
-def test_csv_with_another_header_raises(spark, tmp_path):
+def test_headers_differ_in_one_path(spark, tmp_path):
+    """Files with other columns, in another order, without rows or without any line: nothing is shifted."""
     write_csv(tmp_path / "in" / "a.csv", ["x", "y"], [("1", "2")] * 3)
-    write_csv(tmp_path / "in" / "b.csv", ["y", "x"], [("1", "2")])
-    with pytest.raises(Exception, match="(?i)header"):
-        read_csv(spark, str(tmp_path / "in")).collect()
+    write_csv(tmp_path / "in" / "b c.csv", ["y", "x"], [("2", "1")])
+    write_csv(tmp_path / "in" / "c.csv", ["x", "z, with comma"], [("1", "5")])
+    write_csv(tmp_path / "in" / "d.csv", ["x", "y"], [])
+    (tmp_path / "in" / "e.csv").write_text("")
+    rows, found = read_landing(spark, str(tmp_path / "in"), files=True)
+    got = sorted((r["_file"].rsplit("/", 1)[1], r["x"], r["y"], r["z, with comma"]) for r in rows.collect())
+    assert got == [("a.csv", "1", "2", None)] * 3 + [("b%20c.csv", "1", "2", None), ("c.csv", "1", None, "5")]
+    assert sorted((h.columns, len(h.files)) for h in found) == [(("x", "y"), 2), (("x", "z, with comma"), 1), (("y", "x"), 1)]
+    drift = drift_by_header(found, ["x", "y"])
+    assert sorted((d["new_columns"], d["missing_columns"], d["reordered"], d["files"]) for d in drift) == [
+        ([], [], True, 1), (["z, with comma"], ["y"], False, 1)]
+
+
+def test_ingest_of_files_with_different_headers(spark, tmp_path, paths):
+    columns = list(ORDERS.columns)
+    write_csv(tmp_path / "in" / "a.csv", columns, ORDER_ROWS[:3])
+    write_csv(tmp_path / "in" / "b.csv", [*reversed(columns), "channel"], [(*reversed(r), "web") for r in ORDER_ROWS[3:5]])
+    write_csv(tmp_path / "in" / "c.csv", columns[:-1], [r[:-1] for r in ORDER_ROWS[5:]])
+    stats = ingest(spark, ORDERS, str(tmp_path / "in"), paths["bronze_orders"], batch_id="b1", as_of=AS_OF)
+    assert stats.schema_changes["new_columns"] == ["channel"] and stats.schema_changes["missing_columns"] == []
+    assert len(stats.schema_changes["headers"]) == 2
+    rows = lake.read_table(spark, paths["bronze_orders"], ORDERS.bronze_schema).collect()
+    got = {r["order_id"] + (r["payment_method"] or ""): r for r in rows}
+    for number, row in enumerate(ORDER_ROWS):
+        found = got[row[0] + row[7]]
+        want = dict(zip(columns, (v or None for v in row), strict=True)) | ({"created_at": None} if number > 4 else {})
+        assert {c: found[c] for c in columns} == want
+        assert found["_extra_fields"] == ('{"channel":"web"}' if number in (3, 4) else None)
+        assert found["_bronze_source_file"].endswith(f"{'aaabbcc'[number]}.csv")
 
 
 def test_stream_equals_batch(spark, tmp_path, paths):
@@ -347,3 +375,90 @@ def test_issue_ids_repeat_for_the_same_issue(spark, tmp_path):
     assert audit.log_issues("b", "bronze", "t", issues) == 2
     audit.log_issues("b", "bronze", "t", issues)
     assert audit.table("data_quality_issues").select(F.count_distinct("issue_id")).first()[0] == 2
+
+
+def jobs(spark, action):
+    """Number of Spark jobs that an action runs."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        result = action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    seen = len(tracker.getJobIdsForGroup("counted"))
+    spark.sparkContext.setJobGroup("done", "done")
+    return result, seen
+
+
+def test_jobs_per_run(spark, tmp_path, paths):
+    """Runs don't evaluate their source again and again; an idle run only looks at manifest and ledger."""
+    audit = AuditLog(spark, paths["audit"])
+    ingest_rows(spark, tmp_path, paths, "b1", ORDER_ROWS, audit=audit)
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    _, total = jobs(spark, lambda: ingest_rows(spark, tmp_path, paths, "b2", ORDER_ROWS[:2], audit=audit))
+    took = total - before
+    _, total_refine = jobs(spark, lambda: refine_orders(spark, paths, "s1", audit=audit))
+    _, total_idle = jobs(spark, lambda: refine_orders(spark, paths, "s2"))
+    assert (took, total_refine - total, total_idle - total_refine) <= (30, 14, 6)
+    print("jobs", took, total_refine - total, total_idle - total_refine)
+
+
+def test_pending_batches_read_no_bronze_rows(spark, tmp_path, paths):
+    ingest_rows(spark, tmp_path, paths, "b1", ORDER_ROWS[:2])
+    pending = lake.pending_batches(spark, paths["bronze_orders"], paths["silver_orders"])
+    assert pending.inputFiles() and all("/bronze_orders_manifest/" in f for f in pending.inputFiles())
+    assert [(r["bronze_batch"], r["records"]) for r in pending.collect()] == [("b1", 2)]
+
+
+def test_batch_without_manifest_note_is_not_refined(spark, tmp_path, paths):
+    """A batch whose run stopped before its end has no note; run again, it has one."""
+    ingest_rows(spark, tmp_path, paths, "b1", ORDER_ROWS[:2])
+    ingest_rows(spark, tmp_path, paths, "b2", ORDER_ROWS[3:4])
+    note = [p for p in (tmp_path / "bronze_orders_manifest").glob("*.parquet")]
+    newest = max(note, key=lambda p: p.stat().st_mtime_ns)
+    kept = spark.read.parquet(*[str(p) for p in note if p != newest]).collect()
+    assert [r["bronze_batch"] for r in kept] == ["b1"]
+    other = str(tmp_path / "bronze_orders_manifest_old")
+    spark.createDataFrame(kept, lake.MANIFEST).write.parquet(other)
+    (tmp_path / "bronze_orders_manifest").rename(tmp_path / "gone")
+    (tmp_path / "bronze_orders_manifest_old").rename(tmp_path / "bronze_orders_manifest")
+    assert refine_orders(spark, paths, "s1").batches == ("b1",)
+    ingest_rows(spark, tmp_path, paths, "b2", ORDER_ROWS[3:4])
+    assert refine_orders(spark, paths, "s2").batches == ("b2",)
+
+
+def test_tables_from_before_manifest_and_index(spark, tmp_path, paths):
+    """Both are made from the bronze table when they are missing."""
+    ingest_rows(spark, tmp_path, paths, "b1", ORDER_ROWS[:3])
+    for name in ("bronze_orders_manifest", "bronze_orders_hashes"):
+        (tmp_path / name).rename(tmp_path / f"gone_{name}")
+    stats = ingest_rows(spark, tmp_path, paths, "b2", ORDER_ROWS[2:4])
+    assert (stats.records_total, stats.records_duplicate) == (2, 1)
+    assert refine_orders(spark, paths, "s1").batches == ("b1", "b2")
+
+
+def test_compaction_keeps_rows_and_lets_batches_be_made_again(spark, tmp_path, paths):
+    def rows():
+        found = silver_rows(spark, paths["silver_orders"])
+        return sorted((r["order_id"], r["order_month"], r["payment_method"], r["_silver_batch_id"]) for r in found.collect())
+
+    def files():
+        return sum(1 for name in ("silver_orders", "silver_orders_packed") for p in (tmp_path / name).rglob("*.parquet"))
+
+    months = [("O%d" % k, "C1", f"2024-{k:02d}-01 10:00:00", *ORDER_ROWS[0][3:]) for k in range(1, 11)]
+    for batch, silver, part in (("b1", "s1", months[:6]), ("b2", "s2", months[4:])):
+        ingest_rows(spark, tmp_path, paths, batch, part)
+        refine_orders(spark, paths, silver)
+    before, many = rows(), files()
+    packed = compact(spark, paths["silver_orders"], ("order_year", "order_month"))
+    assert (packed.batches, packed.rows, packed.files) == (("s1", "s2"), 12, 1) and many >= 12
+    assert rows() == before and files() == 1
+    assert compact(spark, paths["silver_orders"], ("order_year", "order_month")).batches == ()
+    schema = "order_id string, order_month int"
+    assert silver_rows(spark, paths["silver_orders"], schema).where("order_month = 10").collect()[0][0] == "O10"
+    ingest_rows(spark, tmp_path, paths, "b1", [(*months[0][:7], "cod", months[0][8])])
+    assert refine_orders(spark, paths, "s3").batches == ("b1",)
+    assert rows() == sorted([("O1", 1, "cash_on_delivery", "s1"), *(r for r in before if r[3] == "s2")])
+    assert compact(spark, paths["silver_orders"], ("order_year", "order_month"), keep_open=["s1"]).batches == ()
+    assert compact(spark, paths["silver_orders"], ("order_year", "order_month"), target_rows=1).batches == ("s1",)
+    assert rows() == sorted([("O1", 1, "cash_on_delivery", "s1"), *(r for r in before if r[3] == "s2")])

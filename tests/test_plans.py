@@ -36,12 +36,49 @@ def test_order_metrics_need_one_shuffle_and_one_sort(spark):
     assert len(re.findall(r"Sort \[", text)) == 1
 
 
-def test_reference_and_metrics_need_two_shuffles(spark):
+def test_reference_and_metrics_shuffle_items_and_parents_once(spark):
+    """Beside those two shuffles only bitmaps of the key filter move, and the filter is broadcast to the parents' scan."""
     parents = spark.read.parquet(f"{SF}/orders.parquet").select(F.col("o_orderkey").alias("order_id"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         flagged = flag_reference(clean_items(spark), parents, "order_id", "known", salt_by="item_id")
-        assert exchanges(plan(add_order_metrics(flagged))) == 2
+        text = plan(add_order_metrics(flagged))
+        assert exchanges(text) == 3 and len(re.findall(r"Exchange hashpartitioning\(bucket", text)) == 1
+        assert len(re.findall("BroadcastExchange", text)) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def shuffled_rows(df):
+    """Rows that went through exchanges by ``order_id`` as a query ran."""
+    df.write.format("noop").mode("overwrite").save()
+    node, found = df._jdf.queryExecution().executedPlan(), []
+    df.collect()
+    waiting = [node]
+    while waiting:
+        node = waiting.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            waiting.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            waiting.append(node.plan())
+            continue
+        if name == "ShuffleExchangeExec" and "hashpartitioning(order_id" in node.outputPartitioning().toString():
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_parents_that_no_row_refers_to_are_not_shuffled(spark):
+    parents = spark.range(200_000).select(F.col("id").cast("string").alias("order_id"))
+    items = spark.range(100).select(F.col("id").alias("item_id"), (F.col("id") * 7).cast("string").alias("order_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = flag_reference(items, parents, "order_id", "known", salt_by="item_id")
+        moved = shuffled_rows(flagged)
+        assert flagged.where("known").count() == 100 and 200 <= sum(moved) < 5_000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

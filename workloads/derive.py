@@ -18,9 +18,23 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, sql: str, *, spread: bool = False) -> DataFrame:
+    """``spread``: deal the rows of tables with few row groups over all cores before the SQL makes its texts."""
     used = [t for t in TABLES if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: load(spark, sf_dir, t) for t in used})
+    tables = {t: load(spark, sf_dir, t) for t in used}
+    cores = spark.sparkContext.defaultParallelism
+    if spread:
+        tables = {t: df.repartition(cores) if df.rdd.getNumPartitions() < cores else df for t, df in tables.items()}
+    return spark.sql(sql, **tables)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder in the session's shared folder (its warehouse if none is named) that goes when the driver ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def landed(
@@ -29,15 +43,11 @@ def landed(
     """A derived feed, given by SQL or a function, written as the query that needs it runs.
 
     A feed arrives as files. Without this step the queries would spend their time in the SQL that makes the messy texts,
-    which the optimizer repeats wherever a text is used. The folder lies in the shared folder of the session (its
-    warehouse if none is named) and goes when the driver ends.
+    which the optimizer repeats wherever a text is used.
     """
-    rows = run(spark, sf_dir, make) if isinstance(make, str) else make(spark, sf_dir)
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{root.rstrip('/')}/landed/{name}-{uuid.uuid4().hex}"
+    rows = run(spark, sf_dir, make, spread=True) if isinstance(make, str) else make(spark, sf_dir)
+    path = new_folder(spark, f"landed/{name}")
     rows.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(rows.schema).parquet(path)
 
 

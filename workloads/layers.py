@@ -9,10 +9,11 @@ from lakemill.contracts import ORDERS as CONTRACT
 from lakemill.functions import numbers
 from lakemill.functions.hashing import record_hash
 from lakemill.operators.dedup import newest_per_key
-from lakemill.operators.duplicates import mark_duplicates, with_landing_hash
+from lakemill.operators.duplicates import HASH, mark_duplicates, with_landing_hash
 from lakemill.functions.dates import parse_timestamp
 from lakemill.sources import lake
-from workloads import duck, orders
+from lakemill.sources.hash_index import HashIndex
+from workloads import derive, duck, orders
 from workloads.shape import Checks
 
 CHECKS = Checks()
@@ -58,9 +59,12 @@ SELECT n.k, n.line, n.hash, first.y IS NOT NULL AS is_duplicate, 'batch-' || cas
     counted.copies > 1 AS dup_in_batch
 FROM n JOIN counted ON counted.hash = n.hash LEFT JOIN first ON first.hash = n.hash""")
 def cross_batch_duplicates(spark, sf_dir):
-    marked = mark_duplicates(
-        _incoming(spark, sf_dir), _history(spark, sf_dir), salt_by="_line", within_batch=True
-    )
+    root = derive.new_folder(spark, "duplicates")
+    index = HashIndex(spark, f"{root}/hashes")
+    index.rebuild(_history(spark, sf_dir))
+    incoming = with_landing_hash(_incoming(spark, sf_dir))
+    seen = index.first_seen(incoming.select(HASH).distinct(), f"{root}/probe")
+    marked = mark_duplicates(incoming, seen, salt_by="_line", within_batch=True)
     return marked.select(
         F.col("_k").alias("k"),
         F.col("_line").alias("line"),
@@ -75,11 +79,24 @@ def cross_batch_duplicates(spark, sf_dir):
 SELECT k, 'batch-' || cast(batch_no AS string) AS batch FROM o
 WHERE batch_no NOT IN (SELECT batch_no FROM o WHERE status = 'F' AND customer_id LIKE '%00' AND order_id LIKE '%7')""")
 def unseen_batches(spark, sf_dir):
+    """A bronze table of one batch per year, with manifest and ledger; the rows of the batches that the ledger lacks."""
+    root = derive.new_folder(spark, "unseen")
     batch = F.concat(F.lit("batch-"), "batch_no").alias(lake.BATCH)
-    bronze = orders.messy(spark, sf_dir).select("k", "status", "customer_id", "order_id", batch)
+    rows = orders.messy(spark, sf_dir).select(
+        "k", "status", "customer_id", "order_id", F.make_timestamp("batch_no", *[F.lit(n) for n in (12, 31, 0, 0, 0)]).alias(lake.INGESTED_AT),
+        batch,
+    )
+    rows.write.partitionBy(lake.BATCH).parquet(f"{root}/bronze")
+    lake.make_manifest(spark, f"{root}/bronze", rows.schema)
+    bronze = lake.read_table(spark, f"{root}/bronze", rows.schema)
     done = bronze.filter((F.col("status") == "F") & F.col("customer_id").endswith("00") & F.col("order_id").endswith("7"))
-    rows, _ = lake.unseen_rows(bronze, done)
-    return rows.select("k", F.col(lake.BATCH).alias("batch"))
+    notes = lake.noted_batches(spark, f"{root}/bronze")
+    read = notes.join(done.select(F.col(lake.BATCH).alias("bronze_batch")).distinct(), "bronze_batch", "left_semi")
+    versions = {r["bronze_batch"]: r["version"] for r in read.collect()}
+    if versions:
+        lake.record_batches(spark, f"{root}/silver", versions, "s1")
+    ids = [r["bronze_batch"] for r in lake.pending_batches(spark, f"{root}/bronze", f"{root}/silver").collect()]
+    return bronze.filter(F.col(lake.BATCH).isin(ids)).select("k", F.col(lake.BATCH).alias("batch"))
 
 
 @query("record_hash", duck.cte(o=BASE, t=f"""
