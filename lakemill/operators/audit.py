@@ -249,7 +249,7 @@ class AuditLog:
             if unknown := set(row) - set(schema.names):
                 raise KeyError(f"{table} has no column {sorted(unknown)}")
         values = [tuple(shown((usual | row).get(f.name), f) for f in schema.fields) for row in rows]
-        self._write(table, self.spark.createDataFrame(values, schema).coalesce(1))
+        self._write(table, lake.small_table(self.spark, values, schema))
 
     def log_issues(self, batch_id: str, layer: str, table: str, issues: DataFrame, at: datetime | None = None) -> int:
         """Write the issue rows of a batch and table in place of earlier ones; returns how many were written."""

@@ -51,8 +51,8 @@ def packed_batches(spark: SparkSession, silver_path: str) -> DataFrame | None:
 
 def _note(spark: SparkSession, silver_path: str, batches: Sequence[str], segment: str | None) -> None:
     now = datetime.now()
-    rows = spark.createDataFrame([(b, segment, now) for b in batches], LOG)
-    rows.coalesce(1).write.mode("append").parquet(_log_path(silver_path))
+    rows = lake.small_table(spark, [(b, segment, now) for b in batches], LOG)
+    rows.write.mode("append").parquet(_log_path(silver_path))
 
 
 def silver_rows(spark: SparkSession, silver_path: str, schema: StructType | str | None = None) -> DataFrame | None:

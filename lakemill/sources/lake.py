@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import UTC, datetime
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BATCH = "_bronze_ingestion_batch_id"
@@ -47,6 +49,19 @@ def one_batch(df: DataFrame, batch_id: str) -> DataFrame:
     return df.filter(F.col(BATCH) == batch_id)
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
+    """Few rows of the driver as a local relation: written by one task, without a Python worker. Moments without a zone are
+    those of the driver's zone."""
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def known(value):
+        return value.astimezone(UTC) if isinstance(value, datetime) else value
+
+    columns = [[known(row[k]) for row in rows] for k in range(len(struct.fields))]
+    arrow = to_arrow_schema(struct)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), struct)
+
+
 def folder_name(spark: SparkSession, value: str) -> str:
     """A partition value as it stands in a folder's name."""
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
@@ -63,7 +78,7 @@ def manifest_path(bronze_path: str) -> str:
 def note_batch(spark: SparkSession, bronze_path: str, batch_id: str, ingested_at: datetime, records: int) -> None:
     """Note that a batch is stored whole; until then ``refine`` doesn't see it."""
     row = (batch_id, datetime.now(), ingested_at, records)
-    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(manifest_path(bronze_path))
+    small_table(spark, [row], MANIFEST).write.mode("append").parquet(manifest_path(bronze_path))
 
 
 def noted_batches(spark: SparkSession, bronze_path: str) -> DataFrame | None:
@@ -95,7 +110,7 @@ def record_batches(spark: SparkSession, silver_path: str, versions: Mapping[str,
     """Note that these bronze batches were read for a silver batch, also those that left no row in it."""
     now = datetime.now()
     rows = [(batch, version, silver_batch, now) for batch, version in sorted(versions.items())]
-    spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(ledger_path(silver_path))
+    small_table(spark, rows, LEDGER).write.mode("append").parquet(ledger_path(silver_path))
 
 
 def recorded_batches(spark: SparkSession, silver_path: str) -> DataFrame | None:
