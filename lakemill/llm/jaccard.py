@@ -20,6 +20,7 @@ get the component's id like others (null if they are alone). Other columns are n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 
 import numpy as np
@@ -27,8 +28,9 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lakemill.llm.shared import stage
 from lakemill.llm.words import LOWER_AZ, WHITE, documents, mix, ranges, runs
@@ -39,9 +41,11 @@ SKETCH, CHUNK = 1 << 21, 1 << 16
 #: Bits of the filters of frequent tokens and of the sets that comparisons need; fixed as well.
 BLOOM = 1 << 24
 #: Tokens that a task gathers before it hands on a block, and nodes it remembers to leave out copies.
-HELD_TOKENS, HELD_NODES = 1 << 18, 1 << 20
+HELD_TOKENS, HELD_NODES = 1 << 17, 1 << 17
 #: A token in the prefixes of more nodes is frequent.
 FREQUENT = 8
+#: Prefix tokens that one part of the join holds, on average, and rows that reach a Python worker at once.
+PART_TOKENS, BATCH_ROWS = 1 << 20, 500
 
 
 def sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -224,7 +228,9 @@ def shared_tokens(rows: DataFrame, sized: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     classes = spark.sparkContext.broadcast(frequency_classes(sized))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shingles = sized.agg(F.sum("n")).first()[0] or 0
+    tokens = ORDERS * (100 - PERCENT + 1) * shingles // 100
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // PART_TOKENS))
 
     def dealt(frequent: Broadcast | None) -> DataFrame:
         schema = "part int, tokens binary, nodes binary, sizes binary, places binary"
@@ -392,17 +398,58 @@ def _pairs(own: DataFrame) -> DataFrame:
     return left.join(right, "token").where("a < b AND x <> y").where(sizes_allow("n", "m", "left", "rest")).select("a", "b")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand rows to Python workers in batches of BATCH_ROWS: whole texts and pairs of sets are large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def similar_groups(df: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and node of every row."""
+    """doc_id, n_shingles, component_id, node (null for an empty set) and comp of every row.
+
+    ``comp`` tells components apart also where ids repeat. Jobs run while this is built.
+    """
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sized = stage(rows.mapInArrow(_sizes, "doc_id long, n long, node long, chunk int, counts binary"), "sizes")
-    comps = link(rows, shared_tokens(rows, sized))
+    with small_batches(df.sparkSession):
+        sized = stage(rows.mapInArrow(_sizes, "doc_id long, n long, node long, chunk int, counts binary"), "sizes")
+        comps = link(rows, shared_tokens(rows, sized))
     docs = sized.where("chunk IS NULL").select("doc_id", "n", "node")
     nodes = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     nodes = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = nodes.groupBy("comp").agg(F.min("least").alias("component_id"), F.sum("copies").alias("members"))
-    shared = nodes.join(least.where("members > 1"), "comp").select("node", F.col("component_id"))
+    shared = nodes.join(least.where("members > 1"), "comp").select("node", "comp", "component_id")
     found = docs.join(shared, "node", "left")
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "node"
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "node",
+        F.coalesce("comp", "node").alias("comp"),
     )
+
+
+def _with_nodes(text: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        node = np.zeros(len(batch), np.int64)
+        empty = np.ones(len(batch), bool)
+        for row, shingles in sets(batch.column(text)):
+            node[row], empty[row] = node_of(shingles), False
+        yield batch.append_column("__node", pa.array(node, mask=empty))
+
+
+def keep_one(df: DataFrame) -> DataFrame:
+    """The rows, all columns, of one document per component: that with the smallest doc_id, then node; of its repeated
+    rows one. Rows that link with nothing stay, also those without words, and a row is told by id and text, not by id alone."""
+    groups = similar_groups(df).where("node IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node"))
+    stay = groups.groupBy("comp").agg(first.alias("f")).select(F.col("f.doc_id").alias("__id"), F.col("f.node").alias("__own"))
+    schema = StructType([*df.schema.fields, StructField("__node", LongType())])
+    rows = df.mapInArrow(partial(_with_nodes, df.columns.index("text")), schema)
+    same = rows["doc_id"].cast("long").eqNullSafe(stay["__id"]) & (rows["__node"] == stay["__own"])
+    kept = rows.where("__node IS NOT NULL").join(stay, same, "left_semi")
+    repeats = Window.partitionBy("doc_id", "__node").orderBy(F.xxhash64("text"))
+    kept = kept.withColumn("__repeat", F.row_number().over(repeats)).where("__repeat = 1").select(df.columns)
+    return kept.unionByName(rows.where("__node IS NULL").select(df.columns))

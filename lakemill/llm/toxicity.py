@@ -157,11 +157,15 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled texts; only that many labels are broadcast, and no text is shuffled."""
+    """(text, toxic) of at most ``rows`` labelled texts; only that many labels are broadcast.
+
+    Of rows with one id the one with the smallest text is taken, so repeated ids don't add to the sample.
+    """
     marked = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    return texts.join(F.broadcast(some), "doc_id").select("doc_id", "text", F.col("toxic").cast("long").alias("toxic"))
+    found = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    return found.select("doc_id", "text", F.col("toxic").cast("long").alias("toxic"))
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lakemill.llm import decontaminate, jaccard, langid, queries, toxicity
 from tests.conftest import SF
@@ -279,3 +280,35 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
     docs, benchmark = documents(spark), queries.table(spark, SF, "benchmark")
     whole, parts = (decontaminate.contaminated(docs, benchmark, n) for n in (1 << 20, 200))
     assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+
+
+def test_repeated_ids_do_not_add_to_the_samples(spark):
+    """One id with many rows is one row of the sample; so is each id of the calibration."""
+    docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, toxic int")
+    assert [r["text"] for r in toxicity.sample(docs, labels, 10).collect()] == ["text 0"]
+    learned = docs.withColumn("lang", F.lit("en"))
+    folder = langid.train(learned)
+    assert langid.calibrate(learned, folder, 10).mean.keys() == {"en"}
+
+
+def test_training_texts_without_letters(spark):
+    """Nothing to calibrate with: no document is accepted, and none fails."""
+    rows = spark.createDataFrame([(1, "en", "— … €"), (2, "de", "€ €")], "doc_id long, lang string, text string")
+    folder = langid.train(rows)
+    calibration = langid.calibrate(rows, folder) if folder else None
+    assert calibration is None
+    assert {r["lang_pred"] for r in langid.predict(rows, folder, calibration).collect()} == {"und"}
+    assert langid.keep_known(rows, folder, calibration).collect() == []
+
+
+def test_margins_are_the_plain_sum_over_pairs():
+    """The machine's value from its sums of squares equals the sum over all pairs of a text's terms."""
+    rng = np.random.default_rng(4)
+    weight, factor = rng.normal(size=9).astype(np.float32), rng.normal(size=(9, 4)).astype(np.float32)
+    texts = [sorted(rng.choice(9, size=k, replace=False).tolist()) for k in (0, 1, 2, 5, 9)]
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    value, _ = toxicity.margins(row, np.concatenate(texts).astype(np.int64), len(texts), 0.3, weight, factor)
+    for k, terms in enumerate(texts):
+        pairs = sum(float(factor[i] @ factor[j]) for n, i in enumerate(terms) for j in terms[n + 1 :])
+        assert np.isclose(value[k], 0.3 + sum(weight[i] for i in terms) + pairs, atol=1e-4)
