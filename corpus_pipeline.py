@@ -5,7 +5,7 @@ A stage is a function (spark, docs, sf_dir) -> DataFrame. All but the last retur
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.llm import decontaminate, jaccard, langid, packing, tokens, toxicity
@@ -14,39 +14,42 @@ from lakemill.llm.shared import stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine doesn't call toxic. It learns from four folds of five."""
+    """Documents that the factorization machine doesn't call toxic. It learns from four folds of five.
+
+    Null, empty and repeated texts are scored like others (an empty one by the bias alone); a null id is never learned
+    from. Without both labels nothing is dropped.
+    """
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(toxicity.fold(F.col("doc_id"), 5) != 0))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the character models accept. They learn from two folds of three."""
+    """Documents whose language the character models accept. They learn from two folds of three.
+
+    Null and empty texts and texts without a letter go; repeated rows are judged alike. Without a text to learn from no
+    document is accepted.
+    """
     learned = docs.where(toxicity.fold(F.col("doc_id"), 3) != 1).select("doc_id", "lang", "text")
     folder = langid.train(learned)
     return langid.keep_known(docs, folder, langid.calibrate(learned, folder) if folder else None)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest doc_id; of repeated rows one.
+    """Of each group of similar documents the one with the smallest doc_id (null last); of repeated rows one.
 
-    Rows without a doc_id can't be named by a group and stay.
+    Rows are told by id and text: another text under a dropped document's id stays, and so do texts without words.
     """
-    groups = jaccard.similar_groups(docs)
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").withColumn("__text", F.xxhash64("text"))
-    repeats = Window.partitionBy("doc_id", "__text").orderBy("doc_id")
-    kept = kept.withColumn("__repeat", F.row_number().over(repeats))
-    return kept.where("doc_id IS NULL OR __repeat = 1").select(docs.columns)
+    return jaccard.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item and no passage of one."""
+    """Documents that hold no benchmark item and no passage of one. Null and empty texts stay."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents left with their place in sequences of 4096 tokens."""
+    """Pieces of the documents left with their place in sequences of 4096 tokens. Null texts are empty ones."""
     return packing.pack_documents(docs, tokens.default_path())
 
 
