@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -261,16 +262,32 @@ class AuditLog:
         return (lake.told(told) or {"rows": 0})["rows"]
 
     def log_schema_changes(
-        self, table_name: str, layer: str, schema_version: str, changes: dict[str, dict], *,
-        batch_id: str | None = None, at: datetime | None = None,
-    ) -> None:
-        """One row per kind of change, with its detail."""
-        at = at or datetime.now()
+        self, table_name: str, layer: str, columns: Sequence[str], *, start: Sequence[str], batch_id: str,
+        at: datetime | None = None,
+    ) -> str:
+        """Compare a batch's columns with the last stored set and log what changed, one row per kind; returns the version.
+
+        ``start``: the set of version 1.0, before any change. The rows of one table, one per change, reach the driver. A
+        batch that is logged again is compared with the set before it, and its rows have the same ids.
+        """
+        at, own = at or datetime.now(), (F.col("table_name") == table_name) & (F.col("layer") == layer)
+        found, version = list(start), 0
+        history = self.table("schema_history").where(own).dropDuplicates(["schema_id"])
+        for row in sorted(history.collect(), key=lambda r: (r["detected_at"], r["schema_id"])):
+            if row["batch_id"] == batch_id:  # as it was before this batch
+                break
+            names = json.loads(row["change_detail"])["columns"]
+            found = [*found, *names] if row["change_type"] == "COLUMN_ADDED" else [c for c in found if c not in names]
+            version = int(row["schema_version"].rsplit(".", 1)[1])
+        changes = {"COLUMN_ADDED": sorted(set(columns) - set(found)), "COLUMN_REMOVED": sorted(set(found) - set(columns))}
+        version = f"1.{version + any(changes.values())}"
         self.log("schema_history", [
-            {"schema_id": int(at.timestamp() * 1000), "table_name": table_name, "layer": layer, "batch_id": batch_id,
-             "schema_version": schema_version, "change_type": kind, "change_detail": detail}
-            for kind, detail in changes.items()
+            {"schema_id": int(hashlib.md5(f"{table_name}|{layer}|{batch_id}|{kind}".encode()).hexdigest()[:15], 16),
+             "table_name": table_name, "layer": layer, "batch_id": batch_id,
+             "schema_version": version, "change_type": kind, "change_detail": {"columns": names}}
+            for kind, names in changes.items() if names
         ], at)
+        return version
 
     @contextmanager
     def run(self, execution_id: str, pipeline_name: str, **batches: str) -> Iterator[dict]:

@@ -84,7 +84,7 @@ def counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
 def ingest(
     spark: SparkSession,
     contract: FeedContract,
-    source: str,
+    source: str | list[str],
     bronze_path: str,
     *,
     batch_id: str,
@@ -93,7 +93,7 @@ def ingest(
     min_hot_rows: int = MIN_HOT_ROWS,
     audit: AuditLog | None = None,
 ) -> BronzeStats:
-    """Ingest one landing path as one batch. Running it again replaces the batch.
+    """Ingest one landing path, or some files, as one batch. Running it again replaces the batch.
 
     The landing files are read once, into a staging table next to the bronze table; line numbers and duplicates then
     need several passes over few columns of that. Whether content came before is asked of the hash index beside the
@@ -112,7 +112,7 @@ def ingest(
 
 
 def _ingest(
-    spark: SparkSession, contract: FeedContract, source: str, bronze_path: str, *,
+    spark: SparkSession, contract: FeedContract, source: str | list[str], bronze_path: str, *,
     batch_id: str, as_of: date, ingested_at: datetime | None, min_hot_rows: int,
 ) -> tuple[BronzeStats, DataFrame]:
     started = datetime.now()
@@ -139,7 +139,7 @@ def _ingest(
         landed,
         contract,
         batch_id=batch_id,
-        source_file=source,
+        source_file=str(source),
         as_of=as_of,
         ingested_at=ingested_at,
         history=seen,
@@ -171,18 +171,15 @@ def _ingest(
 
 
 def _log(
-    audit: AuditLog, contract: FeedContract, source: str, batch_id: str, stats: BronzeStats, stored: DataFrame
+    audit: AuditLog, contract: FeedContract, source: str | list[str], batch_id: str, stats: BronzeStats, stored: DataFrame
 ) -> None:
     changes = stats.schema_changes
     audit.log("bronze_batch_log", [{
-        "batch_id": batch_id, "table_name": contract.name, "source_file_path": source,
+        "batch_id": batch_id, "table_name": contract.name, "source_file_path": source if isinstance(source, str) else ",".join(source),
         **{c: getattr(stats, c) for c in ("records_total", "records_with_errors", "records_duplicate", "data_quality_score")},
         "processing_duration_seconds": stats.duration_seconds, "schema_version": contract.version,
         "schema_changes_detected": bool(changes.get("has_changes")), "schema_changes_detail": changes, "write_mode": "append",
     }])
     audit.log_issues(batch_id, "bronze", contract.name, issues_from_bronze(stored, contract.key))
-    found = {"COLUMN_ADDED": changes["new_columns"], "COLUMN_REMOVED": changes["missing_columns"]}
-    audit.log_schema_changes(
-        contract.name, "bronze", contract.version,
-        {kind: {"columns": columns} for kind, columns in found.items() if columns}, batch_id=batch_id,
-    )
+    columns = [c for c in contract.columns if c not in changes["missing_columns"]] + changes["new_columns"]
+    audit.log_schema_changes(contract.name, "bronze", columns, start=contract.columns, batch_id=batch_id)

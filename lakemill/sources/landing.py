@@ -24,7 +24,7 @@ class Header:
     files: tuple[str, ...] | None
 
 
-def first_lines(spark: SparkSession, path: str) -> DataFrame:
+def first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file and its first line; files without any line are left out. One pass over the bytes, one row per file."""
     lines = spark.read.text(path).select(
         F.col("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
@@ -33,7 +33,7 @@ def first_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
 
 
-def headers(spark: SparkSession, path: str) -> list[Header]:
+def headers(spark: SparkSession, path: str | list[str]) -> list[Header]:
     """The different headers of a path. A path of one file is not scanned; of many, names and first lines reach the driver."""
     reader = spark.read.option("header", True)
     if len(spark.read.text(path).inputFiles()) < 2:
@@ -48,8 +48,8 @@ def headers(spark: SparkSession, path: str) -> list[Header]:
     return [Header(tuple(reader.csv(min(names)).columns), tuple(sorted(names))) for _, names in sorted(files.items())]
 
 
-def read_landing(spark: SparkSession, path: str, *, files: bool = False) -> tuple[DataFrame, list[Header]]:
-    """All rows of a path, every column as text, empty fields as null, and the headers found.
+def read_landing(spark: SparkSession, path: str | list[str], *, files: bool = False) -> tuple[DataFrame, list[Header]]:
+    """All rows of a path (or several), every column as text, empty fields as null, and the headers found.
 
     Each group of files with the same header is one scan under its own columns; rows are then put together by column name,
     so a file with columns in another order, with more or with fewer of them shifts nothing. ``files``: keep the file of
@@ -67,7 +67,7 @@ def read_landing(spark: SparkSession, path: str, *, files: bool = False) -> tupl
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), scans), found
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The rows of ``read_landing``."""
     return read_landing(spark, path)[0]
 

@@ -7,7 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.functions import sql
 from lakemill.operators import audit
+from lakemill.operators.schema_history import columns_after, schema_changes
 from workloads import derive, duck
 from workloads.shape import Checks, plain
 
@@ -119,3 +121,56 @@ def batch_summary(spark, sf_dir):
         "status", F.col("records_total").alias("records_inserted"),
     )
     return audit.batch_summary(bronze, silver, gold)
+
+
+# One batch per year; its columns depend on its number of orders.
+SETS = """
+SELECT 'b-' || cast(year(o_orderdate) AS string) AS batch_id, cast(make_date(year(o_orderdate), 12, 31) AS timestamp) AS detected_at, count(*) AS n
+FROM {orders} GROUP BY year(o_orderdate)"""
+START = ("id", "total", "paid")
+
+
+def _sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n")
+    names = F.array(F.lit("id"), F.when(n % 2 == 0, "total"), F.when(n % 3 != 0, "channel"), F.when(n % 5 < 3, "paid"))
+    rows = derive.run(spark, sf_dir, SETS).withColumns({"table_name": F.lit("orders"), "layer": F.lit("bronze")})
+    return rows.withColumn("columns", F.array_compact(names)).drop("n")
+
+
+VERSIONS = {
+    "t": derive.duck(SETS).replace("cast(make_date(year(o_orderdate), 12, 31) AS timestamp)", "year(o_orderdate)"),
+    "s": """SELECT batch_id, list_filter(['id', CASE WHEN n % 2 = 0 THEN 'total' END, CASE WHEN n % 3 <> 0 THEN 'channel' END,
+        CASE WHEN n % 5 < 3 THEN 'paid' END], lambda c: c IS NOT NULL) AS found FROM t""",
+    "p": "SELECT *, coalesce(lag(found) OVER (ORDER BY batch_id), ['id', 'total', 'paid']) AS earlier FROM s",
+    "d": """SELECT *, list_sort(list_filter(found, lambda c: NOT list_contains(earlier, c))) AS more,
+        list_sort(list_filter(earlier, lambda c: NOT list_contains(found, c))) AS less FROM p""",
+    "v": "SELECT *, '1.' || cast(sum(CASE WHEN len(more) + len(less) > 0 THEN 1 ELSE 0 END) OVER (ORDER BY batch_id) AS varchar) AS version FROM d",
+}
+
+
+@query("schema_history", duck.cte(**VERSIONS) + """
+SELECT batch_id, version AS schema_version, 'COLUMN_ADDED' AS change_type, array_to_string(more, ',') AS columns,
+    array_to_string(list_sort(found), ',') AS columns_after FROM v WHERE len(more) > 0
+UNION ALL SELECT batch_id, version, 'COLUMN_REMOVED', array_to_string(less, ','), array_to_string(list_sort(found), ',') FROM v WHERE len(less) > 0""")
+def schema_history(spark, sf_dir):
+    """Changes of the column set by batch, with the set as replayed from the changes."""
+    sets = _sets(spark, sf_dir)
+    changes = schema_changes(sets, START)
+    after = columns_after(changes, sets.drop("columns"), START).withColumnRenamed("columns", "after")
+    joined = changes.join(after.select("batch_id", "after"), "batch_id")
+    return joined.select(
+        "batch_id", "schema_version", "change_type", F.array_join("columns", ",").alias("columns"),
+        F.array_join("after", ",").alias("columns_after"),
+    )
+
+
+@query("quality_trend_sql", duck.cte(b=derive.duck(BRONZE_LOG)) + f"""
+SELECT {duck.day_text('ingestion_date')} AS ingestion_date, records_total, cast(records_with_errors AS bigint) AS records_with_errors,
+    cast(data_quality_score AS double) AS data_quality_score, cast(processing_duration_seconds AS double) AS processing_duration_seconds
+FROM b WHERE table_name = 'orders' AND ingestion_date >= DATE '2001-08-01' - INTERVAL 365 DAY""")
+def quality_trend_sql(spark, sf_dir):
+    """``quality_trend`` as a SQL table function with bound parameters."""
+    _log(spark, sf_dir).createOrReplaceTempView("trend_log")
+    sql.register(spark, views={"bronze_batch_log": "trend_log"})
+    found = spark.sql("SELECT * FROM lake_quality_trend(:name, :as_of, :days)", {"name": "orders", "as_of": AS_OF, "days": 365})
+    return plain(found)

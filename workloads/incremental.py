@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.contracts import CUSTOMERS
 from lakemill.contracts import ORDERS as CONTRACT
 from lakemill.operators.audit import AuditLog
 from lakemill.plans.bronze import ingest
 from lakemill.plans.silver import SILVER, refine
 from lakemill.sources import lake
 from lakemill.sources.compaction import compact, silver_rows
-from workloads import derive, duck, orders
+from lakemill.streaming.incremental import refine_available
+from lakemill.streaming.landing import ingest_available
+from workloads import customers, derive, duck, orders
 from workloads.shape import AS_OF, Checks, plain
 
 CHECKS = Checks()
@@ -138,3 +141,47 @@ def audit_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         "batch", "total", "with_errors", "silver_batch", "read", "filtered", "written", "issues", "added_columns", "status"
     )
+
+
+# Orders of even years arrive first; then those of odd years, with finished orders of even years once more.
+@query("bronze_stream", duck.cte(
+    o=FEED,
+    r=f"SELECT *, {orders.HASH} AS hash FROM o",
+    a="""SELECT *, 0 AS turn FROM r WHERE batch_no % 2 = 0
+        UNION ALL SELECT *, 1 FROM r WHERE batch_no % 2 = 1 OR status = 'F'""",
+) + """
+SELECT order_id, customer_id, order_date, total_amount, cast(turn AS bigint) AS turn,
+    turn = 1 AND hash IN (SELECT hash FROM a WHERE turn = 0) AS is_duplicate
+FROM a""")
+def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files as they arrive, by a stream that is run after each arrival and once more."""
+    root = derive.new_folder(spark, "stream")
+    feed = orders.messy(spark, sf_dir)
+    even = F.col("batch_no") % 2 == 0
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    for arrived in (even, ~even | (F.col("status") == "F")):
+        feed.filter(arrived).select(*CONTRACT.columns).write.options(**options).mode("append").csv(f"{root}/landing")
+        ingest_available(spark, CONTRACT, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", as_of=AS_OF).awaitTermination()
+    ingest_available(spark, CONTRACT, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", as_of=AS_OF).awaitTermination()
+    rows = lake.read_table(spark, f"{root}/bronze", CONTRACT.bronze_schema)
+    turn = F.substring_index(lake.BATCH, "-", -1).cast("bigint")
+    return rows.select("order_id", "customer_id", "order_date", "total_amount", turn.alias("turn"), F.col("_dq_is_duplicate").alias("is_duplicate"))
+
+
+@query("customers_end_to_end", duck.cte(c=customers.BASE, f=f"SELECT k, {', '.join(f"nullif({c}, '') AS {c}" for c in CUSTOMERS.columns)} FROM c",
+    v=f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY k % 2 DESC) AS n FROM f WHERE {customers.VALID}) WHERE n = 1""",
+    s=customers.CLEAN.replace("SOURCE", "v"),
+) + f"SELECT customer_id, {customers.CLEAN_OUT}, CASE WHEN k % 2 = 0 THEN 'b0' ELSE 'b1' END AS source_batch FROM s", optional=["is_active"])
+def customers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers from two landing paths to a silver table by day, as a stream over the bronze batches."""
+    root = derive.new_folder(spark, "customers")
+    feed = customers.messy(spark, sf_dir)
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    for number in range(2):
+        feed.filter(F.col("k") % 2 == number).select(*CUSTOMERS.columns).write.options(**options).csv(f"{root}/landing/{number}")
+        ingest(spark, CUSTOMERS, f"{root}/landing/{number}", f"{root}/bronze", batch_id=f"b{number}", as_of=AS_OF)
+        refine_available(spark, "customers", f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", as_of=AS_OF).awaitTermination()
+    rows = lake.read_table(spark, f"{root}/silver")
+    shown = ("customer_id", "first_name", "last_name", "email", "email_valid", "phone", "registration_date", "registration_date_parsed",
+             "customer_segment", "is_active", "lifetime_value")
+    return plain(rows.select(*shown, F.col("_silver_source_batch_id").alias("source_batch")))

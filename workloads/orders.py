@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.contracts import ORDERS as CONTRACT
-from lakemill.functions import dates, numbers, text
+from lakemill.functions import dates, numbers, sql, text
 from lakemill.operators import enrich, quality, standardize
 from lakemill.operators.audit import categorise, issues_from_bronze
 from lakemill.operators.filters import ORDER_IDS, amount_mismatches, drop_invalid
@@ -132,6 +132,13 @@ def payment_standard(spark, sf_dir):
     return messy(spark, sf_dir).select("k", text.payment_method(F.col("payment_method")).alias("payment_method"))
 
 
+@query("payment_standard_sql", duck.cte(o=BASE) + f"SELECT k, {PAYMENT} AS payment_method FROM o")
+def payment_standard_sql(spark, sf_dir):
+    """``payment_standard`` as SQL with the registered function."""
+    sql.register(spark)
+    return spark.sql("SELECT k, lake_payment_method(payment_method) AS payment_method FROM {orders}", orders=messy(spark, sf_dir))
+
+
 @query("dq_orders", duck.cte(o=BASE) + duck.rules("o", "k", duck.ORDER_CHECKS))
 def dq_orders(spark, sf_dir):
     return quality.explode_codes(quality.apply_rules(messy(spark, sf_dir), CONTRACT.rules(AS_OF)), "k")
