@@ -35,6 +35,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from lakemill.llm.shared import stage
 from lakemill.llm.words import LOWER_AZ, WHITE, documents, mix, ranges, runs
 
+# Freed Arrow memory goes back to the system: workers live long, and their batches vary much in size.
+pa.set_memory_pool(pa.system_memory_pool())
+
 SHINGLE, PERCENT, ORDERS = 4, 85, 2  # ORDERS: a power of two
 #: Buckets of the corpus sketch, in rows of CHUNK; its size is fixed, so it may be broadcast.
 SKETCH, CHUNK = 1 << 21, 1 << 16
@@ -45,7 +48,7 @@ HELD_TOKENS, HELD_NODES = 1 << 17, 1 << 17
 #: A token in the prefixes of more nodes is frequent.
 FREQUENT = 8
 #: Prefix tokens that one part of the join holds, on average, and rows that reach a Python worker at once.
-PART_TOKENS, BATCH_ROWS = 1 << 20, 500
+PART_TOKENS, BATCH_ROWS = 1 << 20, 64
 
 
 def sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -400,7 +403,7 @@ def _pairs(own: DataFrame) -> DataFrame:
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Hand rows to Python workers in batches of BATCH_ROWS: whole texts and pairs of sets are large rows."""
+    """Hand rows to Python workers in batches of BATCH_ROWS: whole texts, blocks of tokens and pairs of sets are large rows."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     spark.conf.set(name, str(min(BATCH_ROWS, int(before))))
