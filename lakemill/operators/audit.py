@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
+from lakemill.functions.rules import Rule
 from lakemill.operators.dedup import newest_per_key
+from lakemill.operators.drift import source_columns
+from lakemill.operators.quality import apply_rules
 from lakemill.sources import lake
 
 # Schemas of the audit tables.
@@ -92,6 +95,26 @@ def issues_from_bronze(bronze: DataFrame, key: str) -> DataFrame:
     )
 
 
+def issues_from_rows(rows: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
+    """One row per violated rule of the rows as they landed, straight from the rules: no JSON is written or parsed."""
+    checked = apply_rules(rows, rules)
+    fields = source_columns(rows)
+    values = F.create_map(*[x for c in fields for x in (F.lit(c), F.col(c).cast("string"))])
+    found = checked.where((F.size("_dq_errors") > 0) | (F.size("_dq_warnings") > 0)).select(
+        F.col(key).alias("record_identifier"), values.alias("_values"), F.size("_dq_errors").alias("_errors"),
+        F.posexplode(F.concat("_dq_errors", "_dq_warnings")).alias("_pos", "code"),
+    )
+    field = F.substr(F.col("code"), F.instr("code", ":") + 1)
+    return found.select(
+        "record_identifier",
+        F.substring_index("code", ":", 1).alias("error_type"),
+        field.alias("error_field"),
+        F.col("code").alias("error_message"),
+        F.col("_values")[field].alias("error_value"),
+        F.when(F.col("_pos") < F.col("_errors"), "ERROR").otherwise("WARNING").alias("severity"),
+    )
+
+
 def categorise(issues: DataFrame) -> DataFrame:
     """Add ``error_category`` from the start of the error type."""
     kind = F.col("error_type")

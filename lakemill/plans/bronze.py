@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.contracts import FeedContract
-from lakemill.operators.audit import AuditLog, issues_from_bronze
+from lakemill.operators.audit import AuditLog, issues_from_rows
 from lakemill.operators.drift import conform
 from lakemill.operators.duplicates import HASH, mark_duplicates, with_landing_hash
 from lakemill.operators.line_numbers import number_positions, with_positions
@@ -103,18 +103,18 @@ def ingest(
     """
     options = {"batch_id": batch_id, "as_of": as_of, "ingested_at": ingested_at, "min_hot_rows": min_hot_rows}
     if audit is None:
-        return _ingest(spark, contract, source, bronze_path, **options)[0]
+        return _ingest(spark, contract, source, bronze_path, **options)
     with audit.run(f"bronze-{contract.name}-{batch_id}", f"ingest_{contract.name}", bronze_batch_id=batch_id) as outcome:
-        stats, stored = _ingest(spark, contract, source, bronze_path, **options)
-        _log(audit, contract, source, batch_id, stats, stored)
+        stats = _ingest(spark, contract, source, bronze_path, audit=audit, **options)
+        _log(audit, contract, source, batch_id, stats)
         outcome["records_processed"] = stats.records_total
     return stats
 
 
 def _ingest(
     spark: SparkSession, contract: FeedContract, source: str | list[str], bronze_path: str, *,
-    batch_id: str, as_of: date, ingested_at: datetime | None, min_hot_rows: int,
-) -> tuple[BronzeStats, DataFrame]:
+    batch_id: str, as_of: date, ingested_at: datetime | None, min_hot_rows: int, audit: AuditLog | None = None,
+) -> BronzeStats:
     started = datetime.now()
     history = lake.existing_table(spark, bronze_path, contract.bronze_schema)
     index = HashIndex(spark, f"{bronze_path.rstrip('/')}_hashes")
@@ -147,6 +147,9 @@ def _ingest(
         min_hot_rows=min_hot_rows,
     ))
     lake.write_bronze_batch(rows, bronze_path)
+    if audit is not None:  # from the staged rows, which are still there
+        issues = issues_from_rows(landed.select(*contract.columns), contract.key, contract.rules(as_of))
+        audit.log_issues(batch_id, "bronze", contract.name, issues)
     lake.drop_folder(spark, staging)
     table = lake.read_table(spark, bronze_path, contract.bronze_schema)
     stored = lake.one_batch(table, batch_id)
@@ -167,11 +170,11 @@ def _ingest(
         records_per_second=total / seconds if seconds > 0 else 0.0,
         schema_changes=changes,
     )
-    return stats, stored
+    return stats
 
 
 def _log(
-    audit: AuditLog, contract: FeedContract, source: str | list[str], batch_id: str, stats: BronzeStats, stored: DataFrame
+    audit: AuditLog, contract: FeedContract, source: str | list[str], batch_id: str, stats: BronzeStats
 ) -> None:
     changes = stats.schema_changes
     audit.log("bronze_batch_log", [{
@@ -180,6 +183,5 @@ def _log(
         "processing_duration_seconds": stats.duration_seconds, "schema_version": contract.version,
         "schema_changes_detected": bool(changes.get("has_changes")), "schema_changes_detail": changes, "write_mode": "append",
     }])
-    audit.log_issues(batch_id, "bronze", contract.name, issues_from_bronze(stored, contract.key))
     columns = [c for c in contract.columns if c not in changes["missing_columns"]] + changes["new_columns"]
     audit.log_schema_changes(contract.name, "bronze", columns, start=contract.columns, batch_id=batch_id)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +78,43 @@ def events_by_type(events: DataFrame) -> DataFrame:
     """Events per type, most frequent first."""
     named = events.groupBy(F.coalesce("event_type", F.lit("unknown")).alias("event_type"))
     return named.agg(F.count(F.lit(1)).alias("events")).orderBy(F.desc("events"), "event_type")
+
+
+# Fields of an event that should be numbers, and their types.
+NUMBERS = {
+    "price": ("$.product.price", "decimal(12,2)"), "cart_price": ("$.cart_action.price", "decimal(12,2)"),
+    "quantity": ("$.cart_action.quantity", "int"), "results_count": ("$.results_count", "int"),
+    "order_total": ("$.order.total_amount", "decimal(12,2)"), "order_items": ("$.order.items_count", "int"),
+}
+
+
+def parse_mixed(lines: DataFrame, column: str = "value", numbers: Mapping[str, tuple[str, str]] = NUMBERS) -> DataFrame:
+    """Events whose numbers come in mixed JSON types, with their values kept.
+
+    A number in quotes is read as that number, also with a currency sign, thousands commas or blanks; an array of one
+    value as that value. ``mixed_types`` lists ``field:TYPE`` of what was no plain number, and ``unread`` keeps, as JSON
+    text by field, what still is none: other texts, longer arrays, objects. A line that is no JSON has a null event_id,
+    no numbers, and is kept in ``_corrupt_record``.
+    """
+    events = lines.select(F.col(column).alias("_line"), F.try_parse_json(F.col(column)).alias("_event"))
+    found = {name: F.try_variant_get("_event", path, "variant") for name, (path, _) in numbers.items()}
+    events = events.withColumns({f"_v_{name}": value for name, value in found.items()})
+    values, flags, kept = {}, [], []
+    for name, (_, kind) in numbers.items():
+        given = F.col(f"_v_{name}")
+        shape = F.schema_of_variant(given)
+        array = shape.startswith("ARRAY") & F.try_variant_get(given, "$[1]", "variant").isNull()
+        inner = F.when(array, F.try_variant_get(given, "$[0]", "string")).otherwise(F.try_variant_get(given, "$", "string"))
+        value = F.regexp_replace(inner, r"[$,\s]", "").try_cast(kind)
+        values[name] = value
+        plain = shape.rlike("^(BIGINT|DECIMAL|DOUBLE|VOID)")
+        flags.append(F.when(~plain, F.concat(F.lit(f"{name}:"), F.regexp_extract(shape, "^[A-Z]+", 0))))
+        kept.append(F.when(~plain & value.isNull(), F.struct(F.lit(name).alias("key"), F.to_json(given).alias("value"))))
+    return events.select(
+        F.try_variant_get("_event", "$.event_id", "string").alias("event_id"),
+        F.try_variant_get("_event", "$.event_type", "string").alias("event_type"),
+        *[value.alias(name) for name, value in values.items()],
+        F.array_compact(F.array(*flags)).alias("mixed_types"),
+        F.map_from_entries(F.array_compact(F.array(*kept))).alias("unread"),
+        F.when(F.col("_event").isNull(), F.col("_line")).alias("_corrupt_record"),
+    )

@@ -428,3 +428,34 @@ FROM s""")
 def inventory_summary(spark, sf_dir):
     warehouses = derive.load(spark, sf_dir, "supplier")
     return plain(inventory.sheet_summary(_stock(spark, sf_dir), warehouses, _sizes(spark, sf_dir)))
+
+
+# Events whose numbers come as numbers, in quotes, with a sign, in arrays, and as words; some lines are no JSON.
+MIXED = f"""SELECT event_id AS id, event_type, {money("cast(round(value * 100) AS bigint)")} AS amount, 1 + event_id % 9 AS count FROM {{events}}"""
+MIXED_LINES = """SELECT CASE WHEN id % 31 = 5 THEN '{"event_id": "ev-' || cast(id AS string) ELSE
+    '{"event_id": "ev-' || cast(id AS string) || '", "event_type": "' || event_type || '", "order": {"total_amount": ' ||
+    CASE id % 6 WHEN 0 THEN amount WHEN 1 THEN '"' || amount || '"' WHEN 2 THEN '"$ ' || amount || '"' WHEN 3 THEN '[' || amount || ']'
+        WHEN 4 THEN '[' || amount || ', 1]' ELSE '"free"' END ||
+    ', "items_count": ' || CASE id % 4 WHEN 0 THEN cast(count AS string) WHEN 1 THEN '"' || cast(count AS string) || '"'
+        WHEN 2 THEN '["' || cast(count AS string) || '"]' ELSE 'null' END || '}}' END AS value FROM e"""
+
+
+@query("events_mixed", duck.cte(e=derive.duck(MIXED)) + """
+SELECT CASE WHEN id % 31 <> 5 THEN 'ev-' || cast(id AS string) END AS event_id,
+    CASE WHEN id % 31 <> 5 AND id % 6 < 4 THEN cast(amount AS decimal(12,2)) END AS order_total,
+    cast(CASE WHEN id % 31 <> 5 AND id % 4 < 3 THEN count END AS double) AS order_items,
+    CASE WHEN id % 31 = 5 THEN '' ELSE array_to_string(list_filter([
+        CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'order_total:STRING' WHEN 2 THEN 'order_total:STRING' WHEN 5 THEN 'order_total:STRING' ELSE 'order_total:ARRAY' END,
+        CASE id % 4 WHEN 1 THEN 'order_items:STRING' WHEN 2 THEN 'order_items:ARRAY' END], lambda x: x IS NOT NULL), ',') END AS mixed_types,
+    CASE WHEN id % 31 = 5 THEN NULL WHEN id % 6 = 5 THEN '"free"' WHEN id % 6 = 4 THEN '[' || rtrim(rtrim(amount, '0'), '.') || ',1]' END AS unread_total,
+    id % 31 = 5 AS corrupt
+FROM e""")
+def events_mixed(spark, sf_dir):
+    lines = derive.landed(spark, sf_dir, "mixed", lambda s, d: s.sql(
+        MIXED_LINES.replace("{", "{{").replace("}", "}}").replace("FROM e", "FROM {e}"), e=derive.run(s, d, MIXED, spread=True)))
+    events = clickstream.parse_mixed(lines)
+    return events.select(
+        "event_id", "order_total", F.col("order_items").cast("double").alias("order_items"),
+        F.array_join("mixed_types", ",").alias("mixed_types"), F.col("unread")["order_total"].alias("unread_total"),
+        F.col("_corrupt_record").isNotNull().alias("corrupt"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakemill.contracts import ORDERS as CONTRACT
 from lakemill.functions import dates, numbers, sql, text
 from lakemill.operators import enrich, quality, standardize
-from lakemill.operators.audit import categorise, issues_from_bronze
+from lakemill.operators.audit import categorise, issues_from_rows
 from lakemill.operators.filters import ORDER_IDS, amount_mismatches, drop_invalid
 from lakemill.plans.bronze import bronze_rows, located_rows
 from lakemill.plans.silver import ORDER_COLUMNS, silver_orders, stage_counts
@@ -53,6 +53,20 @@ def orders_dates(spark, sf_dir):
     )
 
 
+# Seconds with parts of a second, down to microseconds.
+FINE = "CASE WHEN k % 5 = 0 THEN order_date || '.' || lpad(cast(k * 7919 % 1000000 AS string), 6, '0') WHEN k % 5 = 3 THEN order_date || '.' || lpad(cast(k % 1000 AS string), 3, '0') ELSE order_date END"
+
+
+@query("orders_dates_fine", duck.cte(o=BASE, f=f"SELECT k, {FINE} AS t FROM o") + """
+SELECT k, strftime(coalesce(try_strptime(t, '%Y-%m-%d %H:%M:%S.%f'), try_strptime(t, '%Y-%m-%dT%H:%M:%S.%g')), '%Y-%m-%d %H:%M:%S.%f') AS parsed
+FROM f WHERE k % 5 IN (0, 3) AND t LIKE '____-%'""")
+def orders_dates_fine(spark, sf_dir):
+    """Parts of a second survive parsing, in formats that have them."""
+    rows = messy(spark, sf_dir).withColumn("t", F.expr(FINE)).where("k % 5 IN (0, 3) AND t LIKE '____-%'")
+    parsed = dates.parse_timestamp(F.col("t"), ["yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSS"])
+    return rows.select("k", F.date_format(parsed, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("parsed"))
+
+
 @query("orders_dates_sql", duck.cte(o=BASE) + f"""
 SELECT k, {duck.time_text(duck.month_first('order_date'))} AS order_date_ts FROM o""")
 def orders_dates_sql(spark, sf_dir):
@@ -229,9 +243,8 @@ def counts(spark, sf_dir):
 
 
 def _issues(spark, sf_dir):
-    rows = bronze(spark, sf_dir)
-    raw = rows.withColumn("_bronze_raw_record", F.to_json(F.struct(*CONTRACT.columns)))
-    return categorise(issues_from_bronze(raw, "order_id"))
+    rows = messy(spark, sf_dir).select(*CONTRACT.columns)
+    return categorise(issues_from_rows(rows, "order_id", CONTRACT.rules(AS_OF)))
 
 
 ISSUES = {
