@@ -442,7 +442,7 @@ MIXED_LINES = """SELECT CASE WHEN id % 31 = 5 THEN '{"event_id": "ev-' || cast(i
 
 @query("events_mixed", duck.cte(e=derive.duck(MIXED)) + """
 SELECT CASE WHEN id % 31 <> 5 THEN 'ev-' || cast(id AS string) END AS event_id,
-    CASE WHEN id % 31 <> 5 AND id % 6 < 4 THEN cast(amount AS decimal(12,2)) END AS order_total,
+    CASE WHEN id % 31 <> 5 AND id % 6 < 4 THEN cast(cast(amount AS decimal(12,2)) AS varchar) END AS order_total,
     cast(CASE WHEN id % 31 <> 5 AND id % 4 < 3 THEN count END AS double) AS order_items,
     CASE WHEN id % 31 = 5 THEN '' ELSE array_to_string(list_filter([
         CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'order_total:STRING' WHEN 2 THEN 'order_total:STRING' WHEN 5 THEN 'order_total:STRING' ELSE 'order_total:ARRAY' END,
@@ -455,7 +455,7 @@ def events_mixed(spark, sf_dir):
         MIXED_LINES.replace("{", "{{").replace("}", "}}").replace("FROM e", "FROM {e}"), e=derive.run(s, d, MIXED, spread=True)))
     events = clickstream.parse_mixed(lines)
     return events.select(
-        "event_id", "order_total", F.col("order_items").cast("double").alias("order_items"),
+        "event_id", F.col("order_total").cast("string").alias("order_total"), F.col("order_items").cast("double").alias("order_items"),
         F.array_join("mixed_types", ",").alias("mixed_types"), F.col("unread")["order_total"].alias("unread_total"),
         F.col("_corrupt_record").isNotNull().alias("corrupt"),
     )

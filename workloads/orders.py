@@ -9,7 +9,9 @@ from lakemill.contracts import ORDERS as CONTRACT
 from lakemill.functions import dates, numbers, sql, text
 from lakemill.operators import enrich, quality, standardize
 from lakemill.operators.audit import categorise, issues_from_rows
+from lakemill.operators.drift import drop_technical_columns
 from lakemill.operators.filters import ORDER_IDS, amount_mismatches, drop_invalid
+from lakemill.operators.line_numbers import number_positions, with_files, with_positions
 from lakemill.plans.bronze import bronze_rows, located_rows
 from lakemill.plans.silver import ORDER_COLUMNS, silver_orders, stage_counts
 from workloads import derive, duck
@@ -271,3 +273,21 @@ SELECT error_category, error_type, error_field, count(*) AS issues FROM g GROUP
 def issues_by_category(spark, sf_dir):
     grouped = _issues(spark, sf_dir).groupBy("error_category", "error_type", "error_field")
     return grouped.agg(F.count(F.lit(1)).alias("issues"))
+
+
+@query("line_order", duck.cte(o=BASE) + """
+SELECT k, cast(row_number() OVER (PARTITION BY batch_no ORDER BY k) AS bigint) AS line, 'batch_no=' || cast(batch_no AS string) AS folder FROM o""")
+def line_order(spark, sf_dir):
+    """Each line's number and file: one landing file per year, whose lines are in the order of the keys."""
+    root = derive.new_folder(spark, "lines")
+    rows = messy(spark, sf_dir).select("batch_no", "k").repartition("batch_no").sortWithinPartitions("batch_no", "k")
+    rows.write.partitionBy("batch_no").csv(f"{root}/landing")
+    scan = spark.read.schema("k bigint, batch_no int").csv(f"{root}/landing")
+    numbered = number_positions(with_positions(with_files(scan)), "line")
+    return numbered.select("k", "line", F.element_at(F.split("_file", "/"), -2).alias("folder"))
+
+
+@query("technical_dropped", duck.cte(o=BASE) + f"SELECT {', '.join(CONTRACT.columns)}, k, batch_no FROM o")
+def technical_dropped(spark, sf_dir):
+    """Bronze rows without what the layer added."""
+    return drop_technical_columns(bronze(spark, sf_dir))
