@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakemill.functions.numbers import percentage
-from lakemill.operators.skew import ROWS_PER_TASK, HotKeys, is_hot, ranked_by_range, reliable_checkpoint
+from lakemill.operators.skew import ROWS_PER_TASK, HotKeys, is_hot, ranked_by_range, stored_once
 
 
 def add_order_metrics(
@@ -23,7 +23,7 @@ def add_order_metrics(
     ranking = [total.desc(), F.col("item_id")]
     ordinary = items
     if hot:
-        items = reliable_checkpoint(items)
+        items = stored_once(items)
         ordinary = items.filter(~is_hot(order_id, hot))
     per_order = Window.partitionBy("order_id")
     # Ranked first: the sums then reuse that sort as well as the shuffle.

@@ -8,10 +8,11 @@ count asks for; everything else keeps the plain plan.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -107,24 +108,19 @@ def spread_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise on shared storage, so that a lost executor cannot change the rows."""
+def stored_once(df: DataFrame) -> DataFrame:
+    """Materialise on shared storage, so that a lost executor cannot change the rows. Goes when the driver ends."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; only a local session may fall back to its warehouse."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:  # only a local session may fall back to its warehouse
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    context.setCheckpointDir(shared)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    path = f"{root.rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ranked_by_range(
@@ -139,7 +135,7 @@ def ranked_by_range(
     """
     tasks = max(2, ceil(rows / rows_per_task))
     sorted_rows = df.repartitionByRange(tasks, F.col(key), *order).sortWithinPartitions(F.col(key), *order)
-    placed = reliable_checkpoint(with_positions(sorted_rows))
+    placed = stored_once(with_positions(sorted_rows))
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy("_part", key)
