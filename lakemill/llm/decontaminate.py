@@ -54,6 +54,17 @@ def seeds(row: np.ndarray, key: np.ndarray, mask: str) -> tuple[np.ndarray, np.n
     return mix(value[place] ^ np.uint64(int(mask, 2))), place
 
 
+def run_starts(value: np.ndarray, place: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Which seeds differ from the one a word before in the same text.
+
+    Where a text and an item both repeat their seed a word later, the later pair lies on the same lane as the earlier one.
+    So a pair is needed only if one of the two starts a run, and low-complexity texts give as many pairs as lanes.
+    """
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (place[1:] != place[:-1] + 1) | (row[place[1:]] != row[place[:-1]])
+    return new
+
+
 class Index:
     """Seeds of a block of items, sorted by hash, and a filter that most hashes don't pass."""
 
@@ -64,30 +75,35 @@ class Index:
         self.length = np.bincount(self.row, minlength=len(ids))
         self.begin = np.cumsum(self.length) - self.length
         short = {"1" * n for n in set(self.length.tolist()) if SHORTEST <= n < max(map(len, MASKS))}
-        self.masks, hashes, places = (*MASKS, *sorted(short)), [], []
+        self.masks, hashes, places, starts = (*MASKS, *sorted(short)), [], [], []
         for mask in self.masks:
             value, place = seeds(self.row, self.key, mask)
             size = self.length[self.row[place]]
             fits = size >= SHORTEST if mask in MASKS else size == len(mask)
             hashes.append(value[fits])
             places.append(place[fits])
-        value, place = np.concatenate(hashes), np.concatenate(places)
+            starts.append(run_starts(value[fits], place[fits], self.row))
+        value, place, start = np.concatenate(hashes), np.concatenate(places), np.concatenate(starts)
         order = np.argsort(value, kind="stable")
         self.value, self.place = value[order], place[order]
+        start = start[order]
+        self.start_value, self.start_place = self.value[start], self.place[start]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.value >> np.uint64(64 - FILTER_BITS)] = True
 
     def hits(self, row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in texts and items where windows are equal under some mask."""
+        """Places in texts and items where windows are equal under some mask, at least one pair of each lane that has any."""
         here, there = [], []
         for mask in self.masks:
             value, place = seeds(row, key, mask)
             maybe = np.flatnonzero(self.filter[value >> np.uint64(64 - FILTER_BITS)])
+            start = run_starts(value, place, row)[maybe]
             value, place = value[maybe], place[maybe]
-            low = np.searchsorted(self.value, value)
-            many = np.searchsorted(self.value, value, "right") - low
-            here.append(np.repeat(place, many))
-            there.append(self.place[ranges(low, many)])
+            for some, known, places in ((start, self.value, self.place), (~start, self.start_value, self.start_place)):
+                low = np.searchsorted(known, value[some])
+                many = np.searchsorted(known, value[some], "right") - low
+                here.append(np.repeat(place[some], many))
+                there.append(places[ranges(low, many)])
         return np.concatenate(here), np.concatenate(there)
 
     def overlaps(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int, int]]:

@@ -312,3 +312,25 @@ def test_margins_are_the_plain_sum_over_pairs():
     for k, terms in enumerate(texts):
         pairs = sum(float(factor[i] @ factor[j]) for n, i in enumerate(terms) for j in terms[n + 1 :])
         assert np.isclose(value[k], 0.3 + sum(weight[i] for i in terms) + pairs, atol=1e-4)
+
+
+def test_low_complexity_texts_give_as_many_pairs_as_lanes():
+    """Runs of equal words on both sides: every lane is hit, each only about once a mask."""
+    rng = random.Random(2)
+    for _ in range(30):
+        items = [" ".join(rng.choice(["x"] * 12 + ["x y"] * 6 + [f"w{k}" for k in range(6)]).split() * rng.randrange(1, 20)) for _ in range(3)]
+        items += [" ".join(rng.choices(["a", "a", "a", "b"], k=rng.randrange(5, 40)))]
+        index = decontaminate.Index(list(range(4)), items)
+        words = [w for _ in range(6) for w in rng.choice(["x", "x y", "a", "a b a", "w1 w2"]).split() * rng.randrange(1, 15)]
+        _, _, row, key = next(iter(decontaminate.documents(decontaminate.normalised(pa.array([" ".join(words)])), decontaminate.NOT_ALNUM)))
+        here, there = index.hits(row, key)
+        want = set()
+        for mask in index.masks:
+            own, own_place = decontaminate.seeds(row, key, mask)
+            value, place = decontaminate.seeds(index.row, index.key, mask)
+            fits = index.length[index.row[place]] >= 5 if mask in decontaminate.MASKS else index.length[index.row[place]] == len(mask)
+            want |= {(int(index.row[q]), int(p - q)) for v, p in zip(own, own_place) for u, q in zip(value[fits], place[fits]) if u == v}
+        assert {(int(index.row[q]), int(p - q)) for p, q in zip(here, there)} == want
+    index = decontaminate.Index([1], ["same " * 200])
+    _, _, row, key = next(iter(decontaminate.documents(decontaminate.normalised(pa.array(["same " * 8000])), decontaminate.NOT_ALNUM)))
+    assert len(index.hits(row, key)[0]) < 5 * (8000 + 200)
