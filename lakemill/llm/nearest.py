@@ -235,8 +235,6 @@ def measured_factor(
 ) -> float:
     """The first of falling factors, from ``factor`` on, with this recall on a sample of the queries; 1, which is exact, last."""
     names = queries.select("vec_id").distinct()
-    if names.count() <= sample:
-        return 1.0  # what the measurement would cost
     some = names.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
     blocks = write_blocks(stage(queries.join(F.broadcast(some), "vec_id"), "sample"), folder, prefix="sample")
     exact = stage(search_index(trees, blocks, folder, k, 1.0).select("query_id", "vec_id"), "exact")
