@@ -9,8 +9,8 @@ compared.
 
 Equal sets are one node, named by a 64-bit hash of the set, so copies cost nothing. Links are followed to components:
 first each token's nodes are compared with one of them, and what that joins needs no further comparison; then with
-another one for each token; at last all pairs that still lie in different components and pass the filters. No link
-between different components is left out. With d distinct sets, hashes join two by mistake with a chance of d^2 / 2^65.
+another one for each token; at last all pairs that still lie in different components and pass the filters, among them a
+bound from bit signatures of the whole sets. No link between different components is left out. With d distinct sets, hashes join two by mistake with a chance of d^2 / 2^65.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; texts of fewer than
 SHINGLE words have their whole sequence as one shingle; repeated rows belong to one component; rows with a null doc_id
@@ -47,6 +47,8 @@ BLOOM = 1 << 24
 HELD_TOKENS, HELD_NODES = 1 << 17, 1 << 17
 #: A token in the prefixes of more nodes is frequent.
 FREQUENT = 8
+#: 64-bit words of a set's signature: bit p tells whether an odd number of its shingles have p as their first 11 bits.
+SIGNATURE = 32
 #: Prefix tokens that one part of the join holds, on average, and rows that reach a Python worker at once.
 PART_TOKENS, BATCH_ROWS = 1 << 20, 64
 
@@ -75,6 +77,11 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
+def signature(shingles: np.ndarray) -> np.ndarray:
+    odd = np.bincount((shingles >> np.uint64(53)).astype(np.int64), minlength=64 * SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_length(size: int) -> int:
     return size - -(-PERCENT * size // 100) + 1
 
@@ -285,7 +292,7 @@ def sizes_allow(one: str, other: str, one_left: str, other_left: str) -> Column:
 def _needed(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits, seen = np.unpackbits(np.frombuffer(wanted.value, np.uint8)), set()
     for batch in batches:
-        nodes, data, size = [], [], 0
+        nodes, data, signs, size = [], [], [], 0
         for _, shingles in sets(batch.column(0)):
             node = node_of(shingles)
             if node in seen or not all(bits[p[0]] for p in bloom_places(np.array([node]))):
@@ -294,12 +301,18 @@ def _needed(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
                 seen.add(node)
             nodes.append(node)
             data.append(shingles.tobytes())
+            signs.append(signature(shingles))
             size += len(data[-1])
             if size > 4 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(data, pa.binary())], names=["node", "shingles"])
-                nodes, data, size = [], [], 0
+                yield _sets_batch(nodes, data, signs)
+                nodes, data, signs, size = [], [], [], 0
         if nodes:
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(data, pa.binary())], names=["node", "shingles"])
+            yield _sets_batch(nodes, data, signs)
+
+
+def _sets_batch(nodes: list[int], data: list[bytes], signs: list[np.ndarray]) -> pa.RecordBatch:
+    columns = [pa.array(nodes, pa.int64()), pa.array(data, pa.binary()), pa.array(signs, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["node", "shingles", "sign"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,9 +329,9 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of ``nodes``, made again from the texts; some others and copies may be among them."""
+    """(node, shingles, sign) of ``nodes``, made again from the texts; some others and copies may be among them."""
     wanted = rows.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
-    return stage(rows.select("text").mapInArrow(partial(_needed, wanted), "node long, shingles binary"), "sets")
+    return stage(rows.select("text").mapInArrow(partial(_needed, wanted), "node long, shingles binary, sign array<long>"), "sets")
 
 
 def _chosen(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,7 +346,7 @@ def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough. Only the sets of the pairs are shuffled."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     wanted = pairs.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
-    chosen = found.mapInArrow(partial(_chosen, wanted), "node long, shingles binary").dropDuplicates(["node"])
+    chosen = found.select("node", "shingles").mapInArrow(partial(_chosen, wanted), "node long, shingles binary").dropDuplicates(["node"])
     one = chosen.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
     other = chosen.select(F.col("node").alias("b"), F.col("shingles").alias("other"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other")
@@ -372,7 +385,7 @@ def link(rows: DataFrame, shared: DataFrame) -> DataFrame:
             mixed = placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
             open_rows = stage(placed.join(mixed.select("token"), "token", "left_semi"), "open")
         if step == "all pairs":
-            pairs = _pairs(open_rows)
+            pairs = _pairs(open_rows.join(found.select("node", "sign").dropDuplicates(["node"]), "node"))
         else:
             # the first step takes the same node for many tokens, the second another one for each
             by = F.col("node") if step == "one node" else F.xxhash64("node", "token")
@@ -395,10 +408,18 @@ def _with_pivots(own: DataFrame, by: Column) -> DataFrame:
 
 
 def _pairs(own: DataFrame) -> DataFrame:
-    """Pairs of each token's nodes in different components whose sizes allow a link."""
+    """Pairs of each token's nodes in different components that sizes and signatures allow to link.
+
+    Two sets differ in at least as many shingles as their signatures in bits, and linked ones in no more than
+    (100 - PERCENT) / (100 + PERCENT) of their summed sizes. The bound is part of the join's condition, so of a family
+    below the threshold only pairs close to it become rows.
+    """
     left = own.withColumnsRenamed({"node": "a", "comp": "x"})
-    right = own.withColumnsRenamed({"node": "b", "n": "m", "left": "rest", "comp": "y"})
-    return left.join(right, "token").where("a < b AND x <> y").where(sizes_allow("n", "m", "left", "rest")).select("a", "b")
+    right = own.withColumnsRenamed({"node": "b", "n": "m", "left": "rest", "comp": "y", "sign": "ngis"})
+    differ = " + ".join(f"bit_count(sign[{k}] ^ ngis[{k}])" for k in range(SIGNATURE))
+    near = F.expr(f"{100 + PERCENT} * ({differ}) <= {100 - PERCENT} * (n + m)")
+    joined = left.join(right, "token").where("a < b AND x <> y").where(sizes_allow("n", "m", "left", "rest")).where(near)
+    return joined.select("a", "b")
 
 
 @contextmanager

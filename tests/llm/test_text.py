@@ -334,3 +334,28 @@ def test_low_complexity_texts_give_as_many_pairs_as_lanes():
     index = decontaminate.Index([1], ["same " * 200])
     _, _, row, key = next(iter(decontaminate.documents(decontaminate.normalised(pa.array(["same " * 8000])), decontaminate.NOT_ALNUM)))
     assert len(index.hits(row, key)[0]) < 5 * (8000 + 200)
+
+
+def test_signatures_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 100, 1000, 5000):
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for changed in {0, 1, n // 10, n // 2, n}:
+            other = np.concatenate([base[changed:], rng.integers(0, 1 << 63, changed).astype(np.uint64)])
+            bits = np.unpackbits((jaccard.signature(np.unique(base)) ^ jaccard.signature(np.unique(other))).view(np.uint8)).sum()
+            assert bits <= len(np.setxor1d(base, other))
+
+
+def test_family_just_below_the_threshold(spark):
+    """400 texts of one family, 70 to 90 % alike in steps: links and components as by brute force."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(400):
+        own = list(base)
+        for at in rng.sample(range(0, 120, 4), rng.choice([1, 2, 3, 4, 6, 8])):
+            own[at] = f"x{k % 40}-{at}"
+        rows.append((k, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in jaccard.similar_groups(df).collect())
+    assert got == sorted(brute_components(rows))
