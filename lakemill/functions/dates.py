@@ -77,6 +77,7 @@ def day_name(c: Column) -> Column:
 
 
 def time_period(hour: Column) -> Column:
+    # Hours and words of the periods.
     return (
         F.when((hour >= 6) & (hour < 12), "Morning")
         .when((hour >= 12) & (hour < 17), "Afternoon")

@@ -10,6 +10,8 @@ from workloads import derive, duck
 from workloads.derive import money, pad, ymd
 from workloads.shape import Checks, plain
 
+# Fixed values in the texts below: names of elements and fields, and wordings of log lines, as the readers must find them.
+
 CHECKS = Checks()
 query = CHECKS.query
 
