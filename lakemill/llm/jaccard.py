@@ -47,8 +47,8 @@ BLOOM = 1 << 24
 HELD_TOKENS, HELD_NODES = 1 << 17, 1 << 17
 #: A token in the prefixes of more nodes is frequent.
 FREQUENT = 8
-#: 64-bit words of a set's signature: bit p tells whether an odd number of its shingles have p as their first 11 bits.
-SIGNATURE = 32
+#: 64-bit words of a set's signature: bit p tells whether an odd number of its shingles have p as their first 9 bits.
+SIGNATURE = 8
 #: Prefix tokens that one part of the join holds, on average, and rows that reach a Python worker at once.
 PART_TOKENS, BATCH_ROWS = 1 << 20, 64
 
@@ -78,7 +78,7 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    odd = np.bincount((shingles >> np.uint64(53)).astype(np.int64), minlength=64 * SIGNATURE) & 1
+    odd = np.bincount((shingles >> np.uint64(65 - (64 * SIGNATURE).bit_length())).astype(np.int64), minlength=64 * SIGNATURE) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
