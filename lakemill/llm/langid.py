@@ -44,15 +44,32 @@ NOT_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 #: Highest-order grams that a range of hashes holds at most on average; each range is written by a task and one file.
 RANGE_GRAMS = 1 << 18
 #: A rejected text costs GAP nats a letter more than its language's mean, and SLACK times the largest deviation.
-CALIBRATION, SLACK, GAP = 20_000, 1.5, 2.0
+SLACK, GAP = 1.5, 2.0
+#: Sharpnesses that are tried, the columns of their losses, and the letters up to which a longer text weighs more.
+STEPS = 2.0 ** np.arange(-3, 6)
+LOSSES = [f"loss{k}" for k in range(len(STEPS))]
+WEIGHED = 400.0
 CACHED_WORDS = 1_500_000
 HELD_GRAMS = 2_000_000
+#: Bytes of text that are worked on at a time, and grams of a batch that goes to Spark.
+PIECE, SENT_GRAMS = 1 << 20, 1 << 16
 
 
 def letters(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
 
 
+def pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, about PIECE bytes of text at a time: what is derived from texts takes many times their size."""
+    size = pc.binary_length(batch.column(text).cast(pa.large_string())).fill_null(0).to_numpy(zero_copy_only=False)
+    end, low = np.cumsum(size, dtype=np.int64), 0
+    while low < len(batch):
+        before = int(end[low - 1]) if low else 0
+        high = min(max(low + 1, int(np.searchsorted(end, before + PIECE, "right"))), low + 4096)
+        yield batch.slice(low, high - low)
+        low = min(high, len(batch))
+
+
 def gram_windows(found: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the grams that end at each letter or end mark of the words, and the word of each."""
     joined = (PAD * (order - 1)) + (END + PAD * (order - 1)).join(found) + END
@@ -89,14 +106,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> Iterator[pa.RecordBatch]:
         for lang in sorted(held):
             merge(lang)
-            _, window, count = held[lang][0]
-            grams = np.ascontiguousarray(window).view(f"<U{ORDER}").ravel().tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams)), pa.array(grams), pa.array(count)], names=["lang", "gram", "n"]
-            )
-        held.clear()
-
-    for batch in batches:
+            _, window, count = held.pop(lang)[0]
+            for low in range(0, len(count), SENT_GRAMS):
+                part = np.ascontiguousarray(window[low : low + SENT_GRAMS])
+                grams = part.view(f"<U{ORDER}").ravel().tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams)), pa.array(grams), pa.array(count[low : low + SENT_GRAMS])], names=["lang", "gram", "n"]
+                )
+
+    for batch in (piece for whole in batches for piece in pieces(whole, 1)):
         langs = batch.column(0).dictionary_encode()
         names, code = langs.dictionary.to_pylist(), langs.indices.to_numpy()
         for part in words(letters(batch.column(1)), NOT_LETTER, size=1 << 21):
@@ -328,7 +346,7 @@ class Calibration(NamedTuple):
 
 def deviation(entropy: np.ndarray, size: np.ndarray, mean: np.ndarray) -> np.ndarray:
     """How far texts lie above the mean, in units that short and long texts share."""
-    return (entropy - mean) * np.sqrt(np.minimum(size, 400))
+    return (entropy - mean) * np.sqrt(np.minimum(size, WEIGHED))
 
 
 def confidence(entropy: np.ndarray, size: np.ndarray, sharpness: float) -> np.ndarray:
@@ -338,36 +356,44 @@ def confidence(entropy: np.ndarray, size: np.ndarray, sharpness: float) -> np.nd
 
 
 def _measured(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    """Of each (lang, text) row with a letter: cross-entropy in its language, letters, and loss by sharpness."""
+    number = {lang: k for k, lang in enumerate(models(folder).langs)}
+    for batch in (piece for whole in batches for piece in pieces(whole, 1)):
         entropy, size = models(folder).entropies(batch.column(1))
-        lists = pa.array(list(entropy), pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(size)], names=["lang", "entropy", "size"])
+        heard = np.flatnonzero(size > 0)
+        langs, entropy, size = batch.column(0).take(pa.array(heard)), entropy[heard], size[heard]
+        at = np.arange(len(heard)), np.array([number[x] for x in langs.to_pylist()], np.int64)
+        losses = [-np.log(np.maximum(confidence(entropy, size, s)[at], 1e-12)) for s in STEPS]
+        yield pa.RecordBatch.from_arrays([langs, *map(pa.array, (entropy[at], size, *losses))], names=["lang", "own", "size", *LOSSES])
 
 
-def calibrate(rows: DataFrame, folder: str, most: int = CALIBRATION) -> Calibration | None:
-    """From at most ``most`` of the training rows (lang, text, doc_id), the smallest by hash; figures only reach the driver.
+def calibrate(rows: DataFrame, folder: str, most: int | None = None) -> Calibration | None:
+    """From all training rows (lang, text, doc_id) with a letter; None if there is none, then nothing can be told.
 
-    Of rows with one id the smallest is taken. None if no text of the sample has a letter; then nothing can be told.
+    Texts of one language and of as many letters (400 or more are alike) become one row of sums, so at most 400 rows a
+    language reach the driver. Repeated rows count as often as they come. ``most``: a caller may ask for no more ids than
+    that, the smallest by hash, and of each the smallest row; the queries take all.
     """
-    some = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    given = rows.join(F.broadcast(some.distinct()), "doc_id").where("lang IS NOT NULL")
-    given = given.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row")).select("row.lang", "row.text")
-    got = given.mapInArrow(partial(_measured, folder), "lang string, entropy array<double>, size double")
-    frame = got.where("size > 0").toPandas()
+    given = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", F.col("text").cast("string").alias("text"))
+    if most is not None:
+        some = given.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        given = given.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row")).select("row.*")
+    schema = ", ".join(["lang string", *(f"{x} double" for x in ("own", "size", *LOSSES))])
+    got = given.select("lang", "text").mapInArrow(partial(_measured, folder), schema)
+    frame = (
+        got.groupBy("lang", F.least("size", F.lit(WEIGHED)).alias("size"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("own").alias("total"), F.max("own").alias("most"), *(F.sum(x).alias(x) for x in LOSSES))
+        .orderBy("lang", "size")
+        .toPandas()
+    )
     if not len(frame):
         return None
-    langs = models(folder).langs
-    entropy, size = np.stack([np.asarray(x) for x in frame["entropy"]]), frame["size"].to_numpy()
-    truth = np.array([langs.index(x) for x in frame["lang"]])
-    own = entropy[np.arange(len(truth)), truth]
-    steps = 2.0 ** np.arange(-3, 6)
-    losses = [-np.log(np.maximum(confidence(entropy, size, s)[np.arange(len(truth)), truth], 1e-12)).mean() for s in steps]
-    mean = {x: float(own[truth == k].mean()) for k, x in enumerate(langs) if (truth == k).any()}
-    limit = {
-        x: SLACK * float(deviation(own[truth == k], size[truth == k], np.float64(mean[x])).max())
-        for k, x in enumerate(langs) if (truth == k).any()
-    }
-    return Calibration(float(steps[int(np.argmin(losses))]), mean, limit)
+    sharpness = float(STEPS[int(np.argmin(frame[LOSSES].to_numpy().sum(0)))])
+    mean, limit = {}, {}
+    for lang, cells in frame.groupby("lang"):
+        mean[lang] = float(cells["total"].sum() / cells["n"].sum())
+        limit[lang] = SLACK * float(deviation(cells["most"].to_numpy(), cells["size"].to_numpy(), np.float64(mean[lang])).max())
+    return Calibration(sharpness, mean, limit)
 
 
 def identify(texts: pa.Array, folder: str, calibration: Calibration) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -385,7 +411,7 @@ def identify(texts: pa.Array, folder: str, calibration: Calibration) -> tuple[np
 
 
 def _predicted(folder: str, calibration: Calibration, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in pieces(whole, 1)):
         lang, score, accepted = identify(batch.column(1), folder, calibration)
         columns = [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(accepted)]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "accepted"])
@@ -400,7 +426,7 @@ def predict(df: DataFrame, folder: str | None, calibration: Calibration | None)
 
 
 def _kept(folder: str, calibration: Calibration, text: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in pieces(whole, text)):
         yield batch.filter(pa.array(identify(batch.column(text), folder, calibration)[2]))
 
 

@@ -359,3 +359,35 @@ def test_family_just_below_the_threshold(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     got = sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in jaccard.similar_groups(df).collect())
     assert got == sorted(brute_components(rows))
+
+
+def test_calibration_takes_every_training_row(spark):
+    """Figures equal those of all rows, and the stage keeps a training text however many others come before it by hash."""
+    import corpus_pipeline
+
+    ids = spark.range(31_000).select(F.col("id").alias("doc_id"))
+    learned = ids.where(toxicity.fold(F.col("doc_id"), 3) != 1)
+    last = learned.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    rng = random.Random(5)
+    odd = " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for _ in range(60))
+    text = F.when(F.col("doc_id") == last, odd).when(F.col("doc_id") % 2 == 0, "the cat and the dog").otherwise("a dog")
+    docs = ids.withColumns({"lang": F.lit("en"), "text": text})
+    rows = docs.join(learned, "doc_id").select("doc_id", "lang", "text")
+    folder = langid.train(rows)
+    got = langid.calibrate(rows, folder)
+    number = {r["text"]: r["count"] for r in rows.groupBy("text").count().collect()}
+    assert number[odd] == 1 and sum(number.values()) > 20_000
+    entropy, size = langid.Models(folder).entropies(pa.array(list(number)))
+    mean = np.average(entropy[:, 0], weights=list(number.values()))
+    assert got.mean["en"] == pytest.approx(mean, rel=1e-9)
+    assert got.limit["en"] == pytest.approx(langid.SLACK * langid.deviation(entropy[:, 0], size, mean).max(), rel=1e-9)
+    assert corpus_pipeline.drop_unknown_language(spark, docs, SF).count() == 31_000
+
+
+def test_pieces_of_a_batch_hold_each_row_once(monkeypatch):
+    monkeypatch.setattr(langid, "PIECE", 10)
+    for texts in ([], [None], ["x" * 50], ["abcd", None, "", "x" * 30, "ab", "cd", "efghij", "é" * 5, ""]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["n", "text"])
+        found = list(langid.pieces(batch, 1))
+        assert [n for part in found for n in part.column(0).to_pylist()] == list(range(len(texts)))
+        assert all(sum(len((x or "").encode()) for x in part.column(1).to_pylist()) <= 10 or len(part) == 1 for part in found)
