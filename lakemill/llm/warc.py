@@ -16,6 +16,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,15 +57,17 @@ def record_uri(page_id: int | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, revisit: bool, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record."""
+def record(
+    page_id: int | None, url: str | None, payload: bytes, digest: str, revisit: bool, refers_to: int | None, size: int | None = None
+) -> bytes:
+    """One WARC/1.1 record. A revisit needs no payload, if its ``size`` is told."""
     head = {
         "WARC-Type": "revisit" if revisit else "response",
         "WARC-Record-ID": record_uri(page_id),
         "WARC-Date": DATE,
         **({"WARC-Target-URI": "".join(url.split())} if url else {}),
         "WARC-Payload-Digest": f"sha1:{digest}",
-        "Payload-Length": str(len(payload)),
+        "Payload-Length": str(len(payload) if size is None else size),
         "Content-Type": "text/html; charset=utf-8",
     }
     if revisit:
@@ -158,34 +161,37 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("__payload"),
     )
     rows = rows.withColumns({"__digest": F.sha1("__payload"), "__size": F.octet_length("__payload")})
-    rows = with_revisits(rows).select("page_id", "url", "__payload", "__digest", "is_revisit", "refers_to")
+    rows = with_revisits(rows)
+    kept = F.when(~F.col("is_revisit"), F.col("__payload")).alias("__payload")
+    rows = rows.select("page_id", "url", kept, "__size", "__digest", "is_revisit", "refers_to")
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+        for batch in batches:
+            for low in range(0, len(batch), 64):
+                for row in batch.slice(low, 64).to_pylist():
+                    digest = base64.b32encode(bytes.fromhex(row["__digest"])).decode()
+                    about = row["url"], row["__payload"] or b"", digest, row["is_revisit"], row["refers_to"], row["__size"]
+                    yield row["page_id"], record(row["page_id"], *about)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
-        ids: list[int | None] = []
-        waiting: list[bytes] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            name = f"part-{part:06d}-{number:06d}.warc.zst"
-            bundle = BundleWriter(list(waiting))
+        part, records = TaskContext.get().partitionId(), encoded(batches)
+        for number, head in enumerate(records):  # the first record of each bundle; frames are written as they fill
+            ids: list[int | None] = []
+
+            def taken(head: tuple[int | None, bytes] = head, ids: list[int | None] = ids) -> Iterator[bytes]:
+                size = 0
+                for page_id, data in chain([head], records):
+                    ids.append(page_id)
+                    size += len(data)
+                    yield data
+                    if size >= BUNDLE_BYTES:
+                        return
+
+            name, bundle = f"part-{part:06d}-{number:06d}.warc.zst", BundleWriter(taken())
             write_file(folder, name, bundle.chunks())
             frame, offset, length = (np.array(x, np.int64) for x in zip(*bundle.places, strict=True))
             columns = [pa.array(ids, pa.int64()), pa.array([name] * len(ids)), *map(pa.array, (frame, offset, length))]
-            return pa.RecordBatch.from_arrays(columns, names=["page_id", "bundle", "frame", "offset", "length"])
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                digest = base64.b32encode(bytes.fromhex(row["__digest"])).decode()
-                data = record(row["page_id"], row["url"], row["__payload"], digest, row["is_revisit"], row["refers_to"])
-                ids.append(row["page_id"])
-                waiting.append(data)
-                size += len(data)
-                if size >= BUNDLE_BYTES:
-                    yield flush()
-                    ids, waiting, size, number = [], [], 0, number + 1
-        if waiting:
-            yield flush()
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "bundle", "frame", "offset", "length"])
 
     kinds = "page_id long, bundle string, frame long, offset long, length long"
     return stage(rows.mapInArrow(written, kinds), "index")

@@ -146,3 +146,26 @@ def test_nearest_edges(spark):
     assert got == [(0, 1, 20, 2.0), (0, 2, 7, 0.5), (20, 1, 0, 2.0), (20, 2, 7, 1.0)]
     none = given.limit(0)
     assert nearest.nearest(none, none).collect() == []
+
+
+def test_a_bundle_is_written_as_its_rows_come(spark, tmp_path, monkeypatch):
+    """Rows that are revisits bring no payload to the writer, and no more than a frame of records is held."""
+    seen, record = [], warc.record
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 4000)
+    monkeypatch.setattr(warc, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    monkeypatch.setattr(warc, "record", lambda *a: seen.append((a[4], len(a[2]))) or record(*a))
+    monkeypatch.setattr(warc, "stage", lambda df, name: df)
+    taken = {}
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.mapInArrow", lambda self, f, kinds: taken.update(f=f, df=self) or self)
+    held = []
+    monkeypatch.setattr(warc, "write_file", lambda folder, name, chunks: held.append((name, len(seen), [(len(c), len(seen)) for c in chunks])))
+    monkeypatch.setattr(warc.BundleWriter.__init__, "__defaults__", (600,))
+    pages = spark.createDataFrame([(k, f"u{k}", "same" * 50 if k % 2 else f"page {k} " * 20) for k in range(40)], "page_id long, url string, html string")
+    warc.write_bundles(pages, str(tmp_path))
+    rows = taken["df"].toArrow().combine_chunks().to_batches()
+    index = [r for batch in taken["f"](iter(rows)) for r in batch.to_pylist()]
+    assert sorted(r["page_id"] for r in index) == list(range(40))
+    assert sum(1 for revisit, size in seen if revisit) == 19 and all(size == 0 for revisit, size in seen if revisit)
+    assert len(held) > 1 and all(before < 40 for _, before, _ in held[:1])
+    first = held[0][2]
+    assert first[0][1] < first[-1][1]  # the first frame is out before the bundle's last record is made
