@@ -3,14 +3,16 @@
 A text's set holds the distinct SHINGLE-word shingles of its words as 64-bit hashes. Two sets of at least 85 % Jaccard
 similarity must share a token among the first n - ceil(0.85 n) + 1 of each, under any order of the tokens that all texts
 agree on. Here there are ORDERS such orders, each by another hash, and in all of them tokens that a sketch of the whole
-corpus, or a first pass over the prefixes, shows to be frequent come last. Candidates share a prefix token in every
-order, and their sizes, and the tokens that come before the shared one, allow the similarity; only then are whole sets
-compared.
+corpus shows to be frequent come last; in the first order also those that a first pass over the prefixes shows to be.
+Nodes meet by the prefix tokens of the first order. Their sizes, the tokens that come before the shared one, a shared
+prefix token in every other order, and bit signatures of the whole sets must allow the similarity; only then are whole
+sets compared.
 
 Equal sets are one node, named by a 64-bit hash of the set, so copies cost nothing. Links are followed to components:
-first each token's nodes are compared with one of them, and what that joins needs no further comparison; then with
-another one for each token; at last all pairs that still lie in different components and pass the filters, among them a
-bound from bit signatures of the whole sets. No link between different components is left out. With d distinct sets, hashes join two by mistake with a chance of d^2 / 2^65.
+first each token's nodes are compared with the PIVOTS of them that share most, and what that joins needs no further
+comparison; then, as long as that joins more, with the next ones; at last all pairs that still lie in different
+components and pass the filters. No link between different components is left out. With d distinct sets, hashes join two by mistake with a
+chance of d^2 / 2^65.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; texts of fewer than
 SHINGLE words have their whole sequence as one shingle; repeated rows belong to one component; rows with a null doc_id
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakemill.llm.shared import stage
+from lakemill.llm.shared import own_cache, stage
 from lakemill.llm.words import LOWER_AZ, WHITE, documents, mix, ranges, runs
 
 # Freed Arrow memory goes back to the system: workers live long, and their batches vary much in size.
@@ -47,8 +49,11 @@ BLOOM = 1 << 24
 HELD_TOKENS, HELD_NODES = 1 << 17, 1 << 17
 #: A token in the prefixes of more nodes is frequent.
 FREQUENT = 8
-#: 64-bit words of a set's signature: bit p tells whether an odd number of its shingles have p as their first 9 bits.
-SIGNATURE = 8
+#: 64-bit words of a set's signature: bit p tells whether an odd number of its shingles have p as their first 9 bits (11
+#: in the fine one, which is only taken to pairs).
+SIGNATURE, FINE = 8, 32
+#: Rounds with PIVOTS nodes per token before all pairs are compared; they end early when links get rarer than one in RARER.
+ROUNDS, PIVOTS, RARER = 3, 4, 20
 #: Prefix tokens that one part of the join holds, on average, and rows that reach a Python worker at once.
 PART_TOKENS, BATCH_ROWS = 1 << 20, 64
 
@@ -77,8 +82,8 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    odd = np.bincount((shingles >> np.uint64(65 - (64 * SIGNATURE).bit_length())).astype(np.int64), minlength=64 * SIGNATURE) & 1
+def signature(shingles: np.ndarray, words: int = SIGNATURE) -> np.ndarray:
+    odd = np.bincount((shingles >> np.uint64(65 - (64 * words).bit_length())).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -111,6 +116,7 @@ def prefix(shingles: np.ndarray, classes: np.ndarray, frequent: np.ndarray | Non
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and node of each text; at the end the task's part of the sketch, counts up to 255 by bucket."""
+    own_cache("jaccard")
     sketch = np.zeros(SKETCH, np.int64)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
     for batch in batches:
@@ -151,31 +157,38 @@ def frequency_classes(sized: DataFrame) -> np.ndarray:
     return np.floor(np.log2(np.maximum(sketch / usual, 1))).astype(np.uint8)
 
 
-def _prefixes(classes: Broadcast, frequent: Broadcast | None, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Prefix tokens of all orders, in blocks by part: a block holds tokens, and node, size and place in the set of each."""
-    tokens: list[np.ndarray] = []
-    nodes: list[int] = []
-    sizes: list[int] = []
-    seen: set[int] = set()
+def _blocks(parts: int, held: list[tuple[int, int, np.ndarray]], counting: bool) -> pa.RecordBatch:
+    """Prefix tokens of some nodes, in blocks by part: tokens with the node of each and, unless they are only counted,
+    its size and the token's place in its order. For counting a part of the node's hash will do."""
+    node, size, tokens = (list(x) for x in zip(*held, strict=True))
+    many = np.array([len(x) for x in tokens])
+    token = np.concatenate(tokens)
+    part = (mix(token) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    node = np.repeat(np.array(node, np.int64), many)
+    columns = [token, node.astype(np.uint32) if counting else node]
+    if not counting:
+        place = ranges(np.zeros(len(many), np.int64), many).astype(np.int32)
+        columns += [np.repeat(np.array(size, np.int32), many), place]
+    part = part[order]
+    begin = runs(part)
+    end = np.append(begin[1:], len(part))
+    made = [pa.array(part[begin])]
+    for values in (x[order] for x in columns):
+        made.append(pa.array([values[a:b].tobytes() for a, b in zip(begin, end, strict=True)], pa.binary()))
+    return pa.RecordBatch.from_arrays(made, names=["part", *BLOCK[: len(columns)]])
+
 
-    def flush() -> pa.RecordBatch:
-        many = [len(x) for x in tokens]
-        token = np.concatenate(tokens)
-        node, size = np.repeat(np.array(nodes, np.int64), many), np.repeat(np.array(sizes, np.int32), many)
-        place = ranges(np.zeros(len(many), np.int64), np.array(many)).astype(np.int32)
-        part = (mix(token) % np.uint64(parts)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        token, node, size, place, part = (x[order] for x in (token, node, size, place, part))
-        begin = runs(part)
-        end = np.append(begin[1:], len(part))
-        columns = [pa.array(part[begin])]
-        for values in (token, node, size, place):
-            columns.append(pa.array([values[a:b].tobytes() for a, b in zip(begin, end, strict=True)], pa.binary()))
-        tokens.clear(), nodes.clear(), sizes.clear()
-        return pa.RecordBatch.from_arrays(columns, names=["part", "tokens", "nodes", "sizes", "places"])
+BLOCK = ("tokens", "nodes", "sizes", "places")
 
+
+def _prefixes(classes: Broadcast, frequent: Broadcast | None, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefix tokens of the first order, in blocks by part; without ``frequent`` only for counting."""
+    own_cache("jaccard")
+    held: list[tuple[int, int, np.ndarray]] = []
+    seen: set[int] = set()
     waiting = 0
-    last = None if frequent is None else np.unpackbits(np.frombuffer(frequent.value, np.uint8)).view(bool)
+    last = None if frequent is None else unpacked(frequent.value)
     for batch in batches:
         for _, shingles in sets(batch.column(0)):
             node = node_of(shingles)
@@ -183,73 +196,73 @@ def _prefixes(classes: Broadcast, frequent: Broadcast | None, parts: int, batche
                 continue
             if len(seen) < HELD_NODES:
                 seen.add(node)
-            for order in range(ORDERS):
-                own = prefix(shingles, classes.value, last, order)
-                tokens.append(own)
-                nodes.append(node)
-                sizes.append(len(shingles))
-                waiting += len(own)
+            held.append((node, len(shingles), prefix(shingles, classes.value, last, 0)))
+            waiting += len(held[-1][2])
             if waiting > HELD_TOKENS:
-                yield flush()
-                waiting = 0
-    if tokens:
-        yield flush()
+                yield _blocks(parts, held, frequent is None)
+                held, waiting = [], 0
+    if held:
+        yield _blocks(parts, held, frequent is None)
+
 
+def unpacked(bits: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
-    """Token, number of its nodes, node, size and place, sorted and distinct, of a partition's blocks."""
-    held: tuple[list, ...] = ([], [], [], [])
+
+def _gathered(batches: Iterator[pa.RecordBatch], kinds: tuple[type, ...]) -> tuple[np.ndarray, ...] | None:
+    """Token, number of its nodes, node and what else there is, sorted and distinct, of a partition's blocks."""
+    held: tuple[list, ...] = tuple([] for _ in kinds)
     for batch in batches:
-        for k, kind in enumerate((np.uint64, np.int64, np.int32, np.int32)):
+        for k, kind in enumerate(kinds):
             held[k].extend(np.frombuffer(x.as_buffer(), kind) for x in batch.column(k + 1))
     if not held[0]:
         return None
-    token, node, size, place = map(np.concatenate, held)
+    token, node, *more = map(np.concatenate, held)
     order = np.lexsort((node, token))
-    token, node, size, place = token[order], node[order], size[order], place[order]
+    token, node = token[order], node[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-    token, node, size, place = token[new], node[new], size[new], place[new]
+    token, node = token[new], node[new]
     many = np.diff(np.append(runs(token), len(token)))
-    return token, np.repeat(many, many), node, size, place
+    return token, np.repeat(many, many), node, *(x[order][new] for x in more)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens that more than one node has: (token, ord, node, n, left), left: tokens of the node from this one on."""
-    if (found := _gathered(batches)) is not None:
+    """Tokens that more than one node has: (token, node, n, left), left: tokens of the node from this one on."""
+    if (found := _gathered(batches, (np.uint64, np.int64, np.int32, np.int32))) is not None:
         token, _, node, size, place = (x[found[1] > 1] for x in found)
-        order, size = (token % np.uint64(ORDERS)).astype(np.int32), size.astype(np.int64)
-        columns = [token.view(np.int64), order, node, size, size - place]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "ord", "node", "n", "left"])
+        size = size.astype(np.int64)
+        columns = [token.view(np.int64), node, size, size - place]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "left"])
 
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens that are in the prefixes of more than FREQUENT nodes."""
-    if (found := _gathered(batches)) is not None:
+    if (found := _gathered(batches, (np.uint64, np.uint32))) is not None:
         token = np.unique(found[0][found[1] > FREQUENT])
         yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64))], names=["token"])
 
 
-def shared_tokens(rows: DataFrame, sized: DataFrame) -> DataFrame:
-    """Prefix tokens that at least two nodes share.
+def shared_tokens(rows: DataFrame, sized: DataFrame, classes: Broadcast) -> DataFrame:
+    """Prefix tokens of the first order that at least two nodes share.
 
     Prefixes are made twice: first by the classes of the sketch, which is too coarse for tokens of middling frequency;
-    those that turn out to be in many prefixes come last in the second orders.
+    those that turn out to be in many prefixes come last in the second order.
     """
     spark = rows.sparkSession
-    classes = spark.sparkContext.broadcast(frequency_classes(sized))
     shingles = sized.agg(F.sum("n")).first()[0] or 0
-    tokens = ORDERS * (100 - PERCENT + 1) * shingles // 100
+    tokens = (100 - PERCENT + 1) * shingles // 100
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // PART_TOKENS))
 
     def dealt(frequent: Broadcast | None) -> DataFrame:
-        schema = "part int, tokens binary, nodes binary, sizes binary, places binary"
+        columns = BLOCK[:2] if frequent is None else BLOCK
+        schema = ", ".join(["part int", *(f"{c} binary" for c in columns)])
         blocks = rows.select("text").mapInArrow(partial(_prefixes, classes, frequent, parts), schema)
         return blocks.repartition(parts, "part")
 
     often = stage(dealt(None).mapInArrow(_often, "token long"), "often")
     frequent = spark.sparkContext.broadcast(bloom_filter(often))
-    return stage(dealt(frequent).mapInArrow(_groups, "token long, ord int, node long, n long, left long"), "shared")
+    return stage(dealt(frequent).mapInArrow(_groups, "token long, node long, n long, left long"), "shared")
 
 
 def bloom_filter(keys: DataFrame) -> bytes:
@@ -269,14 +282,26 @@ def _bloom_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
 
-def pass_filters(pairs: DataFrame, shared: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of order 0 that also share a prefix token in all other orders."""
-    own = shared.where("ord > 0").groupBy("node").agg(F.collect_list("token").alias("tokens"))
-    one = own.select(F.col("node").alias("a"), F.col("tokens").alias("t"))
-    other = own.select(F.col("node").alias("b"), F.col("tokens").alias("u"))
+def near(one: str, other: str, sizes: str, words: int = SIGNATURE) -> Column:
+    """Whether bit signatures allow two sets to link.
+
+    They differ in at least as many shingles as their signatures in bits, and linked ones in no more than
+    (100 - PERCENT) / (100 + PERCENT) of their summed sizes.
+    """
+    differ = " + ".join(f"bit_count({one}[{k}] ^ {other}[{k}])" for k in range(words))
+    return F.expr(f"{100 + PERCENT} * ({differ}) <= {100 - PERCENT} * ({sizes})")
+
+
+def pass_filters(pairs: DataFrame, traits: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) that share a prefix token in all other orders, too, and whose signatures allow a link."""
+    names = {"tokens": "t", "fine": "s", "size": "m"}
+    traits = traits.drop("sign")
+    one = traits.withColumnsRenamed({"node": "a"} | {k: f"{v}_a" for k, v in names.items()})
+    other = traits.withColumnsRenamed({"node": "b"} | {k: f"{v}_b" for k, v in names.items()})
     both = pairs.select("a", "b").distinct().join(one, "a").join(other, "b")
-    orders = F.array_distinct(F.transform(F.array_intersect("t", "u"), lambda x: F.pmod(x, F.lit(ORDERS))))
-    return both.where(F.size(orders) == ORDERS - 1).select("a", "b")
+    for order in range(ORDERS - 1):
+        both = both.where(F.arrays_overlap(F.col("t_a")[order], F.col("t_b")[order]))
+    return both.where(near("s_a", "s_b", "m_a + m_b", FINE)).select("a", "b")
 
 
 def sizes_allow(one: str, other: str, one_left: str, other_left: str) -> Column:
@@ -289,30 +314,31 @@ def sizes_allow(one: str, other: str, one_left: str, other_left: str) -> Column:
     return F.expr(f"{sizes} AND {rests}")
 
 
-def _needed(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits, seen = np.unpackbits(np.frombuffer(wanted.value, np.uint8)), set()
+def _needed(wanted: Broadcast, classes: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own_cache("jaccard")
+    bits, seen = unpacked(wanted.value), set()
+    kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32())), pa.int64()]
+
+    def block() -> pa.RecordBatch:
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*held, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "shingles", "sign", "fine", "tokens", "size"])
+
     for batch in batches:
-        nodes, data, signs, size = [], [], [], 0
+        held, size = [], 0
         for _, shingles in sets(batch.column(0)):
             node = node_of(shingles)
             if node in seen or not all(bits[p[0]] for p in bloom_places(np.array([node]))):
                 continue
             if len(seen) < HELD_NODES:
                 seen.add(node)
-            nodes.append(node)
-            data.append(shingles.tobytes())
-            signs.append(signature(shingles))
-            size += len(data[-1])
+            tokens = [prefix(shingles, classes.value, None, k).astype(np.uint32).view(np.int32) for k in range(1, ORDERS)]
+            held.append((node, shingles.tobytes(), signature(shingles), signature(shingles, FINE), tokens, len(shingles)))
+            size += shingles.nbytes
             if size > 4 << 20:
-                yield _sets_batch(nodes, data, signs)
-                nodes, data, signs, size = [], [], [], 0
-        if nodes:
-            yield _sets_batch(nodes, data, signs)
-
-
-def _sets_batch(nodes: list[int], data: list[bytes], signs: list[np.ndarray]) -> pa.RecordBatch:
-    columns = [pa.array(nodes, pa.int64()), pa.array(data, pa.binary()), pa.array(signs, pa.list_(pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, names=["node", "shingles", "sign"])
+                yield block()
+                held, size = [], 0
+        if held:
+            yield block()
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,14 +354,16 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
-def candidate_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles, sign) of ``nodes``, made again from the texts; some others and copies may be among them."""
+def candidate_sets(rows: DataFrame, nodes: DataFrame, classes: Broadcast) -> DataFrame:
+    """(node, shingles, sign, fine, tokens, size) of ``nodes``, made again from the texts; some others and copies may be among
+    them. ``tokens``: per order but the first, parts of the hashes of its prefix."""
     wanted = rows.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
-    return stage(rows.select("text").mapInArrow(partial(_needed, wanted), "node long, shingles binary, sign array<long>"), "sets")
+    schema = "node long, shingles binary, sign array<long>, fine array<long>, tokens array<array<int>>, size long"
+    return stage(rows.select("text").mapInArrow(partial(_needed, wanted, classes), schema), "sets")
 
 
 def _chosen(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
+    bits = unpacked(wanted.value)
     for batch in batches:
         one, two, three = bloom_places(batch.column(0).to_numpy())
         yield batch.filter(pa.array(bits[one] & bits[two] & bits[three]))
@@ -368,41 +396,42 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def link(rows: DataFrame, shared: DataFrame) -> DataFrame:
+def link(rows: DataFrame, shared: DataFrame, classes: Broadcast) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
-    nodes = shared.groupBy("node").agg(F.count_distinct("ord").alias("orders")).where(F.col("orders") == ORDERS)
-    nodes = stage(nodes.select("node"), "nodes")
-    found = candidate_sets(rows, nodes)
-    shared = stage(shared.join(nodes, "node", "left_semi"), "candidates")
-    own = shared.where("ord = 0").select("token", "node", "n", "left")
-    sizes = own.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    links, tested, comps = None, None, None
-    for step in ("one node", "some nodes", "all pairs"):
-        if comps is None:
-            open_rows = own.join(sizes.select("token"), "token", "left_semi").withColumn("comp", F.col("node"))
-        else:  # tokens with nodes of different components
-            placed = own.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    found = candidate_sets(rows, stage(shared.select("node").distinct(), "nodes"), classes)
+    traits = stage(found.drop("shingles").dropDuplicates(["node"]), "traits")
+    many = shared.groupBy("token").agg(F.count(F.lit(1)).alias("many"))
+    weights = stage(shared.select("token", "node").join(many, "token").groupBy("node").agg(F.sum("many").alias("weight")), "weights")
+    open_rows, comps, linked, all_pairs = shared.withColumn("comp", F.col("node")), None, 0, False
+    for turn in range(ROUNDS + 1):
+        if comps is not None:  # tokens with nodes of different components; none of the others will have them again
+            placed = open_rows.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
             mixed = placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
             open_rows = stage(placed.join(mixed.select("token"), "token", "left_semi"), "open")
-        if step == "all pairs":
-            pairs = _pairs(open_rows.join(found.select("node", "sign").dropDuplicates(["node"]), "node"))
+        all_pairs = all_pairs or turn == ROUNDS
+        if all_pairs:
+            pairs = _pairs(open_rows.join(traits.select("node", "sign"), "node"))
         else:
-            # the first step takes the same node for many tokens, the second another one for each
-            by = F.col("node") if step == "one node" else F.xxhash64("node", "token")
-            pairs = _with_pivots(open_rows, by)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pass_filters(pairs, shared), "pairs")
-        more = verify(pairs, found)
-        tested = pairs if tested is None else stage(tested.union(pairs), "tested")
-        links = more if links is None else stage(links.union(more), "all-links")
-        comps = components(links)
+            pairs = _with_pivots(open_rows, weights, turn)
+        more = verify(stage(pass_filters(pairs, traits), "pairs"), found)
+        if (new := more.count()) or comps is None:
+            # what was linked before is told by a link of each node with its component
+            comps = components(more if comps is None else more.union(comps.where("node <> comp").select("node", "comp")))
+        if all_pairs:
+            return comps
+        linked += new
+        all_pairs = turn > 0 and RARER * new < linked or not new
     return comps
 
 
-def _with_pivots(own: DataFrame, by: Column) -> DataFrame:
-    """Pairs of each token's nodes with one of them, where components and sizes ask for it; the smaller node first."""
-    pivots = own.groupBy("token").agg(F.min_by(F.struct("node", "n", "left", "comp"), by).alias("p"))
+def _with_pivots(own: DataFrame, weights: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each token's nodes with PIVOTS of them, where components and sizes ask for it; the smaller node first.
+
+    The next PIVOTS in each turn, heaviest first: a node weighs what nodes its tokens have, as much as it lies amid others.
+    """
+    order = Window.partitionBy("token").orderBy(F.col("weight").desc(), "node")
+    ranked = own.join(weights, "node").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS * (turn + 1))
+    pivots = ranked.where(F.col("rank") > PIVOTS * turn).select("token", F.struct("node", "n", "left", "comp").alias("p"))
     pairs = own.join(pivots, "token").where("comp <> p.comp").where(sizes_allow("n", "p.n", "left", "p.left"))
     return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
 
@@ -410,16 +439,12 @@ def _with_pivots(own: DataFrame, by: Column) -> DataFrame:
 def _pairs(own: DataFrame) -> DataFrame:
     """Pairs of each token's nodes in different components that sizes and signatures allow to link.
 
-    Two sets differ in at least as many shingles as their signatures in bits, and linked ones in no more than
-    (100 - PERCENT) / (100 + PERCENT) of their summed sizes. The bound is part of the join's condition, so of a family
-    below the threshold only pairs close to it become rows.
+    The bounds are part of the join's condition, so of a family below the threshold only pairs close to it become rows.
     """
     left = own.withColumnsRenamed({"node": "a", "comp": "x"})
     right = own.withColumnsRenamed({"node": "b", "n": "m", "left": "rest", "comp": "y", "sign": "ngis"})
-    differ = " + ".join(f"bit_count(sign[{k}] ^ ngis[{k}])" for k in range(SIGNATURE))
-    near = F.expr(f"{100 + PERCENT} * ({differ}) <= {100 - PERCENT} * (n + m)")
-    joined = left.join(right, "token").where("a < b AND x <> y").where(sizes_allow("n", "m", "left", "rest")).where(near)
-    return joined.select("a", "b")
+    joined = left.join(right, "token").where("a < b AND x <> y").where(sizes_allow("n", "m", "left", "rest"))
+    return joined.where(near("sign", "ngis", "n + m")).select("a", "b")
 
 
 @contextmanager
@@ -442,7 +467,8 @@ def similar_groups(df: DataFrame) -> DataFrame:
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with small_batches(df.sparkSession):
         sized = stage(rows.mapInArrow(_sizes, "doc_id long, n long, node long, chunk int, counts binary"), "sizes")
-        comps = link(rows, shared_tokens(rows, sized))
+        classes = df.sparkSession.sparkContext.broadcast(frequency_classes(sized))
+        comps = link(rows, shared_tokens(rows, sized, classes), classes)
     docs = sized.where("chunk IS NULL").select("doc_id", "n", "node")
     nodes = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     nodes = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -31,7 +31,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.shared import new_folder, open_store, stage, write_file
+from lakemill.llm.shared import new_folder, open_store, own_cache, stage, write_file
 from lakemill.llm.tokens import Lookup
 from lakemill.llm.words import SAME, mix, runs, words
 
@@ -326,14 +326,12 @@ class Models:
         return cost / np.maximum(size, 1)[:, None], size
 
 
-_models: dict[str, Models] = {}
-
-
 def models(folder: str) -> Models:
-    if folder not in _models:
-        _models.clear()
-        _models[folder] = Models(folder)
-    return _models[folder]
+    held = own_cache("langid")
+    if folder not in held:
+        held.clear()
+        held[folder] = Models(folder)
+    return held[folder]
 
 
 class Calibration(NamedTuple):

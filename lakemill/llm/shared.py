@@ -35,6 +35,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+_caches: dict[str, dict] = {}
+
+
+def own_cache(owner: str) -> dict:
+    """What an operator keeps in a Python worker. Workers live on from stage to stage: what others kept there goes."""
+    for name in _caches.keys() - {owner}:
+        _caches[name].clear()
+    return _caches.setdefault(owner, {})
+
+
 def open_store(folder: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and plain path of a folder given as URI or as local path."""
     if "://" not in folder and not folder.startswith("file:"):

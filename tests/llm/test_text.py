@@ -391,3 +391,36 @@ def test_pieces_of_a_batch_hold_each_row_once(monkeypatch):
         found = list(langid.pieces(batch, 1))
         assert [n for part in found for n in part.column(0).to_pylist()] == list(range(len(texts)))
         assert all(sum(len((x or "").encode()) for x in part.column(1).to_pylist()) <= 10 or len(part) == 1 for part in found)
+
+
+def test_family_compares_few_pairs(spark, monkeypatch):
+    """Of one family with links between many of its pairs, only about PIVOTS pairs a node and token are compared."""
+    counts = {}
+    kept = jaccard.stage
+
+    def stage(df, name):
+        made = kept(df, name)
+        counts.setdefault(name, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(jaccard, "stage", stage)
+    rng = random.Random(4)
+    rows = []
+    for k in range(300):
+        own = [f"w{n}" for n in range(147)]
+        for at in rng.sample(range(0, 147, 4), rng.choice([1, 2, 3, 3, 3, 4])):
+            own[at] = f"x{k}-{at}"
+        rows.append((k, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in jaccard.similar_groups(df).collect())
+    assert got == sorted(brute_components(rows))
+    assert sum(counts["pairs"]) < 12 * len(rows)
+
+
+def test_workers_let_go_of_other_operators_caches():
+    from lakemill.llm import shared
+
+    shared.own_cache("one")["x"] = 1
+    assert shared.own_cache("one") == {"x": 1}
+    shared.own_cache("other")["y"] = 2
+    assert shared.own_cache("one") == {} and shared.own_cache("other") == {}
