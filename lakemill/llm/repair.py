@@ -60,22 +60,28 @@ def compress(ids: np.ndarray, pairs: int = PAIRS, least: int = LEAST) -> Grammar
         if not len(often):
             break
         chosen, weight = ordered[first[often]], count[often]
-        at, rank = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-        at[maybe] = np.minimum(np.searchsorted(chosen, key[maybe]), len(chosen) - 1)
-        rank[maybe] = np.where(chosen[at[maybe]] == key[maybe], weight[at[maybe]], 0)
-        before, after = np.append(0, rank[:-1]), np.append(rank[1:], 0)
+        hit = np.zeros(1 << 20, bool)
+        hit[(chosen * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)] = True
+        spot = maybe[hit[bucket[maybe]]]  # where chosen pairs are, and few others
+        here = key[spot]
+        at = np.minimum(np.searchsorted(chosen, here), len(chosen) - 1)
+        own = chosen[at] == here
+        spot, at = spot[own], at[own]
+        rank = weight[at]
+        beside = spot[1:] == spot[:-1] + 1
+        before, after = np.append(0, np.where(beside, rank[:-1], 0)), np.append(np.where(beside, rank[1:], 0), 0)
         start = np.flatnonzero(rank != before)  # of stretches of one rank, in which every other pair is taken
         inside = np.repeat(start, np.diff(np.append(start, len(rank))))
-        inside = np.concatenate([np.zeros(len(rank) - len(inside), np.int64), inside])
         odd = (np.arange(len(rank)) - inside) & 1
-        place = np.flatnonzero((rank > before[inside]) & (odd == 0) & (rank >= after))
-        used = np.bincount(at[place], minlength=len(chosen))
+        taken = np.flatnonzero((rank > before[inside]) & (odd == 0) & (rank >= after))
+        place, at = spot[taken], at[taken]
+        used = np.bincount(at, minlength=len(chosen))
         keep = used >= min(4, least)
-        place = place[keep[at[place]]]
+        place, at = place[keep[at]], at[keep[at]]
         if not len(place):
             break
         number = np.cumsum(keep) - 1 + symbols
-        seq[place] = number[at[place]]
+        seq[place] = number[at]
         rest = np.ones(len(seq), bool)
         rest[place + 1] = False
         seq = seq[rest]
