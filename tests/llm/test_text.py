@@ -393,28 +393,34 @@ def test_pieces_of_a_batch_hold_each_row_once(monkeypatch):
         assert all(sum(len((x or "").encode()) for x in part.column(1).to_pylist()) <= 10 or len(part) == 1 for part in found)
 
 
-def test_family_compares_few_pairs(spark, monkeypatch):
-    """Of one family with links between many of its pairs, only about PIVOTS pairs a node and token are compared."""
-    counts = {}
-    kept = jaccard.stage
-
-    def stage(df, name):
-        made = kept(df, name)
-        counts.setdefault(name, []).append(made.count())
-        return made
-
-    monkeypatch.setattr(jaccard, "stage", stage)
-    rng = random.Random(4)
-    rows = []
-    for k in range(300):
-        own = [f"w{n}" for n in range(147)]
-        for at in rng.sample(range(0, 147, 4), rng.choice([1, 2, 3, 3, 3, 4])):
-            own[at] = f"x{k}-{at}"
-        rows.append((k, " ".join(own)))
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in jaccard.similar_groups(df).collect())
-    assert got == sorted(brute_components(rows))
-    assert sum(counts["pairs"]) < 12 * len(rows)
+def test_pivots_lie_amid_a_family(spark):
+    """Of 30 nodes that share a token, the one that shares another one with each of them is compared with all, in the first turn."""
+    hub = 29
+    rows = [(1, k, 100, 100, k) for k in range(30)]
+    rows += [(100 + k, node, 100, 100, node) for k in range(hub) for node in (k, hub)]
+    own = spark.createDataFrame(rows, "token long, node long, n long, left long, comp long")
+    many = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"))
+    weights = own.join(many, "token").groupBy("node").agg(F.sum("many").alias("weight"))
+    of_all = own.where("token = 1")
+    first, second = ({tuple(r) for r in jaccard._with_pivots(of_all, weights, turn).collect()} for turn in (0, 1))
+    assert {(k, hub) for k in range(hub)} <= first and len({x for pair in first for x in pair}) == 30
+    assert all({hub, 0, 1, 2} & set(pair) for pair in first) and all({3, 4, 5, 6} & set(pair) for pair in second)
+    assert len(first) <= 4 * 29 and len(second) <= 4 * 29
+
+
+def test_one_order_is_dealt_out():
+    """Blocks hold prefix tokens of the first order alone; for counting, tokens and a part of each node's hash."""
+    from types import SimpleNamespace
+
+    texts = [" ".join(f"w{k}-{n}" for n in range(40)) for k in range(50)]
+    classes = SimpleNamespace(value=np.zeros(jaccard.SKETCH, np.uint8))
+    frequent = SimpleNamespace(value=bytes(jaccard.BLOOM // 8))
+    for last, names in ((None, ["tokens", "nodes"]), (frequent, ["tokens", "nodes", "sizes", "places"])):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+        blocks = list(jaccard._prefixes(classes, last, 4, iter([batch])))
+        assert all(b.schema.names == ["part", *names] for b in blocks)
+        tokens = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for b in blocks for x in b.column(1)])
+        assert len(tokens) == 50 * jaccard.prefix_length(37) and not (tokens % np.uint64(jaccard.ORDERS)).any()
 
 
 def test_workers_let_go_of_other_operators_caches():
