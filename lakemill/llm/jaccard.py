@@ -47,6 +47,8 @@ SKETCH, CHUNK = 1 << 21, 1 << 16
 BLOOM = 1 << 24
 #: Tokens that a task gathers before it hands on a block, and nodes it remembers to leave out copies.
 HELD_TOKENS, HELD_NODES = 1 << 17, 1 << 17
+#: Nodes, and shingles of them, whose sets or traits a task hands on in one block.
+BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 19
 #: A token in the prefixes of more nodes is frequent.
 FREQUENT = 8
 #: 64-bit words of a set's signature: bit p tells whether an odd number of its shingles have p as their first 9 bits (11
@@ -54,6 +56,8 @@ FREQUENT = 8
 SIGNATURE, FINE = 8, 32
 #: Rounds with PIVOTS nodes per token before all pairs are compared; they end early when links get rarer than one in RARER.
 ROUNDS, PIVOTS, RARER = 3, 4, 20
+#: Rows of a token among which those that can link with none are looked for; those of more frequent tokens all stay.
+COMPARED = 64
 #: Prefix tokens that one part of the join holds, on average, and rows that reach a Python worker at once.
 PART_TOKENS, BATCH_ROWS = 1 << 20, 64
 
@@ -227,13 +231,35 @@ def _gathered(batches: Iterator[pa.RecordBatch], kinds: tuple[type, ...]) -> tup
     return token, np.repeat(many, many), node, *(x[order][new] for x in more)
 
 
+def partnered(many: np.ndarray, token: np.ndarray, size: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Which rows, sorted by token, have one of the same token that sizes and places allow them to link with (``sizes_allow``).
+
+    Tokens that more than COMPARED nodes have aren't looked into: all their rows count.
+    """
+    keep = many > COMPARED
+    one = np.flatnonzero((many > 1) & ~keep)
+    for step in range(1, COMPARED):
+        one = one[one + step < len(token)]
+        one = one[token[one] == token[one + step]]
+        if not len(one):
+            break
+        other = one + step
+        small, large = np.minimum(size[one], size[other]), np.maximum(size[one], size[other])
+        rest = np.minimum(left[one], left[other])
+        fit = (100 * small >= PERCENT * large) & ((100 + PERCENT) * rest >= PERCENT * (small + large))
+        keep[one[fit]] = keep[other[fit]] = True
+    return keep
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens that more than one node has: (token, node, n, left), left: tokens of the node from this one on."""
+    """Tokens that more than one node has: (token, node, n, left, many), left: tokens of the node from this one on, many: nodes
+    of the token. Most tokens are shared by chance: rows that can link with no other of their token are left out."""
     if (found := _gathered(batches, (np.uint64, np.int64, np.int32, np.int32))) is not None:
-        token, _, node, size, place = (x[found[1] > 1] for x in found)
+        token, many, node, size, place = (x[found[1] > 1] for x in found)
         size = size.astype(np.int64)
-        columns = [token.view(np.int64), node, size, size - place]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "left"])
+        keep = partnered(many, token, size, size - place)
+        columns = [x[keep] for x in (token.view(np.int64), node, size, size - place, many)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "left", "many"])
 
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +288,7 @@ def shared_tokens(rows: DataFrame, sized: DataFrame, classes: Broadcast) -> Data
 
     often = stage(dealt(None).mapInArrow(_often, "token long"), "often")
     frequent = spark.sparkContext.broadcast(bloom_filter(often))
-    return stage(dealt(frequent).mapInArrow(_groups, "token long, node long, n long, left long"), "shared")
+    return stage(dealt(frequent).mapInArrow(_groups, "token long, node long, n long, left long, many long"), "shared")
 
 
 def bloom_filter(keys: DataFrame) -> bytes:
@@ -314,31 +340,56 @@ def sizes_allow(one: str, other: str, one_left: str, other_left: str) -> Column:
     return F.expr(f"{sizes} AND {rests}")
 
 
-def _needed(wanted: Broadcast, classes: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chosen(wanted: Broadcast, named: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """Node and shingles of texts whose id and node filters let through, as rows without an id; some come more than once."""
     own_cache("jaccard")
-    bits, seen = unpacked(wanted.value), set()
-    kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32())), pa.int64()]
-
-    def block() -> pa.RecordBatch:
-        columns = [pa.array(x, kind) for x, kind in zip(zip(*held, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=["node", "shingles", "sign", "fine", "tokens", "size"])
-
+    bits, ids, seen = unpacked(wanted.value), unpacked(named.value), set()
     for batch in batches:
-        held, size = [], 0
-        for _, shingles in sets(batch.column(0)):
+        one, two, three = bloom_places(batch.column(0).fill_null(0).to_numpy())
+        keep = ids[one] & ids[two] & ids[three] | ~batch.column(0).is_valid().to_numpy(False)
+        if not keep.any():
+            continue
+        for _, shingles in sets(batch.column(1).filter(pa.array(keep))):
             node = node_of(shingles)
             if node in seen or not all(bits[p[0]] for p in bloom_places(np.array([node]))):
                 continue
             if len(seen) < HELD_NODES:
                 seen.add(node)
-            tokens = [prefix(shingles, classes.value, None, k).astype(np.uint32).view(np.int32) for k in range(1, ORDERS)]
-            held.append((node, shingles.tobytes(), signature(shingles), signature(shingles, FINE), tokens, len(shingles)))
-            size += shingles.nbytes
-            if size > 4 << 20:
-                yield block()
-                held, size = [], 0
-        if held:
+            yield node, shingles
+
+
+def _in_blocks(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of a node, the size of its set and more, in blocks of BLOCK_NODES nodes or less, if their sets are large."""
+    held, size = [], 0
+
+    def block() -> pa.RecordBatch:
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*held, strict=True), schema.types, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    for row in rows:
+        held.append(row)
+        size += row[1]
+        if len(held) == BLOCK_NODES or size > BLOCK_SHINGLES:
             yield block()
+            held, size = [], 0
+    if held:
+        yield block()
+
+
+def _traits(wanted: Broadcast, named: Broadcast, classes: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("sign", longs), ("fine", longs), ("tokens", pa.list_(pa.list_(pa.int32())))])
+
+    def traits(node: int, shingles: np.ndarray) -> tuple:
+        tokens = [prefix(shingles, classes.value, None, k).astype(np.uint32).view(np.int32) for k in range(1, ORDERS)]
+        return node, len(shingles), signature(shingles), signature(shingles, FINE), tokens
+
+    return _in_blocks((traits(*x) for x in _chosen(wanted, named, batches)), schema)
+
+
+def _sets(wanted: Broadcast, named: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("shingles", pa.binary())])
+    return _in_blocks(((node, len(x), x.tobytes()) for node, x in _chosen(wanted, named, batches)), schema)
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,27 +405,28 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
-def candidate_sets(rows: DataFrame, nodes: DataFrame, classes: Broadcast) -> DataFrame:
-    """(node, shingles, sign, fine, tokens, size) of ``nodes``, made again from the texts; some others and copies may be among
-    them. ``tokens``: per order but the first, parts of the hashes of its prefix."""
-    wanted = rows.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
-    schema = "node long, shingles binary, sign array<long>, fine array<long>, tokens array<array<int>>, size long"
-    return stage(rows.select("text").mapInArrow(partial(_needed, wanted, classes), schema), "sets")
+def filters_of(nodes: DataFrame, docs: DataFrame) -> tuple[Broadcast, Broadcast]:
+    """Bloom filters of ``nodes`` and of the smallest id that each has; ``docs``: (doc_id, node) of all rows."""
+    named = docs.join(nodes.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    named = stage(named, "nodes")
+    context = docs.sparkSession.sparkContext
+    return tuple(context.broadcast(bloom_filter(x)) for x in (named.select("node"), named.select("doc_id").where("doc_id IS NOT NULL")))
 
 
-def _chosen(wanted: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = unpacked(wanted.value)
-    for batch in batches:
-        one, two, three = bloom_places(batch.column(0).to_numpy())
-        yield batch.filter(pa.array(bits[one] & bits[two] & bits[three]))
-        pa.default_memory_pool().release_unused()
+def traits_of(rows: DataFrame, docs: DataFrame, nodes: DataFrame, classes: Broadcast) -> DataFrame:
+    """(node, size, sign, fine, tokens) of ``nodes``, made again from the texts; some others and copies may be among them.
+    ``tokens``: per order but the first, parts of the hashes of its prefix."""
+    schema = "node long, size long, sign array<long>, fine array<long>, tokens array<array<int>>"
+    return rows.mapInArrow(partial(_traits, *filters_of(nodes, docs), classes), schema)
 
 
-def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough. Only the sets of the pairs are shuffled."""
+def verify(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose whole sets are similar enough. Only the sets of the pairs are made again from their texts, and kept."""
+    if pairs.isEmpty():
+        return pairs
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    wanted = pairs.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
-    chosen = found.select("node", "shingles").mapInArrow(partial(_chosen, wanted), "node long, shingles binary").dropDuplicates(["node"])
+    chosen = rows.mapInArrow(partial(_sets, *filters_of(nodes, docs)), "node long, size long, shingles binary")
+    chosen = stage(chosen, "sets").dropDuplicates(["node"])
     one = chosen.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
     other = chosen.select(F.col("node").alias("b"), F.col("shingles").alias("other"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other")
@@ -396,12 +448,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def link(rows: DataFrame, shared: DataFrame, classes: Broadcast) -> DataFrame:
+def link(rows: DataFrame, docs: DataFrame, shared: DataFrame, classes: Broadcast) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
-    found = candidate_sets(rows, stage(shared.select("node").distinct(), "nodes"), classes)
-    traits = stage(found.drop("shingles").dropDuplicates(["node"]), "traits")
-    many = shared.groupBy("token").agg(F.count(F.lit(1)).alias("many"))
-    weights = stage(shared.select("token", "node").join(many, "token").groupBy("node").agg(F.sum("many").alias("weight")), "weights")
+    traits = stage(traits_of(rows, docs, shared, classes).dropDuplicates(["node"]), "traits")
+    weights = stage(shared.groupBy("node").agg(F.sum("many").alias("weight")), "weights")
+    shared = shared.drop("many")
     open_rows, comps, linked, all_pairs = shared.withColumn("comp", F.col("node")), None, 0, False
     for turn in range(ROUNDS + 1):
         if comps is not None:  # tokens with nodes of different components; none of the others will have them again
@@ -413,7 +464,7 @@ def link(rows: DataFrame, shared: DataFrame, classes: Broadcast) -> DataFrame:
             pairs = _pairs(open_rows.join(traits.select("node", "sign"), "node"))
         else:
             pairs = _with_pivots(open_rows, weights, turn)
-        more = verify(stage(pass_filters(pairs, traits), "pairs"), found)
+        more = verify(stage(pass_filters(pairs, traits), "pairs"), rows, docs)
         if (new := more.count()) or comps is None:
             # what was linked before is told by a link of each node with its component
             comps = components(more if comps is None else more.union(comps.where("node <> comp").select("node", "comp")))
@@ -468,8 +519,8 @@ def similar_groups(df: DataFrame) -> DataFrame:
     with small_batches(df.sparkSession):
         sized = stage(rows.mapInArrow(_sizes, "doc_id long, n long, node long, chunk int, counts binary"), "sizes")
         classes = df.sparkSession.sparkContext.broadcast(frequency_classes(sized))
-        comps = link(rows, shared_tokens(rows, sized, classes), classes)
-    docs = sized.where("chunk IS NULL").select("doc_id", "n", "node")
+        docs = sized.where("chunk IS NULL").select("doc_id", "n", "node")
+        comps = link(rows, docs, shared_tokens(rows, sized, classes), classes)
     nodes = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     nodes = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = nodes.groupBy("comp").agg(F.min("least").alias("component_id"), F.sum("copies").alias("members"))

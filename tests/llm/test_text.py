@@ -430,3 +430,42 @@ def test_workers_let_go_of_other_operators_caches():
     assert shared.own_cache("one") == {"x": 1}
     shared.own_cache("other")["y"] = 2
     assert shared.own_cache("one") == {} and shared.own_cache("other") == {}
+
+
+def test_rows_without_partner_are_left_out(monkeypatch):
+    """Of a token's rows those stay that sizes and places allow to link with another; rows of frequent tokens all stay."""
+    monkeypatch.setattr(jaccard, "COMPARED", 12)
+    rng = np.random.default_rng(4)
+    many = rng.choice([1, 2, 3, 5, 12, 13], 300)
+    token = np.repeat(np.arange(300, dtype=np.uint64), many)
+    size = rng.integers(50, 120, len(token))
+    left = size - rng.integers(0, 18, len(token))
+    keep = jaccard.partnered(np.repeat(many, many), token, size, left)
+    for k, n in enumerate(many):
+        rows = [(s, r, x) for s, r, x in zip(size[token == k].tolist(), left[token == k].tolist(), keep[token == k], strict=True)]
+        for at, (s, r, x) in enumerate(rows):
+            fit = [100 * min(s, t) >= 85 * max(s, t) and 185 * min(r, q) >= 85 * (s + t) for i, (t, q, _) in enumerate(rows) if i != at]
+            assert x == (any(fit) or n > 12)
+
+
+def test_only_sets_of_pairs_are_kept(spark, monkeypatch):
+    """Texts that share one rare passage and else nothing: neither their whole sets nor all rows of the shared tokens are stored."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(120):
+        passage = " ".join(f"p{k // 4}-{n}" for n in range(6))
+        rows.append((k, passage + " " + " ".join(f"w{rng.random()}" for _ in range(60 + 40 * (k % 4)))))
+    rows += [(500, rows[0][1] + " end"), (None, rows[7][1] + " end"), (None, rows[7][1] + " ends"), (3, rows[3][1])]
+    stored, stage = {}, jaccard.stage
+
+    def counted(df, name):
+        found = stage(df, name)
+        stored.setdefault(name, []).append(found)
+        return found
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in jaccard.similar_groups(df).collect()]
+    assert sorted(got) == sorted(brute_components(rows))
+    assert sum(x.count() for x in stored["sets"]) < 20
+    assert stored["shared"][0].select("node").distinct().count() < 20
