@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemill.operators import quality
 from lakemill.sources import campaigns, catalogue, clickstream, inventory, reviews
+from workloads import derive
 
 
 def test_clickstream(spark, tmp_path):
@@ -170,3 +171,19 @@ def test_sheet_below_titles(spark, tmp_path):
     assert got == {"P1": (7, Decimal("25.00"), Decimal("10.00")), "P2": (None, None, None)}
     with pytest.raises(ValueError):
         inventory.read_sheet(spark, str(sheet), ["Nothing"])
+
+
+def test_feeds_are_made_in_methods_that_the_jvm_compiles(spark):
+    """The limit on generated methods holds while a feed is written, and no longer, also if that fails."""
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+
+    def make(session, sf_dir):
+        seen.append(session.conf.get(name))
+        return session.range(3)
+
+    assert derive.landed(spark, "", "few", make).count() == 3
+    assert seen == ["8000"] and spark.conf.get(name) == before
+    with pytest.raises(ZeroDivisionError):
+        derive.landed(spark, "", "none", lambda session, sf_dir: 1 / 0)
+    assert spark.conf.get(name) == before

@@ -7,7 +7,8 @@ arithmetic on the keys, so both engines see the same input rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Bytes of a method that HotSpot compiles; it interprets longer ones.
+COMPILED = 8_000
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Let Spark split generated code that the JVM would only interpret: the SQL of a feed makes methods of twice that size."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(COMPILED, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def landed(
     spark: SparkSession, sf_dir: str, name: str, make: str | Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
@@ -45,9 +62,10 @@ def landed(
     A feed arrives as files. Without this step the queries would spend their time in the SQL that makes the messy texts,
     which the optimizer repeats wherever a text is used.
     """
-    rows = run(spark, sf_dir, make, spread=True) if isinstance(make, str) else make(spark, sf_dir)
     path = new_folder(spark, f"landed/{name}")
-    rows.write.parquet(path)
+    with compiled_methods(spark):
+        rows = run(spark, sf_dir, make, spread=True) if isinstance(make, str) else make(spark, sf_dir)
+        rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
